@@ -1,0 +1,5 @@
+"""Intentionally empty: the archive is a static dump and every job is a batch job.
+
+Rows that arrive again later are handled by the keyed upsert in
+:mod:`postmill.sinks.upsert`, which is a batch operation too.
+"""
