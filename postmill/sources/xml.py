@@ -158,13 +158,17 @@ def _typed(
     values = [value.alias(name) for name, _, value in casts]
     listed = F.nullif(F.concat_ws(", ", *misfits), F.lit("")) if misfits else F.lit(None)
     reason = F.coalesce(unreadable, F.concat(F.lit("bad value: "), listed))
+    judged = F.struct(
+        *values,
+        reason.alias(REASON),
+        F.when(reason.isNotNull(), raw).alias(RAW),
+    )
+    # Generated for the same reason as above: a filter on the reason, or on a value, must
+    # not carry these long expressions with it.
+    rows = records.select(F.inline(F.array(judged)))
     if on_bad == "quarantine":
-        return records.select(
-            *values,
-            reason.alias(REASON),
-            F.when(reason.isNotNull(), raw).alias(RAW),
-        )
+        return rows
     # A filter is never pruned, so even a count of the result checks every row.
-    message = F.concat(reason, F.lit(" in "), F.left(raw, F.lit(500)))
-    accepted = F.when(reason.isNull(), True).otherwise(F.raise_error(message))
-    return records.where(accepted).select(*values)
+    message = F.concat(F.col(REASON), F.lit(" in "), F.left(F.col(RAW), F.lit(500)))
+    accepted = F.when(F.col(REASON).isNull(), True).otherwise(F.raise_error(message))
+    return rows.where(accepted).drop(REASON, RAW)
