@@ -68,18 +68,30 @@ def recover_table(spark: SparkSession, table: str) -> None:
     """Put right what an earlier run left behind if it died during its swap."""
     exists = spark.catalog.tableExists
     if exists(table + _PREVIOUS) and not exists(table):
-        spark.sql(f"ALTER TABLE {table + _PREVIOUS} RENAME TO {table}")
+        _rename(spark, table + _PREVIOUS, table)
     for leftover in (table + _STAGING, table + _PREVIOUS):
         spark.sql(f"DROP TABLE IF EXISTS {leftover}")
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def _swap_in(spark: SparkSession, table: str) -> None:
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {table + _PREVIOUS}")
-    spark.sql(f"ALTER TABLE {table + _STAGING} RENAME TO {table}")
+        _rename(spark, table, table + _PREVIOUS)
+    _rename(spark, table + _STAGING, table)
     spark.sql(f"DROP TABLE IF EXISTS {table + _PREVIOUS}")
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    if partition_columns(spark, new):
+        # A catalog may leave partitions at the old path, where the next table moves in;
+        # this points them to where the files are now.
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
+
 def cluster_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition together, so that it gets few files.
 

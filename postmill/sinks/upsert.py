@@ -10,13 +10,20 @@ Not atomic for readers on plain files; see :mod:`postmill.sinks.tables`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.operators.merge import merge_rows
-from postmill.sinks.tables import TRANSACTIONAL, cluster_for, recover_table, write_table
+from postmill.sinks.tables import (
+    TRANSACTIONAL,
+    cluster_for,
+    partition_columns,
+    recover_table,
+    write_table,
+)
 
 # Up to this many source rows only their keys are broadcast, and the target is not
 # shuffled. A key of two longs takes well under 100 bytes in the hashed relation.
@@ -72,10 +79,6 @@ def table_format(spark: SparkSession, table: str) -> str:
     return row["data_type"].lower() if row else "parquet"
 
 
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
 def _rewrite(
     spark: SparkSession, table: str, incoming: DataFrame, keys: list[str], fmt: str
 ) -> None:
@@ -92,12 +95,20 @@ def _rewrite(
         return
     affected = target.where(F.col(partitioned[0]).isin(touched))
     merged = merge_rows(affected, incoming, keys, broadcast_keys=small)
-    (
-        cluster_for(merged, partitioned)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    # Only in this mode may a table be overwritten by a query that reads it, and are the
+    # other partitions left alone. Spark takes it from the session, not from the writer.
+    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        cluster_for(merged, partitioned).write.mode("overwrite").insertInto(table)
+
+
+@contextmanager
+def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _touched_partitions(
