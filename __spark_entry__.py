@@ -163,10 +163,13 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def as_dump(df: DataFrame) -> DataFrame:
-    """Every row as a line of an attribute-style dump."""
+    """Every row as a line of an attribute-style dump.
+
+    The line is generated, not selected, so that a filter on it does not repeat its making.
+    """
     attributes = F.struct(*[F.col(c).cast("string").alias("_" + c) for c in df.columns])
     line = F.to_xml(attributes, {"rowTag": "row", "indent": ""})
-    return df.select(F.rtrim(F.translate(line, "\n", " ")).alias("value"))
+    return df.select(F.explode(F.array(F.rtrim(F.translate(line, "\n", " ")))).alias("value"))
 
 
 # --- queries --------------------------------------------------------------------------

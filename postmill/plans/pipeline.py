@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,11 @@ from postmill.sources import post_types
 
 logger = logging.getLogger(__name__)
 
+T = TypeVar("T")
+
+# Reports are small next to the tables they read: a few at a time keep a cluster busy.
+CONCURRENT_JOBS = 4
+
 # What each model promises.
 CHECKS = {
     "post_types": TableChecks(
@@ -49,6 +56,16 @@ class Build:
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def run_together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """Submit independent jobs at once, so that one fills the cluster while another drains.
+
+    Waits for all of them; the first failure, in the order given, is raised.
+    """
+    with ThreadPoolExecutor(min(len(jobs), CONCURRENT_JOBS)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in started]
+
+
 def build_lakehouse(
     spark: SparkSession,
     posts_path: str,
@@ -74,13 +91,12 @@ def build_lakehouse(
             spark, path, table, schema, row_tag, layout=layout, quarantine_table=refused, fmt=fmt
         )
 
-    # Independent of each other, so the tasks of both share the cluster.
-    with ThreadPoolExecutor(2) as pool:
-        run = inheritable_thread_target(spark)(load)
-        posts_rows = pool.submit(run, posts_path, posts_table, POSTS)
-        users_rows = pool.submit(run, users_path, users_table, USERS)
-        build.rows = {posts_table: posts_rows.result(), users_table: users_rows.result()}
-
+    posts_rows, users_rows = run_together(
+        spark,
+        lambda: load(posts_path, posts_table, POSTS),
+        lambda: load(users_path, users_table, USERS),
+    )
+    build.rows = {posts_table: posts_rows, users_table: users_rows}
     build_models(spark, posts_table, users_table, gold_db, top_tags_limit, fmt)
     build.reports = write_reports(spark, gold_db, fmt)
     return build
@@ -101,26 +117,33 @@ def build_models(
 
     stg_posts = materialize_view(silver.stg_posts(posts, types), "stg_posts")
     stg_users = materialize_view(silver.stg_users(users), "stg_users")
-    enforce(stg_posts, CHECKS["stg_posts"], "stg_posts")
-    enforce(stg_users, CHECKS["stg_users"], "stg_users")
+    run_together(
+        spark,
+        lambda: enforce(stg_posts, CHECKS["stg_posts"], "stg_posts"),
+        lambda: enforce(stg_users, CHECKS["stg_users"], "stg_users"),
+    )
 
     # The check above found every post_id once, so tags can be counted by row.
     ranking = gold.top_tags(stg_posts, top_tags_limit, unique_posts=True)
-    tags_table = f"{gold_db}.marts_top_tags"
-    write_table(ranking, tags_table, fmt=fmt)
-    enforce(spark.table(tags_table), CHECKS["marts_top_tags"], tags_table)
+    wide = gold.posts_users(stg_posts, stg_users)
+
+    def store(df, model):
+        table = f"{gold_db}.{model}"
+        write_table(df, table, fmt=fmt)
+        enforce(spark.table(table), CHECKS[model], table)
+        logger.info("%s built", table)
 
+    run_together(
+        spark,
+        lambda: store(ranking, "marts_top_tags"),
+        lambda: store(wide, "marts_posts_users"),
+    )
     wide_table = f"{gold_db}.marts_posts_users"
-    write_table(gold.posts_users(stg_posts, stg_users), wide_table, fmt=fmt)
-    wide = spark.table(wide_table)
-    enforce(wide, CHECKS["marts_posts_users"], wide_table)
-    counted = grain(posts, wide).first()
+    counted = grain(posts, spark.table(wide_table)).first()
     if not counted["same_grain"]:
         raise CheckFailed(
             f"{wide_table}: {counted['result_rows']} rows from {counted['source_rows']} posts"
         )
-    for table in (tags_table, wide_table):
-        logger.info("%s built", table)
 
 
 def write_reports(
@@ -130,6 +153,9 @@ def write_reports(
     tables = reports.all_reports(
         spark.table(f"{gold_db}.marts_posts_users"), spark.table(f"{gold_db}.marts_top_tags")
     )
-    for name, report in tables.items():
-        write_table(report, f"{gold_db}.{name}", fmt=fmt)
+    stores = [
+        lambda name=name, report=report: write_table(report, f"{gold_db}.{name}", fmt=fmt)
+        for name, report in tables.items()
+    ]
+    run_together(spark, *stores)
     return {name: spark.table(f"{gold_db}.{name}") for name in tables}
