@@ -18,7 +18,9 @@ value of the wrong type without failing the job or nulling the value silently.
 
 from __future__ import annotations
 
+import operator
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,14 +74,20 @@ def parse_lines(
 ) -> DataFrame:
     """Parse a ``value`` column holding the lines of a dump."""
     # The common form is settled with plain string tests. A raw '<' cannot occur inside
-    # an attribute, so a second one means more markup on the line.
+    # an attribute, so a second one means more markup on the line; a split on it runs at
+    # memory speed, where a search for its position goes character by character.
     opening = "<" + row_tag
     line = F.trim(F.col(_VALUE))
-    plain_record = (
+    plain = (
         line.startswith(opening)
         & F.substring(line, len(opening) + 1, 1).isin(" ", "/")
         & line.endswith("/>")
-        & (F.locate("<", line, 2) == 0)
+        & (F.size(F.split(line, "<", 3)) == 2)
+    )
+    # Generating columns, here and below, keeps filters on them above this step. A filter
+    # on a selected column is pushed below it and repeats all that the column is made of.
+    tested = F.struct(
+        F.when(plain, line).otherwise(F.col(_VALUE)).alias(_VALUE), plain.alias("plain")
     )
     # Patterns decide the rest: other white space, a byte order mark, a closing tag.
     tag = re.escape(row_tag)
@@ -88,22 +96,22 @@ def parse_lines(
     text = F.col(_VALUE)
     other_markup = text.rlike(markup_line) & ~text.rlike(rf"<{tag}[\s/>]")
     kind = (
-        F.when(plain_record, "record")
+        F.when(F.col("plain"), "record")
         .when(text.rlike(record_line), "record")
         .when(other_markup, "markup")
         .otherwise("broken")
     )
-    bare = F.when(plain_record, line).otherwise(
+    bare = F.when(F.col("plain"), text).otherwise(
         F.regexp_replace(text, r"^[\s\ufeff]+", "")
     )
-    kept = lines.select(bare.alias(_VALUE), kind.alias("kind")).where(
-        F.col("kind") != "markup"
+    kept = (
+        lines.select(F.inline(F.array(tested)))
+        .select(bare.alias(_VALUE), kind.alias("kind"))
+        .where(F.col("kind") != "markup")
     )
     record = F.from_xml(
         F.col(_VALUE), _ddl(_text_schema(schema)), _reader_options(row_tag)
     )
-    # Generating the columns, rather than selecting them, keeps filters on them above
-    # the parse: pushed below it, each use of a column would parse the line again.
     parsed = kept.select(_VALUE, "kind", F.inline(F.array(record)))
     broken = F.col("kind") == "broken"
     return _typed(parsed, schema, on_bad, broken, raw=F.col(_VALUE))
@@ -146,25 +154,26 @@ def _typed(
         text = F.col(field.name)
         is_text = field.dataType == StringType()
         casts.append((field.name, text, text if is_text else text.try_cast(field.dataType)))
-    # Bad layout or XML syntax first; a value that does not cast is named.
-    unreadable = F.when(broken, F.lit("not one element per line")).when(
-        F.col(_CORRUPT).isNotNull(), F.lit("malformed XML")
-    )
-    misfits = [
-        F.when(text.isNotNull() & value.isNull(), F.lit(name))
+    misfits = {
+        name: text.isNotNull() & value.isNull()
         for name, text, value in casts
         if text is not value
-    ]
+    }
+    # Names are put together only for a row that needs them.
+    some_misfit = reduce(operator.or_, misfits.values(), F.lit(False))
+    named = F.concat_ws(", ", *[F.when(bad, name) for name, bad in misfits.items()])
+    reason = (
+        F.when(broken, F.lit("not one element per line"))
+        .when(F.col(_CORRUPT).isNotNull(), F.lit("malformed XML"))
+        .when(some_misfit, F.concat(F.lit("bad value: "), named))
+    )
     values = [value.alias(name) for name, _, value in casts]
-    listed = F.nullif(F.concat_ws(", ", *misfits), F.lit("")) if misfits else F.lit(None)
-    reason = F.coalesce(unreadable, F.concat(F.lit("bad value: "), listed))
     judged = F.struct(
         *values,
         reason.alias(REASON),
         F.when(reason.isNotNull(), raw).alias(RAW),
     )
-    # Generated for the same reason as above: a filter on the reason, or on a value, must
-    # not carry these long expressions with it.
+    # Generated so that a filter on the reason does not carry all these expressions along.
     rows = records.select(F.inline(F.array(judged)))
     if on_bad == "quarantine":
         return rows
