@@ -193,6 +193,13 @@ def xml_ingest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(as_dump(pages), pages.schema).transform(clean_columns)
 
 
+def xml_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts through the whole dump format, NULLs and timestamps included, to silver."""
+    bronze = raw_posts(spark, sf_dir)
+    parsed = parse_lines(as_dump(bronze), bronze.schema).transform(clean_columns)
+    return flat(silver.stg_posts(parsed, post_types(spark)))
+
+
 def xml_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines of which some do not fit the declared types; none is lost."""
     events = table(spark, sf_dir, "events")
@@ -438,6 +445,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "xml_ingest": xml_ingest,
         "xml_ingest_bodies": xml_ingest_bodies,
         "xml_ingest_pages": xml_ingest_pages,
+        "xml_to_silver": xml_to_silver,
         "xml_quarantine": xml_quarantine,
         "clean_columns": clean_column_names,
         "normalize_tags": normalize_tags,
@@ -598,6 +606,18 @@ left join (
 group by band_order, b.band"""
 
 
+_STG_POSTS_FLAT = f"""
+with {_STG_POSTS}
+select * replace (
+  array_to_string(tags_array, '|') as tags_array,
+  strftime(creation_date, {_DATE_TIME}) as creation_date,
+  strftime(last_activity_date, {_DATE_TIME}) as last_activity_date,
+  strftime(last_edit_date, {_DATE_TIME}) as last_edit_date,
+  strftime(closed_date, {_DATE_TIME}) as closed_date,
+  strftime(community_owned_date, {_DATE_TIME}) as community_owned_date)
+from stg_posts"""
+
+
 def oracle_sql() -> dict[str, str]:
     parts_tags = _PARTS + "," + _TOP_TAGS.format("parts")
     return {
@@ -623,16 +643,8 @@ from parts""",
 select event_id, event_type, case event_type when 'view' then 'Viewed' when 'click' then 'Clicked'
   when 'purchase' then 'Bought' else 'Unknown' end as label
 from events""",
-        "stg_posts": f"""
-with {_STG_POSTS}
-select * replace (
-  array_to_string(tags_array, '|') as tags_array,
-  strftime(creation_date, {_DATE_TIME}) as creation_date,
-  strftime(last_activity_date, {_DATE_TIME}) as last_activity_date,
-  strftime(last_edit_date, {_DATE_TIME}) as last_edit_date,
-  strftime(closed_date, {_DATE_TIME}) as closed_date,
-  strftime(community_owned_date, {_DATE_TIME}) as community_owned_date)
-from stg_posts""",
+        "xml_to_silver": _STG_POSTS_FLAT,
+        "stg_posts": _STG_POSTS_FLAT,
         "stg_users": f"""
 with {_STG_USERS}
 select * replace (

@@ -10,8 +10,10 @@ Not atomic for readers on plain files; see :mod:`postmill.sinks.tables`.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,10 @@ from postmill.sinks.tables import (
     write_table,
 )
 
-# Up to this many source rows only their keys are broadcast, and the target is not
-# shuffled. A key of two longs takes well under 100 bytes in the hashed relation.
+# Up to this many source rows, and bytes of their keys as text, only the keys are
+# broadcast and the target is not shuffled. Beyond either limit both sides are.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 
 # Up to this many touched partitions are named in the plan as literals.
 NAMED_PARTITIONS = 1_000
@@ -82,10 +85,10 @@ def table_format(spark: SparkSession, table: str) -> str:
 def _rewrite(
     spark: SparkSession, table: str, incoming: DataFrame, keys: list[str], fmt: str
 ) -> None:
-    n_rows = _check_keys(incoming, keys)
+    n_rows, key_bytes = _check_keys(incoming, keys)
     if n_rows == 0:
         return
-    small = n_rows <= BROADCAST_ROWS
+    small = n_rows <= BROADCAST_ROWS and key_bytes <= BROADCAST_KEY_BYTES
     target = spark.table(table)
     partitioned = partition_columns(spark, table)
     touched = _touched_partitions(target, incoming, keys, partitioned, small)
@@ -143,21 +146,28 @@ def _touched_partitions(
     return touched if moved.isEmpty() else None
 
 
-def _check_keys(source: DataFrame, keys: list[str]) -> int:
-    """Number of source rows; raises on a duplicate or NULL key."""
+def _check_keys(source: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Number of source rows and size of their keys; raises on a duplicate or NULL key."""
+    n = F.col("n")
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    some_null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) > 0
+    some_null = reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    key_bytes = reduce(
+        operator.add,
+        [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys],
+    )
+    zero = F.lit(0)
     seen = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.when(some_null, F.col("n"))), F.lit(0)).alias("null_keys"),
-        F.count_if((F.col("n") > 1) & ~some_null).alias("duplicate_keys"),
+        F.coalesce(F.sum("n"), zero).alias("n_rows"),
+        F.coalesce(F.sum(key_bytes), zero).alias("key_bytes"),
+        F.coalesce(F.sum(F.when(some_null, n)), zero).alias("null_keys"),
+        F.count_if((n > 1) & ~some_null).alias("duplicate_keys"),
     ).first()
     if seen["null_keys"] or seen["duplicate_keys"]:
         raise ValueError(
             f"cannot upsert on {', '.join(keys)}: the source has "
             f"{seen['duplicate_keys']} duplicate keys and {seen['null_keys']} NULL keys"
         )
-    return seen["n_rows"]
+    return seen["n_rows"], seen["key_bytes"]
 
 
 def _require_same_columns(target: DataFrame, source: DataFrame) -> None:
