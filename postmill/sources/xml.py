@@ -36,6 +36,7 @@ RAW = "rejected_row"
 
 _CORRUPT = "_corrupt_record"
 _VALUE = "value"
+_TEXT = "text"
 
 
 def load_rows(
@@ -149,35 +150,39 @@ def _typed(
     """Cast the text attributes and deal with what does not fit."""
     if on_bad not in ("fail", "quarantine"):
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
-    casts = []
-    for field in attribute_schema(schema):
-        text = F.col(field.name)
-        is_text = field.dataType == StringType()
-        casts.append((field.name, text, text if is_text else text.try_cast(field.dataType)))
+    fields = list(attribute_schema(schema))
+    typed = [f for f in fields if f.dataType != StringType()]
+    values = [
+        F.col(f.name).try_cast(f.dataType).alias(f.name) if f in typed else F.col(f.name)
+        for f in fields
+    ]
+    # Generated once and then only looked at: text and value of an attribute side by side.
+    cast = records.select(
+        *[F.col(f.name).alias(_TEXT + f.name) for f in typed],
+        broken.alias("broken"),
+        F.col(_CORRUPT),
+        raw.alias(_VALUE),
+        F.inline(F.array(F.struct(*values))),
+    )
     misfits = {
-        name: text.isNotNull() & value.isNull()
-        for name, text, value in casts
-        if text is not value
+        f.name: F.col(_TEXT + f.name).isNotNull() & F.col(f.name).isNull() for f in typed
     }
-    # Names are put together only for a row that needs them.
     some_misfit = reduce(operator.or_, misfits.values(), F.lit(False))
+    # Names are put together only for a row that needs them.
     named = F.concat_ws(", ", *[F.when(bad, name) for name, bad in misfits.items()])
     reason = (
-        F.when(broken, F.lit("not one element per line"))
+        F.when(F.col("broken"), F.lit("not one element per line"))
         .when(F.col(_CORRUPT).isNotNull(), F.lit("malformed XML"))
         .when(some_misfit, F.concat(F.lit("bad value: "), named))
     )
-    values = [value.alias(name) for name, _, value in casts]
-    judged = F.struct(
-        *values,
-        reason.alias(REASON),
-        F.when(reason.isNotNull(), raw).alias(RAW),
-    )
-    # Generated so that a filter on the reason does not carry all these expressions along.
-    rows = records.select(F.inline(F.array(judged)))
+    names = [f.name for f in fields]
+    # Generated again: what is made of the reason must not reach the optimizer as a filter
+    # over every column, which it would try to restate for each of them.
     if on_bad == "quarantine":
-        return rows
-    # A filter is never pruned, so even a count of the result checks every row.
-    message = F.concat(F.col(REASON), F.lit(" in "), F.left(F.col(RAW), F.lit(500)))
-    accepted = F.when(F.col(REASON).isNull(), True).otherwise(F.raise_error(message))
-    return rows.where(accepted).drop(REASON, RAW)
+        refused = F.when(reason.isNotNull(), F.col(_VALUE))
+        row = F.struct(*names, reason.alias(REASON), refused.alias(RAW))
+        return cast.select(F.inline(F.array(row)))
+    # A generator is never pruned, so even a count of the result checks every row.
+    message = F.concat(reason, F.lit(" in "), F.left(F.col(_VALUE), F.lit(500)))
+    accepted = F.when(reason.isNull(), F.array(F.struct(*names)))
+    return cast.select(F.inline(accepted.otherwise(F.raise_error(message))))

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +175,19 @@ def test_a_filter_does_not_repeat_the_parse(spark, dumps):
     assert plan.count("from_xml(") == 1
 
 
+@pytest.mark.parametrize("on_bad", ["fail", "quarantine"])
+def test_filters_and_joins_on_a_scan_stay_cheap_to_plan(spark, dumps, on_bad):
+    """The checks of all attributes must not spread through the plan as constraints."""
+    rows = load_rows(spark, dumps["posts"], POSTS, on_bad=on_bad)
+    good = rows if on_bad == "fail" else split_rejects(rows)[0]
+    posts = clean_columns(good)
+    answers = posts.where("ParentId is not null").select(F.col("ParentId").alias("asked"))
+    start = time.monotonic()
+    found = posts.where("Score > 10").join(answers, posts["Id"] == answers["asked"])
+    assert [r["Id"] for r in found.distinct().collect()] == [1]
+    assert time.monotonic() - start < 60
+
+
 # --- ingest ---------------------------------------------------------------------------
 
 
