@@ -11,7 +11,7 @@ def test_ingest_models_reports(spark, database, dumps, capsys):
         main(["models", f"{database}.posts", f"{database}.users", "--gold-db", gold, "--top-tags", "3"])
         main(["reports", "--gold-db", gold])
         shown = capsys.readouterr().out
-        assert f"{database}.posts: 5 rows" in shown and "kenorb" in shown
+        assert f"{database}.posts: 5 rows" in shown and "karl" in shown
         assert spark.table(f"{gold}.marts_top_tags").count() == 3
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {gold} CASCADE")

@@ -152,7 +152,7 @@ def test_posts_users(staged):
     assert status == {
         1: "resolved", 2: "resolved", 4: "resolved", 3: "unresolved", 6: "unresolved",
     }
-    assert rows[1]["display_name"] == "kenorb" and rows[1]["user_location"] == "London, UK"
+    assert rows[1]["display_name"] == "karl" and rows[1]["user_location"] == "London, UK"
     assert rows[3]["owner_user_id"] == 4 and rows[3]["user_id"] is None
 
 

@@ -42,7 +42,7 @@ def test_the_whole_build(spark, dumps, databases):
     bands = {r["band"]: r["posts"] for r in built.reports["report_score_bands"].collect()}
     assert bands == {"negative": 0, "zero": 0, "1-4": 0, "5-19": 4, "20+": 1}
     authors = [tuple(r) for r in built.reports["report_top_authors"].collect()]
-    assert authors == [("kenorb", 3, 10483)]
+    assert authors == [("karl", 3, 10483)]
     names = {t.name for t in spark.catalog.listTables(gold) if not t.isTemporary}
     assert not any("__" in name for name in names) and len(names) == 10
     # The silver models can be queried by name.

@@ -238,3 +238,23 @@ def test_ingest_with_quarantine(spark, database, dumps, tmp_path):
     assert ingest(spark, dumps["users"], table, USERS, quarantine_table=refused) == 5
     assert spark.table(refused).count() == 0
     assert schema_problems(spark.table(table), USERS) == []
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("text", ["", "<?xml version='1.0'?>\n<users>\n</users>\n"])
+def test_a_dump_without_rows(spark, database, tmp_path, text, layout):
+    path = write(tmp_path, text)
+    table, refused = f"{database}.users", f"{database}.refused"
+    with pytest.raises(TooFewRows):
+        ingest(spark, path, table, USERS, layout=layout)
+    assert not spark.catalog.tableExists(table)
+    assert ingest(
+        spark, path, table, USERS, layout=layout, quarantine_table=refused, min_rows=0
+    ) == 0
+    assert spark.table(table).count() == spark.table(refused).count() == 0
+
+
+def test_a_folder_of_dumps(spark, database, tmp_path):
+    for part in range(3):
+        write(tmp_path, dump(f'<row Id="{part}" />'), name=f"Users-{part}.xml")
+    assert ingest(spark, f"{tmp_path}/Users-*.xml", f"{database}.users", USERS) == 3
