@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from postmill.operators import clean_columns
 from postmill.sinks import write_table
-from postmill.sources import REASON, load_rows, split_rejects
+from postmill.sources import FILE, REASON, load_rows, split_rejects
 
 logger = logging.getLogger(__name__)
 
@@ -34,8 +35,8 @@ def ingest(
     """Ingest a dump and return the number of rows written to ``table``.
 
     Without ``quarantine_table`` a row that does not fit the schema fails the job. With
-    it such rows go there as text with the reason. Rows are counted while they are
-    written; the source is read again only if there is something to quarantine.
+    it such rows go there as text with the reason and the file. Rows are counted while
+    they are written; afterwards only the files that hold refused rows are read again.
 
     Fewer than ``min_rows`` rows is an error. An overwrite then leaves the old table as
     it was; an append is refused after the fact, so keep the default of 1 there.
@@ -44,19 +45,20 @@ def ingest(
     logger.info("reading %s", path)
     rows = load_rows(spark, path, schema, row_tag, layout, on_bad)
     written = Observation()
-    refused_rows = None
     if quarantine_table is None:
         good = rows.observe(written, F.count(F.lit(1)).alias("good"))
     else:
         # Counted before the split. There is no shuffle between scan and write, so a
-        # task that runs twice is still counted once.
+        # task that runs twice is still counted once. The files are a part of the list
+        # the driver made to plan the scan.
         refused = F.col(REASON).isNotNull()
         rows = rows.observe(
             written,
             F.count_if(~refused).alias("good"),
             F.count_if(refused).alias("refused"),
+            F.collect_set(FILE).alias("files"),
         )
-        good, refused_rows = split_rejects(rows)
+        good, _ = split_rejects(rows)
 
     def enough_rows() -> None:
         if written.get["good"] < min_rows:
@@ -65,18 +67,30 @@ def ingest(
     bronze = clean_columns(good)
     write_table(bronze, table, write_mode, fmt, before_swap=enough_rows)
     enough_rows()
-    if refused_rows is not None:
-        _write_refused(spark, refused_rows, written.get["refused"], quarantine_table, write_mode, fmt)
+    if quarantine_table is not None:
+        files = paths_to_read(written.get["files"], path)
+        again = load_rows(spark, files, schema, row_tag, layout, on_bad)
+        _write_refused(again, written.get["refused"], quarantine_table, write_mode, fmt)
     logger.info("%s rows written to %s", written.get["good"], table)
     return written.get["good"]
 
 
-def _write_refused(
-    spark: SparkSession, rows: DataFrame, n: int, table: str, mode: str, fmt: str
-) -> None:
+def paths_to_read(files: list[str], path: str) -> str | list[str]:
+    """The files as paths for a reader, or ``path`` if they cannot be named so.
+
+    Spark reports a file as an encoded URI, but reads a path as it is, and as a pattern.
+    """
+    paths = [unquote(file) for file in files]
+    if not paths or any(set(name) & set("[]{}*?\\") for name in paths):
+        return path
+    return sorted(paths)
+
+
+def _write_refused(rows: DataFrame, n: int, table: str, mode: str, fmt: str) -> None:
+    _, refused = split_rejects(rows)
     if n == 0:
         # Nothing to read the source again for, but no stale rows either.
-        rows = spark.createDataFrame([], rows.schema)
+        refused = rows.sparkSession.createDataFrame([], refused.schema)
     if n or mode == "overwrite":
-        write_table(rows, table, mode, fmt)
+        write_table(refused, table, mode, fmt)
     logger.info("%s rows quarantined in %s", n, table)

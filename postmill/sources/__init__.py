@@ -2,6 +2,7 @@
 
 from postmill.sources.tables import lookup_table, post_types, read_seed, read_table
 from postmill.sources.xml import (
+    FILE,
     REASON,
     RAW,
     LAYOUTS,
@@ -11,6 +12,7 @@ from postmill.sources.xml import (
 )
 
 __all__ = [
+    "FILE",
     "LAYOUTS",
     "RAW",
     "REASON",

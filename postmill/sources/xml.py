@@ -30,9 +30,13 @@ from postmill.schemas import attribute_schema
 
 LAYOUTS = ("lines", "file")
 
-# Columns added in quarantine mode: why a row was refused, and what it looked like.
+# Columns added in quarantine mode: why a row was refused, what it looked like, and which
+# file it came from. The last two are NULL for a good row.
 REASON = "rejected_because"
 RAW = "rejected_row"
+FILE = "rejected_file"
+
+_FILE_PATH = "_metadata.file_path"
 
 _CORRUPT = "_corrupt_record"
 _VALUE = "value"
@@ -41,7 +45,7 @@ _TEXT = "text"
 
 def load_rows(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | None,
     row_tag: str = "row",
     layout: str = "lines",
@@ -54,26 +58,38 @@ def load_rows(
     rows and no error; :func:`postmill.plans.ingest.ingest` guards against that.
 
     ``on_bad="fail"`` stops the job at the first bad value. ``on_bad="quarantine"``
-    keeps every row and adds two columns for :func:`split_rejects`.
+    keeps every row and adds columns for :func:`split_rejects`.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     if schema is None:
         return spark.read.format("xml").option("rowTag", row_tag).load(path)
     if layout == "lines":
-        return parse_lines(spark.read.text(path), schema, row_tag, on_bad)
+        lines = spark.read.text(path)
+        return parse_lines(lines, schema, row_tag, on_bad, file=F.col(_FILE_PATH))
     texts = _text_schema(schema)
     records = (
         spark.read.format("xml").options(**_reader_options(row_tag)).schema(texts).load(path)
     )
     raw = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*texts.names)))
-    return _typed(records, schema, on_bad, broken=F.lit(False), raw=raw)
+    return _typed(
+        records, schema, on_bad, broken=F.lit(False), raw=raw, file=F.col(_FILE_PATH)
+    )
 
 
 def parse_lines(
-    lines: DataFrame, schema: StructType, row_tag: str = "row", on_bad: str = "fail"
+    lines: DataFrame,
+    schema: StructType,
+    row_tag: str = "row",
+    on_bad: str = "fail",
+    file: Column | None = None,
 ) -> DataFrame:
-    """Parse a ``value`` column holding the lines of a dump."""
+    """Parse a ``value`` column holding the lines of a dump.
+
+    ``file`` says where a line came from, if it is known.
+    """
+    if file is None:
+        file = F.lit(None).cast("string")
     # The common form is settled with plain string tests. A raw '<' cannot occur inside
     # an attribute, so a second one means more markup on the line; a split on it runs at
     # memory speed, where a search for its position goes character by character.
@@ -106,22 +122,22 @@ def parse_lines(
         F.regexp_replace(text, r"^[\s\ufeff]+", "")
     )
     kept = (
-        lines.select(F.inline(F.array(tested)))
-        .select(bare.alias(_VALUE), kind.alias("kind"))
+        lines.select(file.alias("file"), F.inline(F.array(tested)))
+        .select("file", bare.alias(_VALUE), kind.alias("kind"))
         .where(F.col("kind") != "markup")
     )
     record = F.from_xml(
         F.col(_VALUE), _ddl(_text_schema(schema)), _reader_options(row_tag)
     )
-    parsed = kept.select(_VALUE, "kind", F.inline(F.array(record)))
+    parsed = kept.select("file", _VALUE, "kind", F.inline(F.array(record)))
     broken = F.col("kind") == "broken"
-    return _typed(parsed, schema, on_bad, broken, raw=F.col(_VALUE))
+    return _typed(parsed, schema, on_bad, broken, raw=F.col(_VALUE), file=F.col("file"))
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Separate a quarantine-mode scan into typed good rows and raw refused ones."""
-    good = rows.where(F.col(REASON).isNull()).drop(REASON, RAW)
-    refused = rows.where(F.col(REASON).isNotNull()).select(REASON, RAW)
+    good = rows.where(F.col(REASON).isNull()).drop(REASON, RAW, FILE)
+    refused = rows.where(F.col(REASON).isNotNull()).select(REASON, RAW, FILE)
     return good, refused
 
 
@@ -145,7 +161,12 @@ def _ddl(schema: StructType) -> str:
 
 
 def _typed(
-    records: DataFrame, schema: StructType, on_bad: str, broken: Column, raw: Column
+    records: DataFrame,
+    schema: StructType,
+    on_bad: str,
+    broken: Column,
+    raw: Column,
+    file: Column,
 ) -> DataFrame:
     """Cast the text attributes and deal with what does not fit."""
     if on_bad not in ("fail", "quarantine"):
@@ -162,6 +183,7 @@ def _typed(
         broken.alias("broken"),
         F.col(_CORRUPT),
         raw.alias(_VALUE),
+        file.alias("file"),
         F.inline(F.array(F.struct(*values))),
     )
     misfits = {
@@ -179,8 +201,12 @@ def _typed(
     # Generated again: what is made of the reason must not reach the optimizer as a filter
     # over every column, which it would try to restate for each of them.
     if on_bad == "quarantine":
-        refused = F.when(reason.isNotNull(), F.col(_VALUE))
-        row = F.struct(*names, reason.alias(REASON), refused.alias(RAW))
+        row = F.struct(
+            *names,
+            reason.alias(REASON),
+            F.when(reason.isNotNull(), F.col(_VALUE)).alias(RAW),
+            F.when(reason.isNotNull(), F.col("file")).alias(FILE),
+        )
         return cast.select(F.inline(F.array(row)))
     # A generator is never pruned, so even a count of the result checks every row.
     message = F.concat(reason, F.lit(" in "), F.left(F.col(_VALUE), F.lit(500)))

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from postmill.functions import timestamp_text
 from postmill.operators import clean_columns
 from postmill.operators.quality import schema_problems
-from postmill.plans.ingest import TooFewRows, ingest
+from postmill.plans.ingest import TooFewRows, ingest, paths_to_read
 from postmill.schemas import POSTS, USERS, attribute_schema
-from postmill.sources import RAW, REASON, load_rows, split_rejects
+from postmill.sources import FILE, RAW, REASON, load_rows, split_rejects
 
 LAYOUTS = ["lines", "file"]
 
@@ -240,6 +240,32 @@ def test_ingest_with_quarantine(spark, database, dumps, tmp_path):
     assert schema_problems(spark.table(table), USERS) == []
 
 
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_only_files_with_refused_rows_are_read_again(spark, database, tmp_path, layout, monkeypatch):
+    write(tmp_path, dump('<row Id="1" />'), name="Users 1.xml")
+    write(tmp_path, dump('<row Id="2" />', *BAD_VALUES), name="Users 2 100%é.xml")
+    write(tmp_path, dump('<row Id="x" />', '<row Id="3" />'), name="Users 3.xml")
+    scans = []
+
+    def counted(spark, path, *args):
+        scans.append(path)
+        return load_rows(spark, path, *args)
+
+    monkeypatch.setattr("postmill.plans.ingest.load_rows", counted)
+    table, refused = f"{database}.users", f"{database}.refused"
+    path = f"{tmp_path}/Users*.xml"
+    assert ingest(spark, path, table, USERS, layout=layout, quarantine_table=refused) == 3
+    assert [p.rsplit("/", 1)[1] for p in scans[1]] == ["Users 2 100%é.xml", "Users 3.xml"]
+    rows = spark.table(refused).groupBy(FILE).count().collect()
+    assert sorted(r["count"] for r in rows) == [1, 3]
+
+
+@pytest.mark.parametrize("name", ["a[1].xml", "a{b}.xml", "plain.xml"])
+def test_file_names_that_look_like_patterns(name):
+    got = paths_to_read([f"file:///d/{name}"], "/d")
+    assert got == (["file:///d/plain.xml"] if name == "plain.xml" else "/d")
+
+
 @pytest.mark.parametrize("layout", LAYOUTS)
 @pytest.mark.parametrize("text", ["", "<?xml version='1.0'?>\n<users>\n</users>\n"])
 def test_a_dump_without_rows(spark, database, tmp_path, text, layout):
