@@ -237,7 +237,7 @@ def clean_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalize_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = tagged_parts(spark, sf_dir).transform(silver.normalize_tags)
-    return flat(tagged.withColumn("n_tags", F.size("tags_array")))
+    return flat(tagged.withColumn("n_tags", F.array_size("tags_array")))
 
 
 def event_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

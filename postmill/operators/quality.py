@@ -49,7 +49,7 @@ def no_empty_arrays(df: DataFrame, column: str) -> DataFrame:
 
 
 def _empty_array(column: str) -> Column:
-    return F.col(column).isNotNull() & (F.size(column) == 0)
+    return F.array_size(column) == 0
 
 
 # --- row rules ------------------------------------------------------------------------
