@@ -38,6 +38,21 @@ from postmill.schemas import contract  # noqa: E402
 from postmill.session import pin_utc  # noqa: E402
 from postmill.sources import RAW, REASON, lookup_table, parse_lines, post_types  # noqa: E402
 
+OPTIONAL_MODULES = ("postmill.llm", "postmill.llm.queries", "corpus_pipeline")
+
+try:  # the corpus operators may be left out; the other queries stay
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_ORACLE
+    from corpus_pipeline import run as run_pipeline
+    from postmill.llm.queries import ORACLE as LLM_ORACLE
+    from postmill.llm.queries import QUERIES as LLM_QUERIES
+
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": run_pipeline}
+    LLM_ORACLE = LLM_ORACLE | ({"pipeline": PIPELINE_ORACLE} if PIPELINE_ORACLE else {})
+except ModuleNotFoundError as missing:
+    if missing.name not in OPTIONAL_MODULES:
+        raise
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -441,7 +456,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return LLM_QUERIES | {
         "xml_ingest": xml_ingest,
         "xml_ingest_bodies": xml_ingest_bodies,
         "xml_ingest_pages": xml_ingest_pages,
@@ -620,7 +635,7 @@ from stg_posts"""
 
 def oracle_sql() -> dict[str, str]:
     parts_tags = _PARTS + "," + _TOP_TAGS.format("parts")
-    return {
+    return LLM_ORACLE | {
         "xml_ingest": "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer",
         "xml_ingest_bodies": "select doc_id, text, lang, source, n_chars from documents",
         "xml_ingest_pages": "select page_id, url, html from pages",
