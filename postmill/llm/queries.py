@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mix, secrets, shard
+from . import jaccard, mix, secrets, shard
 from .common import read
 
 
@@ -18,12 +18,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op8(read(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op9(read(spark, sf_dir, "documents"))
+
+
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.op10(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_mix_sources, op8_secret_scan, op10_feistel_shards)
+    f.__name__: f for f in (op5_mix_sources, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
 }
 
 ORACLE: dict[str, str] = {}

@@ -86,13 +86,13 @@ def number_rows(rows: DataFrame, block: str, order: list[str], blocks: int) -> D
     return rows.withColumn("inside", inside).join(F.broadcast(starts), block).withColumn("row_no", F.col("first") + F.col("inside"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
-    """Columns ``row`` (all of ``docs``), ``size``, ``text_crc32``, ``row_no``, ``n_rows``, ``shard``, ``slot``."""
+def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, blocks: int = BLOCKS, kept: list[str] | None = None) -> DataFrame:
+    """Columns ``row`` (all of ``docs``, or those ``kept``), ``size``, ``text_crc32``, ``row_no``, ``n_rows``, ``shard``, ``slot``."""
     if shards < 1:
         raise ValueError("shards must be 1 or more")
     text = F.encode(text_of(), "UTF-8")
     rows = docs.select(
-        packed(docs).alias("row"),
+        packed(docs.select(kept or "*")).alias("row"),
         F.col("doc_id").alias("id"),
         (F.octet_length(text_of()) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
@@ -116,7 +116,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
 
 
 def op10(docs: DataFrame) -> DataFrame:
-    return shard_rows(docs.select("doc_id", "text").withColumn("text", text_of()).select("doc_id", "text")).select(
+    return shard_rows(docs.select("doc_id", "text"), kept=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "size", "text_crc32",
         F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "row_no", "n_rows",
