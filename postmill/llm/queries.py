@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mix, secrets, shard
+from . import jaccard, mix, secrets, shard, suffixes
 from .common import read
 
 
@@ -14,6 +14,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.op5(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.op6(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op8(read(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_mix_sources, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
+    f.__name__: f for f in (op5_mix_sources, op6_suffix_decontamination, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
 }
 
 ORACLE: dict[str, str] = {}
