@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mix, secrets, shard, suffixes
+from . import jaccard, lm, mix, secrets, shard, suffixes
 from .common import read
 
 
+def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.op4(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.op5(read(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_mix_sources, op6_suffix_decontamination, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
+    f.__name__: f for f in (op4_bloom_lm, op5_mix_sources, op6_suffix_decontamination, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
 }
 
 ORACLE: dict[str, str] = {}
