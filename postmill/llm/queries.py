@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lm, mix, secrets, shard, suffixes
+from . import jaccard, language, lm, mix, quality, secrets, shard, suffixes
 from .common import read
 
 
+def op1_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op1(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op3(read(spark, sf_dir, "documents"))
+
+
 def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.op4(read(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bloom_lm, op5_mix_sources, op6_suffix_decontamination, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
+    f.__name__: f for f in (op1_quality_machine, op3_language_id, op4_bloom_lm, op5_mix_sources, op6_suffix_decontamination, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
 }
 
 ORACLE: dict[str, str] = {}
