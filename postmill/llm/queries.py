@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language, lm, mix, quality, secrets, shard, suffixes
+from . import jaccard, language, lm, mix, pages, quality, secrets, shard, suffixes, vectors
 from .common import read
 
 
@@ -14,6 +14,10 @@ def op1_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op1(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.op2(read(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op3(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op6_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.op6(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.op7(read(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op8(read(spark, sf_dir, "documents"))
 
@@ -43,7 +51,19 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_machine, op3_language_id, op4_bloom_lm, op5_mix_sources, op6_suffix_decontamination, op8_secret_scan, op9_jaccard_join, op10_feistel_shards)
+    f.__name__: f
+    for f in (
+        op1_quality_machine,
+        op2_adaptive_scan,
+        op3_language_id,
+        op4_bloom_lm,
+        op5_mix_sources,
+        op6_suffix_decontamination,
+        op7_html_extraction,
+        op8_secret_scan,
+        op9_jaccard_join,
+        op10_feistel_shards,
+    )
 }
 
 ORACLE: dict[str, str] = {}
