@@ -10,23 +10,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import mix, shard
+from postmill.llm import jaccard, mix, quality, shard, suffixes
 from postmill.llm.common import read, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that of the smallest id."""
+    return jaccard.deduplicated(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of the benchmark go."""
+    return suffixes.decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated, so that sources come near their target weights."""
     return mix.mixture(docs)
 
 
-def shard_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document gets its shard and slot of a reproducible shuffle."""
     return shard.sharded(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("mix_sources", mix_sources),
-    ("sharding", shard_rows),
+    ("quality_classifier", quality_classifier),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("sharding", sharding),
 ]
 
 ORACLE_SQL = None
