@@ -31,7 +31,8 @@ THRESHOLD = 0.3
 WORD_SLOTS = 1 << 16
 BINS = 16
 FACTORS = 8
-EPOCHS = 12
+EPOCHS, STEPS = 12, 1500  # at least so many passes, and so many steps of BATCH rows
+BATCH = 64
 RATE = 0.05
 DECAY = 1e-4
 SEED = 7
@@ -40,7 +41,7 @@ LETTERS = (slice(65, 91), slice(97, 123))
 SYMBOLS = b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~"
 STATISTICS = (
     "upper", "digit", "symbol", "stop", "comma", "bang", "bar", "other", "space", "high",
-    "distinct", "word_length", "line_words", "bytes", "words", "lines",
+    "distinct", "doubled", "word_length", "line_words", "bytes", "words", "lines",
 )
 SLOTS = WORD_SLOTS + BINS * len(STATISTICS)
 
@@ -50,7 +51,7 @@ def _binned(value: np.ndarray, top: float) -> np.ndarray:
     return np.minimum(BINS * np.sqrt(np.clip(value / top, 0, 1)), BINS - 1).astype(np.int64)
 
 
-def statistics(texts: pa.Array, n_words: np.ndarray, n_distinct: np.ndarray) -> np.ndarray:
+def statistics(texts: pa.Array, n_words: np.ndarray, n_distinct: np.ndarray, n_doubled: np.ndarray) -> np.ndarray:
     """The slots of each text's structure and metadata bins, one row a text."""
     body, at = raw(texts)
     n_docs, sizes = len(at) - 1, np.diff(at)
@@ -71,6 +72,7 @@ def statistics(texts: pa.Array, n_words: np.ndarray, n_distinct: np.ndarray) ->
         (count[:, [9, 10, 11, 12, 13, 32]].sum(1) / size, 0.5),
         (count[:, 128:].sum(1) / size, 1.0),
         (n_distinct / n, 1.0),
+        (n_doubled / n, 1.0),
         (size / n, 32.0),
         (n_words / (count[:, 10] + 1), 256.0),
         (np.log1p(sizes) ** 2, 400.0),
@@ -88,7 +90,9 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc, weight = entry // WORD_SLOTS, np.sqrt(times)
     length = np.sqrt(np.bincount(doc, weights=weight * weight, minlength=n_docs))
     found = np.bincount(doc, minlength=n_docs)
-    fixed = statistics(texts, np.diff(w.first), found)
+    own = w.doc()
+    doubled = np.bincount(own[1:][(w.hash[1:] == w.hash[:-1]) & (own[1:] == own[:-1])], minlength=n_docs)
+    fixed = statistics(texts, np.diff(w.first), found, doubled)
     width = fixed.shape[1]
     first = np.concatenate(([0], np.cumsum(found + width)))
     slot, value = np.empty(first[-1], np.int32), np.empty(first[-1], np.float32)
@@ -134,15 +138,19 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Machine:
         return machine
     random = np.random.default_rng(SEED)
     squared_w, squared_v = np.full(SLOTS, 1e-6, np.float32), np.full((SLOTS, FACTORS), 1e-6, np.float32)
-    for _ in range(EPOCHS):
+    # The rarer label counts more, by the root of how much rarer it is.
+    rare = float(np.clip(np.sqrt(good / (1 - good)), 0.2, 5))
+    weight = np.where(label > 0, 1.0, rare).astype(np.float32)
+    batches = max(1, len(rows) // BATCH)
+    for _ in range(max(EPOCHS, -(-STEPS // batches))):
         order = random.permutation(len(rows))
-        for chunk in np.array_split(order, max(1, len(rows) // 64)):
+        for chunk in np.array_split(order, batches):
             slot = np.concatenate([rows[i][0] for i in chunk])
             value = np.concatenate([rows[i][1] for i in chunk])
             sizes = np.array([len(rows[i][0]) for i in chunk])
             first = np.concatenate(([0], np.cumsum(sizes)))
             raw_score, total = machine.sums(slot, value, first)
-            error = (1 / (1 + np.exp(-np.clip(raw_score, -30, 30))) - label[chunk]) / np.sqrt(len(chunk))
+            error = (1 / (1 + np.exp(-np.clip(raw_score, -30, 30))) - label[chunk]) * weight[chunk] / np.sqrt(len(chunk))
             each = np.repeat(error, sizes)
             machine.b -= RATE * float(error.mean())
             at, back = np.unique(slot, return_inverse=True)
