@@ -3,11 +3,14 @@
 A document is the set of its distinct five-word shingles; equal sets form one class, so copies are
 never paired. The Jaccard distance is a metric. The join goes by regions around pivots:
 
-1. Pivots. All sets put their shingles into one order (common ones last, then by hash). Sets that
-   link share one of the first ``n - ceil(0.75 n) + 1`` shingles of either. The smallest class
-   that has such a shingle is its pivot, and the classes that have it are put into the region of
-   this pivot. A class near several pivots is replicated into the region of each, so every pair
-   that can link meets in a region, while a set far from all others is in none.
+1. Pivots. The signature of a set is its ``SIGNATURE`` smallest shingle hashes (all, if it has
+   fewer). Signatures of linked sets share at least ``SHARED`` hashes: the smallest of the union are
+   a random draw of which each lies in both sets with probability 0.75, and 64 draws give 16 or
+   fewer with a chance of 1e-16; sets of 64 shingles or fewer share what the bound says. So of its
+   signature, rarest first, each set needs to offer only the first ``size - shared + 1``: linked
+   sets have one of these in common. The smallest class that has a hash is its pivot; a class joins
+   the regions of the pivots of what it offers. A class near several pivots is replicated into each
+   region, so every pair that can link meets in one, while a set far from all others is in none.
 2. Regions. Distances to the pivot are computed. Members within 0.25 link to it and need no further
    pairing among themselves, as only components are asked for. Pairs whose distances to the pivot
    differ by more than 0.25 can't link. What isn't joined to the region's largest component becomes
@@ -17,8 +20,7 @@ never paired. The Jaccard distance is a metric. The join goes by regions around
    distance to the pivot, as far as the window of 0.25 reaches, block by block.
 
 Null and empty texts have no shingles and link with nothing. A text of one to four words is one
-shingle. Repeated rows fall into one class. The size of the order's counters bounds its memory; the
-counters steer the cost only, since any order that all sets share gives the same links.
+shingle. Repeated rows fall into one class.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ from .words import NOT_SPACE, Words, mixed, named, slices, words
 GRAM = 5
 PERCENT = 75
 REGION = 1000
-COUNTERS = 1 << 20
-SEGMENTS = 64
+SIGNATURE = 64
+SHARED = 17
 BUCKETS = 256
 FACTORS = mixed(np.arange(11, 11 + GRAM, dtype=np.uint64)) | np.uint64(1)
 
@@ -89,76 +91,72 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int
             yield list({class_of(s): s for s in sets}.items())
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counters = np.zeros(COUNTERS, dtype=np.uint32)
-    for sets in _distinct_sets(batches):
-        if sets:
-            at = np.concatenate([s for _, s in sets]) & np.uint64(COUNTERS - 1)
-            counters += np.bincount(at.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-    blobs = [part.tobytes() for part in np.split(counters, SEGMENTS)]
-    yield pa.RecordBatch.from_arrays([pa.array(range(SEGMENTS), pa.int32()), pa.array(blobs, pa.binary())], names=["segment", "blob"])
+def offered(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """How many hashes of a signature of this size, rarest first, a linked set shares one of."""
+    return size - np.minimum((percent * size + 99) // 100, SHARED) + 1
 
 
-def _added(table: pa.Table) -> pa.Table:
-    total = np.zeros(COUNTERS // SEGMENTS, dtype=np.uint64)
-    for blob in table.column("blob"):
-        total += np.frombuffer(blob.as_buffer(), dtype=np.uint32)
-    total = np.minimum(total, 0xFFFFF).astype(np.uint32)
-    return pa.table({"segment": table.column("segment").slice(0, 1), "blob": pa.array([total.tobytes()], pa.binary())})
+def _blobs(buckets: np.ndarray, count: int, names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
+    """One row a bucket with its part of each column as bytes."""
+    order = np.argsort(buckets, kind="stable")
+    ends = np.searchsorted(buckets[order], np.arange(count + 1))
+    full = np.flatnonzero(np.diff(ends))
+    parts = [pa.array([column[order[ends[b] : ends[b + 1]]].tobytes() for b in full], pa.binary()) for column in columns]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *parts], names=["bucket", *names])
 
 
-def shingle_counters(texts: DataFrame) -> np.ndarray:
-    """How often the shingles of each of COUNTERS classes occur; 4 MB, whatever the size of the table."""
-    partial = texts.mapInArrow(_counted, "segment int, blob binary")
-    rows = partial.groupBy("segment").applyInArrow(_added, "segment int, blob binary").collect()
-    parts = {row.segment: np.frombuffer(row.blob, dtype=np.uint32) for row in rows}
-    none = np.zeros(COUNTERS // SEGMENTS, dtype=np.uint32)
-    return np.concatenate([parts.get(s, none) for s in range(SEGMENTS)])
-
-
-def prefix(found: np.ndarray, counters: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of which a linked set has one at least; ``found`` is sorted, so ties go by hash."""
-    n = len(found)
-    length = n - (percent * n + 99) // 100 + 1
-    rank = (counters[(found & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(44)) | (found >> np.uint64(20))
-    return found[np.argsort(rank, kind="stable")[:length]]
-
-
-def _postings(counters, buckets: int):
+def _postings(buckets: int):
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in _distinct_sets(batches):
-            if not sets:
-                continue
-            keys = [prefix(s, counters.value) for _, s in sets]
-            tokens = np.concatenate(keys)
-            owners = np.repeat(np.array([c for c, _ in sets], dtype=np.int64), [len(k) for k in keys])
-            bucket = (tokens >> np.uint64(40)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            full = np.flatnonzero(np.diff(ends))
-            cut = [order[ends[b] : ends[b + 1]] for b in full]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array([tokens[c].tobytes() for c in cut], pa.binary()), pa.array([owners[c].tobytes() for c in cut], pa.binary())],
-                names=["bucket", "tokens", "owners"],
-            )
+            if sets:
+                keys = [s[:SIGNATURE] for _, s in sets]
+                sizes = np.array([len(k) for k in keys])
+                tokens = np.concatenate(keys)
+                owners = np.repeat(np.array([c for c, _ in sets], dtype=np.int64), sizes)
+                bucket = (mixed(tokens) % np.uint64(buckets)).astype(np.int64)
+                yield _blobs(bucket, buckets, ["tokens", "owners", "sizes"], [tokens, owners, np.repeat(sizes, sizes).astype(np.uint8)])
 
     return post
 
 
 def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(blob.as_py() for blob in column), dtype=kind)
-
-
-def _pivots(table: pa.Table) -> pa.Table:
-    """(pivot, class) of every shingle that two classes or more have."""
-    tokens, owners = _joined(table.column("tokens"), np.uint64), _joined(table.column("owners"), np.int64)
-    order = np.lexsort((owners, tokens))
-    tokens, owners = tokens[order], owners[order]
-    fresh = np.concatenate(([True], tokens[1:] != tokens[:-1]))
-    begin = np.flatnonzero(fresh)
-    pivot = np.repeat(owners[begin], np.diff(np.append(begin, len(tokens))))
-    other = owners != pivot
-    pairs = np.unique(np.stack([pivot[other], owners[other]], axis=1), axis=0)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+
+
+def _pivots(buckets: int):
+    """For each hash that two classes or more have: its pivot and how many have it, sent to each of them."""
+
+    def pivots(table: pa.Table) -> pa.Table:
+        tokens, owners = _joined(table.column("tokens"), np.uint64), _joined(table.column("owners"), np.int64)
+        sizes = _joined(table.column("sizes"), np.uint8)
+        order = np.lexsort((owners, tokens))
+        tokens, owners, sizes = tokens[order], owners[order], sizes[order]
+        fresh = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])))
+        tokens, owners, sizes = tokens[fresh], owners[fresh], sizes[fresh]
+        begin = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        count = np.diff(np.append(begin, len(tokens)))
+        pivot, have = np.repeat(owners[begin], count), np.repeat(count, count)
+        many = have > 1
+        owners = owners[many]
+        bucket = (mixed(owners.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        columns = [owners, tokens[many], have[many].astype(np.uint32), pivot[many], sizes[many]]
+        return pa.Table.from_batches([_blobs(bucket, buckets, ["owners", "tokens", "have", "pivots", "sizes"], columns)])
+
+    return pivots
+
+
+def _placed(table: pa.Table) -> pa.Table:
+    """(pivot, class): the regions of what each class offers; hashes that it has alone come first."""
+    kinds = {"owners": np.int64, "tokens": np.uint64, "have": np.uint32, "pivots": np.int64, "sizes": np.uint8}
+    owners, tokens, have, pivots, sizes = (_joined(table.column(name), kind) for name, kind in kinds.items())
+    order = np.lexsort((tokens, have, owners))
+    owners, pivots, sizes = owners[order], pivots[order], sizes[order].astype(np.int64)
+    begin = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
+    count = np.diff(np.append(begin, len(owners)))
+    rank = np.arange(len(owners)) - np.repeat(begin, count)
+    alone = sizes - np.repeat(count, count)
+    kept = (alone + rank < offered(sizes)) & (pivots != owners)
+    pairs = np.unique(np.stack([pivots[kept], owners[kept]], axis=1), axis=0)
     return pa.table({"pivot": pa.array(pairs[:, 0], pa.int64()), "class": pa.array(pairs[:, 1], pa.int64())})
 
 
@@ -259,12 +257,13 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> Da
     ``classes`` holds each class with ``rep``, the doc_id and tie of the row that stands for it.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("text").alias("_text"))
-    counters = spark.sparkContext.broadcast(shingle_counters(texts))
     buckets = max(BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    postings = texts.mapInArrow(_postings(counters, buckets), "bucket int, tokens binary, owners binary")
-    pairs = postings.groupBy("bucket").applyInArrow(_pivots, "pivot long, class long").distinct()
-    pairs = checkpoint(pairs)
+    postings = docs.select(F.col("text").alias("_text")).mapInArrow(_postings(buckets), "bucket int, tokens binary, owners binary, sizes binary")
+    shared = postings.groupBy("bucket").applyInArrow(
+        _pivots(buckets), "bucket int, owners binary, tokens binary, have binary, pivots binary, sizes binary"
+    )
+    # A class lies in one bucket, so its regions are distinct.
+    pairs = checkpoint(shared.groupBy("bucket").applyInArrow(_placed, "pivot long, class long"))
     parts = pairs.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / region).cast("int").alias("parts"))
     parts = checkpoint(parts)
     members = pairs.join(parts, "pivot").select("pivot", "class", F.array(F.pmod(F.xxhash64("class"), "parts").cast("int")).alias("part"))
@@ -293,18 +292,19 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> Da
     )
     cell = F.pmod(F.xxhash64("class"), "cells").cast("int")
     cells = F.sequence(F.lit(0), F.col("cells") - 1)
-    # (row cell of the left over) x (column cell of the members), within neighbouring rings
+    # (cell of the left over) x (cell of the members), within neighbouring rings
     lost = held.where("left_over").select(
-        "pivot", "class", F.lit(True).alias("left_over"), cell.alias("r"),
+        "pivot", "class", F.lit(True).alias("left_over"), cell.alias("cell_1"),
         F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)).alias("ring"), F.col("cells"),
-    ).withColumn("c", F.explode(cells)).drop("cells")
-    wanted = lost.select("pivot", "r", "ring", "c").distinct()
-    others = held.select("pivot", "class", F.lit(False).alias("left_over"), "ring", cell.alias("c")).join(wanted, ["pivot", "ring", "c"])
-    blocks = lost.select("pivot", "ring", "r", "c", "class", "left_over").union(others.select("pivot", "ring", "r", "c", "class", "left_over"))
+    ).withColumn("cell_2", F.explode(cells)).drop("cells")
+    block = ["pivot", "ring", "cell_1", "cell_2"]
+    wanted = lost.select(*block).distinct()
+    others = held.select("pivot", "class", F.lit(False).alias("left_over"), "ring", cell.alias("cell_2")).join(wanted, ["pivot", "ring", "cell_2"])
+    blocks = lost.select(*block, "class", "left_over").union(others.select(*block, "class", "left_over"))
     # A member that is left over itself keeps that mark within its block.
-    blocks = blocks.groupBy("pivot", "ring", "r", "c", "class").agg(F.max("left_over").alias("left_over"))
+    blocks = blocks.groupBy(*block, "class").agg(F.max("left_over").alias("left_over"))
     rows = _texts_of(docs, blocks.join(classes, "class"))
-    more = rows.groupBy("pivot", "ring", "r", "c").applyInArrow(_across, "u long, v long").where("u != v").distinct()
+    more = rows.groupBy(*block).applyInArrow(_across, "u long, v long").where("u != v").distinct()
     return links.union(checkpoint(more))
 
 
