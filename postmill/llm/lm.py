@@ -33,14 +33,14 @@ from .words import NOT_SPACE, Words, mixed, named, slices, words
 
 HELD_OUT = (10, 0)
 ADDED = 0.1
-SLICE = 8 << 20
+SLICE = 5 << 20
 SLICE_ROWS = 60_000
 WORD_BUCKETS = 80
 PAIR_BUCKETS = 512
 WORD_BITS = 1 << 21
 PAIR_BITS = 1 << 18
 PROBES = 6
-WORD_BASE, PAIR_BASE = 1.1, 2.0
+WORD_BASE, PAIR_BASE = 1.2, 2.0
 PAIR_WEIGHT = 0.15
 
 END = mixed(np.array([0x454E44], dtype=np.uint64))[0]
@@ -194,11 +194,13 @@ def count_at(level: np.ndarray, base: float) -> np.ndarray:
     return np.where(level > 0, np.sqrt(np.ceil(low - 1e-9) * top), 0.0)
 
 
-def bit_places(found: np.ndarray, level: np.ndarray, probe: int, bits: int) -> np.ndarray:
-    """The bit of one probe within the entry's segment of ``bits``."""
+def bit_places(found: np.ndarray, level: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The bits of an entry's probes within its segment of ``bits``, one probe after the other."""
     x = mixed(found + level * LEVEL)
     step = (x >> np.uint64(32)) | np.uint64(1)
-    return ((x + np.uint64(probe) * step) % np.uint64(bits)).astype(np.int64)
+    for _ in range(PROBES):
+        yield (x & np.uint64(bits - 1)).astype(np.int64)
+        x = x + step
 
 
 def _fitting(level: np.ndarray, room: int) -> np.ndarray:
@@ -215,8 +217,8 @@ def segment(found: np.ndarray, counts: np.ndarray, base: float, size: int) -> by
     found, level = found[keep], level[keep]
     every = np.repeat(found, level)
     each = (np.arange(len(every)) - np.repeat(np.cumsum(level) - level, level) + 1).astype(np.uint64)
-    for probe in range(PROBES):
-        bits[bit_places(every, each, probe, size)] = True
+    for places in bit_places(every, each, size):
+        bits[places] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -226,9 +228,18 @@ def read_levels(table: np.ndarray, found: np.ndarray, buckets: int, size: int, h
     begin = ((found >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64) * size
     entry, open_ = found & LOW, np.arange(len(found))
     for asked in range(1, highest + 1):
-        for probe in range(PROBES):
-            at = begin[open_] + bit_places(entry[open_], np.array([asked], dtype=np.uint64), probe, size)
-            open_ = open_[(table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+        hit = np.ones(len(open_), dtype=bool)
+        left = np.arange(len(open_))
+        first = begin[open_]
+        x = mixed(entry[open_] + np.array([asked], dtype=np.uint64) * LEVEL)
+        step = (x >> np.uint64(32)) | np.uint64(1)
+        for _ in range(PROBES):
+            at = first[left] + (x[left] & np.uint64(size - 1)).astype(np.int64)
+            there = (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            hit[left[~there]] = False
+            left = left[there]
+            x = x + step
+        open_ = open_[hit]
         if not len(open_):
             break
         level[open_] = asked
