@@ -66,4 +66,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op6_suffix_decontamination": rf"""
+with docs as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+items as (
+  select cast(item_id as varchar) as item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+sized as (select item, w, least(10, len(w)) as size from items where len(w) > 0),
+windows as (
+  select distinct item, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as words
+  from sized),
+places as (
+  select doc_id, size, unnest(range(1, len(w) - size + 2)) as p, w from docs, (select distinct size from windows)),
+matches as (
+  select doc_id, item, p, size from places join windows using (size) where array_to_string(w[p:p + size - 1], ' ') = words),
+hits as (
+  select doc_id, count(distinct hit) as n_hit from (select doc_id, unnest(range(p, p + size)) as hit from matches) group by doc_id),
+found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct doc_id, item from matches) group by doc_id)
+select d.doc_id as doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs d left join hits h on d.doc_id = h.doc_id left join found f on d.doc_id = f.doc_id""",
+    "op9_jaccard_join": rf"""
+with recursive docs as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, unnest(case
+    when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+  from docs),
+sizes as (select d.doc_id, count(s) as n from docs d left join shingles s on d.doc_id = s.doc_id group by d.doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n_both from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select x, y from shared join sizes a on x = a.doc_id join sizes b on y = b.doc_id where 100 * n_both >= 75 * (a.n + b.n - n_both)),
+reached as (
+  select doc_id as x, doc_id as y from docs union select r.x, l.y from reached r join links l on r.y = l.x)
+select doc_id, n as n_shingles, component_id from sizes join (select x, min(y) as component_id from reached group by x) on doc_id = x""",
+}

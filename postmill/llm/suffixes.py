@@ -223,6 +223,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op6(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = searched(docs.select("doc_id", "text"), benchmark, kept=["doc_id"])
-    return found.select(
-        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_at", "longest_item"
-    )
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
