@@ -41,7 +41,7 @@ PERCENT = 75
 REGION = 1000
 SIGNATURE = 64
 SHARED = 17
-BUCKETS = 256
+BUCKETS, CLASS_BUCKETS = 256, 64  # at least; both follow the number of shuffle partitions
 FACTORS = mixed(np.arange(11, 11 + GRAM, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -257,10 +257,11 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> Da
     ``classes`` holds each class with ``rep``, the doc_id and tie of the row that stands for it.
     """
     spark = docs.sparkSession
-    buckets = max(BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, class_buckets = max(BUCKETS, 2 * partitions), max(CLASS_BUCKETS, partitions // 2)
     postings = docs.select(F.col("text").alias("_text")).mapInArrow(_postings(buckets), "bucket int, tokens binary, owners binary, sizes binary")
     shared = postings.groupBy("bucket").applyInArrow(
-        _pivots(buckets), "bucket int, owners binary, tokens binary, have binary, pivots binary, sizes binary"
+        _pivots(class_buckets), "bucket int, owners binary, tokens binary, have binary, pivots binary, sizes binary"
     )
     # A class lies in one bucket, so its regions are distinct.
     pairs = checkpoint(shared.groupBy("bucket").applyInArrow(_placed, "pivot long, class long"))

@@ -3,7 +3,8 @@
 Vectors are brought to length 1 and rotated at random, so that a part of the coordinates tells about
 the whole distance. They are dealt into lists by their nearest centroid (spherical k-means on a
 bounded sample; every vector is indexed), and lists into parts of about ``PART``. A query probes its
-nearest lists. Within a list the coordinates are read in blocks of columns: after d of D columns a
+nearest lists, PROBE_SHARE of all (vectors without clusters need that many for a recall of 0.9).
+Within a list the coordinates are read in blocks of columns: after d of D columns a
 candidate is given up if its partial distance, scaled by D / d, is above (1 + EPSILON / sqrt d)^2
 times the best distance known, a test that a true neighbour fails with a small chance only. What is
 left gets its cosine in double precision on the original vectors.
@@ -31,9 +32,10 @@ from .words import named
 NEAREST = 5
 QUERY_STEP = 50
 SAMPLE_BYTES = 8 << 20
-LIST_SIZE = 512
+LIST_SIZE = 256
 MOST_LISTS = 4096
-PROBES = 24
+PROBE_SHARE = 0.5
+QUERIES_AT_ONCE = 256
 LEAST_CANDIDATES = 2048
 PART = 2048
 COLUMNS = 16
@@ -60,10 +62,6 @@ def unit(v: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return (unit(v) * unit(q[None, :])).sum(axis=1)
-
-
 def rotation(size: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, size)))
     return q * np.sign(np.diag(r))
@@ -142,60 +140,69 @@ def _probes(model, sizes: dict[int, int], size: int, probes: int):
             part = np.arange(len(pick)) - np.repeat(np.cumsum(parts) - parts, parts)
             own = batch.take(pa.array(row[pick]))
             yield pa.RecordBatch.from_arrays(
-                [named(own, "h1"), named(own, "h2"), named(own, "v"), named(own, "x"), pa.array(lists[pick].astype(np.int32)), pa.array(part.astype(np.int32))],
-                names=["q1", "q2", "v", "x", "list", "part"],
+                [named(own, "h1"), named(own, "h2"), named(own, "v"), pa.array(lists[pick].astype(np.int32)), pa.array(part.astype(np.int32))],
+                names=["q1", "q2", "v", "list", "part"],
             )
 
     return probe
 
 
-def scan(q: np.ndarray, x: np.ndarray, keep: int, columns: int = COLUMNS) -> np.ndarray:
-    """The candidates that the tests leave, column block by column block."""
-    size = len(q)
-    alive = np.arange(len(x))
+def scan(q: np.ndarray, x: np.ndarray, keep: int, columns: int = COLUMNS) -> tuple[np.ndarray, np.ndarray]:
+    """The (query, candidate) pairs that the tests leave, column block by column block."""
+    size = q.shape[1]
     if len(x) <= keep:
-        return alive
-    partial = np.zeros(len(x), dtype=np.float32)
-    best = np.inf
+        return tuple(np.indices((len(q), len(x))).reshape(2, -1))
+    head, tail = q[:, :columns], x[:, :columns]
+    partial = np.maximum((head * head).sum(1)[:, None] + (tail * tail).sum(1) - 2 * head @ tail.T, 0)
+    # The candidates best by the first block give the distance to beat.
+    first = np.argpartition(partial, keep - 1, axis=1)[:, :keep]
+    gap = x[first] - q[:, None, :]
+    best = (gap * gap).sum(axis=2).max(axis=1)
     for a in range(0, size, columns):
         b = min(size, a + columns)
-        gap = x[alive, a:b] - q[a:b]
-        partial = partial + (gap * gap).sum(axis=1)
-        if a == 0:
-            first = alive[np.argpartition(partial, keep - 1)[:keep]]
-            gap = x[first] - q
-            best = (gap * gap).sum(axis=1).max()
-        if b < size:
-            near = partial * (size / b) <= best * (1 + EPSILON / np.sqrt(b)) ** 2 + 1e-6
+        if a:
+            gap = x[at, a:b] - q[row, a:b]
+            left = left + (gap * gap).sum(axis=1)
+        loose = (1 + EPSILON / np.sqrt(b)) ** 2 * b / size if b < size else 1 + 1e-4
+        limit = best * loose + 1e-5
+        if a:
+            near = left <= limit[row]
+            row, at, left = row[near], at[near], left[near]
         else:
-            near = partial <= best * (1 + 1e-4) + 1e-6
-        alive, partial = alive[near], partial[near]
-    return alive
+            row, at = np.nonzero(partial <= limit[:, None])
+            left = partial[row, at]
+    return row, at
 
 
-def _searched(size: int, keep: int):
+def _searched(model, size: int, keep: int):
     def search(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        out: list[tuple] = []
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()]
+        names = ["q1", "q2", "least", "ids", "score"]
+        parts = [pa.table([pa.array([], t) for t in kinds], names=names)]
         if queries.num_rows and vectors.num_rows:
+            turn, _ = model.value
             x = np.frombuffer(b"".join(vectors.column("x").to_pylist()), dtype=np.float32).reshape(-1, size)
-            v = matrix(vectors.column("v"), size)
-            ids = vectors.column("ids").to_pylist()
-            least = np.array([i[0] for i in ids])
-            turned = np.frombuffer(b"".join(queries.column("x").to_pylist()), dtype=np.float32).reshape(-1, size)
-            asked = matrix(queries.column("v"), size)
-            for k, (q1, q2) in enumerate(zip(queries.column("q1").to_pylist(), queries.column("q2").to_pylist(), strict=True)):
-                left = scan(turned[k], x, keep)
-                score = cosines(asked[k], v[left])
-                order = np.lexsort((least[left], -score))[:keep]
-                out.extend((q1, q2, int(least[left[j]]), ids[left[j]], float(score[j])) for j in order)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()]
-        columns = zip(*out, strict=True) if out else ([],) * 5
-        return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["q1", "q2", "least", "ids", "score"])
+            own = unit(matrix(vectors.column("v"), size))
+            ids = vectors.column("ids").combine_chunks()
+            least = np.array([i[0] for i in ids.to_pylist()])
+            for a in range(0, queries.num_rows, QUERIES_AT_ONCE):
+                some = queries.slice(a, QUERIES_AT_ONCE)
+                asked = unit(matrix(some.column("v"), size))
+                row, at = scan((asked @ turn).astype(np.float32), x, keep)
+                score = (own[at] * asked[row]).sum(axis=1)
+                order = np.lexsort((least[at], -score, row))
+                row, at, score = row[order], at[order], score[order]
+                begin = np.searchsorted(row, np.arange(some.num_rows))
+                top = np.arange(len(row)) - begin[row] < keep
+                row, at = pa.array(row[top]), pa.array(at[top])
+                columns = [some.column("q1").take(row), some.column("q2").take(row), pa.array(least).take(at), ids.take(at), pa.array(score[top])]
+                parts.append(pa.table(columns, names=names))
+        return pa.concat_tables(parts)
 
     return search
 
 
-def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, share: float = PROBE_SHARE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose id ``step`` divides."""
     spark = vectors.sparkSession
     rows = usable(vectors).where(F.col("vec_id").isNotNull())
@@ -218,8 +225,8 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, probes
     packed = checkpoint(marked.mapInArrow(_packed(size), "h1 long, h2 long, ids array<long>, asked boolean, v binary"))
 
     count = packed.count()
-    share = min(1.0, SAMPLE_BYTES / (8 * size * count))
-    picked = packed.where(F.pmod("h1", F.lit(1_000_000)) < F.lit(int(1_000_000 * share) + 1)).orderBy("h1", "h2").select("v").collect()
+    sampled = min(1.0, SAMPLE_BYTES / (8 * size * count))
+    picked = packed.where(F.pmod("h1", F.lit(1_000_000)) < F.lit(int(1_000_000 * sampled) + 1)).orderBy("h1", "h2").select("v").collect()
     turn = rotation(size)
     sample = unit(np.frombuffer(b"".join(r.v for r in picked), dtype=np.float64).reshape(-1, size)) @ turn if picked else np.zeros((0, size))
     lists = int(min(MOST_LISTS, max(1, count // LIST_SIZE)))
@@ -231,9 +238,9 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, probes
     parts = spark.createDataFrame([(key, -(-n // PART)) for key, n in sizes.items()], "l int, parts int")
     held = dealt.join(F.broadcast(parts), F.col("list") == F.col("l"))
     held = held.select("list", F.pmod("h1", "parts").cast("int").alias("part"), "ids", "v", "x")
-    queries = dealt.where("asked").mapInArrow(_probes(model, sizes, size, probes), "q1 long, q2 long, v binary, x binary, list int, part int")
+    queries = dealt.where("asked").mapInArrow(_probes(model, sizes, size, max(1, round(share * lists))), "q1 long, q2 long, v binary, list int, part int")
     found = queries.groupBy("list", "part").cogroup(held.groupBy("list", "part")).applyInArrow(
-        _searched(size, k + 1), "q1 long, q2 long, least long, ids array<long>, score double"
+        _searched(model, size, k + 1), "q1 long, q2 long, least long, ids array<long>, score double"
     )
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "least")
     kept = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).select("q1", "q2", "score", F.explode("ids").alias("vec_id"))

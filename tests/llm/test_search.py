@@ -57,7 +57,7 @@ def test_recall_over_many_lists(spark, monkeypatch):
     monkeypatch.setattr(vectors, "LEAST_CANDIDATES", 200)
     monkeypatch.setattr(vectors, "PART", 50)
     found: dict = {}
-    for r in vectors.nearest(spark.createDataFrame(rows, VECTORS), step=30, probes=12).collect():
+    for r in vectors.nearest(spark.createDataFrame(rows, VECTORS), step=30, share=0.3).collect():
         found.setdefault(r.query_id, set()).add(r.vec_id)
     want = brute(rows, 30, 5)
     assert sum(len(found[q] & set(want[q])) for q in want) / (5 * len(want)) >= 0.9
