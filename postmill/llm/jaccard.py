@@ -5,8 +5,8 @@ never paired. The Jaccard distance is a metric. The join goes by regions around
 
 1. Pivots. The signature of a set is its ``SIGNATURE`` smallest shingle hashes (all, if it has
    fewer). Signatures of linked sets share at least ``SHARED`` hashes: the smallest of the union are
-   a random draw of which each lies in both sets with probability 0.75, and 64 draws give 16 or
-   fewer with a chance of 1e-16; sets of 64 shingles or fewer share what the bound says. So of its
+   a random draw of which each lies in both sets with probability 0.75, and 192 draws give fewer
+   with a chance below 1e-15; sets of up to 144 shingles share what the bound itself says. So of its
    signature, rarest first, each set needs to offer only the first ``size - shared + 1``: linked
    sets have one of these in common. The smallest class that has a hash is its pivot; a class joins
    the regions of the pivots of what it offers. A class near several pivots is replicated into each
@@ -38,9 +38,9 @@ from .words import NOT_SPACE, Words, mixed, named, slices, words
 
 GRAM = 5
 PERCENT = 75
-REGION = 1000
-SIGNATURE = 64
-SHARED = 17
+REGION = 2000
+SIGNATURE = 192
+SHARED = 93
 BUCKETS, CLASS_BUCKETS = 256, 64  # at least; both follow the number of shuffle partitions
 FACTORS = mixed(np.arange(11, 11 + GRAM, dtype=np.uint64)) | np.uint64(1)
 
@@ -93,7 +93,9 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int
 
 def offered(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """How many hashes of a signature of this size, rarest first, a linked set shares one of."""
-    return size - np.minimum((percent * size + 99) // 100, SHARED) + 1
+    whole = (percent * size + 99) // 100
+    # Up to this size the union of two linked sets fits a signature, so nothing is left to chance.
+    return size - np.where(100 * size <= percent * SIGNATURE, whole, np.minimum(whole, SHARED)) + 1
 
 
 def _blobs(buckets: np.ndarray, count: int, names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
