@@ -15,6 +15,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Send texts to Python in batches of ``rows`` at most, unless the session asks for fewer.
+
+    Two batches are in memory at a time; with Spark's 10,000 rows those of whole documents
+    take a good part of a small executor.
+    """
+    if int(spark.conf.get(BATCH_ROWS)) > rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; only where it is unset (tests, one machine) a temporary one."""
     context = spark.sparkContext

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, packed, tie_break
+from .common import WORD, bounded_batches, checkpoint, packed, tie_break
 from .components import components
 from .words import NOT_SPACE, Words, mixed, named, slices, words
 
@@ -245,12 +245,16 @@ def _across(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(ids, pa.int64()), "v": pa.array(roots)})
 
 
+def _chosen(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` (with doc_id and tie) that ``wanted`` names as ``rep``, with its columns."""
+    asked = wanted.withColumn("r_doc", F.col("rep.doc_id")).withColumn("r_tie", F.col("rep.tie")).drop("rep")
+    return rows.join(asked, F.equal_null("doc_id", "r_doc") & (F.col("tie") == F.col("r_tie"))).drop("r_doc", "r_tie")
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (class, rep, ..) with the text of the row that stands for the class."""
-    rows = classified(docs.select("doc_id", tie_break(docs).alias("tie"), F.col("text").alias("kept"), F.col("text").alias("_text")))
-    asked = wanted.withColumn("r_doc", F.col("rep.doc_id")).withColumn("r_tie", F.col("rep.tie")).drop("rep").withColumnRenamed("class", "c")
-    met = rows.where(F.col("n") > 0).join(asked, (F.col("class") == F.col("c")) & F.equal_null("doc_id", "r_doc") & (F.col("tie") == F.col("r_tie")))
-    return met.withColumnRenamed("kept", "_text").drop("doc_id", "tie", "n", "c", "r_doc", "r_tie")
+    rows = docs.select("doc_id", tie_break(docs).alias("tie"), F.col("text").alias("_text"))
+    return _chosen(rows, wanted).drop("doc_id", "tie")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> DataFrame:
@@ -319,6 +323,7 @@ def _ids(docs: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame]:
     """The ids of all documents, and for each class its component's first document: (c, root, rep)."""
+    bounded_batches(docs.sparkSession)
     ids = _ids(docs)
     full = ids.where(F.col("n") > 0)
     classes = checkpoint(full.groupBy("class").agg(F.min(F.struct("doc_id", "tie")).alias("rep")))
@@ -340,12 +345,12 @@ def near_duplicates(docs: DataFrame, region: int = REGION) -> DataFrame:
 
 def deduplicated(docs: DataFrame, region: int = REGION) -> DataFrame:
     """One document of each component, that of the smallest id; documents without words all stay."""
-    _, groups = grouped(docs, region)
-    rows = classified(docs.select(packed(docs).alias("row"), "doc_id", tie_break(docs).alias("tie"), F.col("text").alias("_text")))
-    kept = rows.where(F.col("n") > 0).join(
-        groups, (F.col("class") == F.col("c")) & F.equal_null("doc_id", "rep.doc_id") & (F.col("tie") == F.col("rep.tie"))
-    )
-    one = kept.dropDuplicates(["root"]).select("row").union(rows.where(F.col("n") == 0).select("row"))
+    ids, groups = grouped(docs, region)
+    first = groups.select("rep").union(ids.where(F.col("n") == 0).select(F.struct("doc_id", "tie").alias("rep"))).distinct()
+    rows = docs.select(packed(docs).alias("row"), "doc_id", tie_break(docs).alias("tie"), (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) > 0).alias("full"))
+    kept = _chosen(rows, first)
+    # Rows that are equal in all columns are named together; one of them stays.
+    one = kept.where("full").dropDuplicates(["doc_id", "tie"]).select("row").union(kept.where(~F.col("full")).select("row"))
     return one.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .lm import remainder
 from .words import BASE, BYTE_VALUES, NOT_SPACE, mixed, named, slices, words
 
@@ -264,6 +265,7 @@ def _predicted(model):
 
 def identified(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
+    bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(learned(docs.select("doc_id", "text", "lang"), path))
     rows = docs.select("doc_id", "text")
     return rows.mapInArrow(_predicted(model), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")

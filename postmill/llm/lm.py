@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import bounded_batches, stored, text_of
 from .words import NOT_SPACE, Words, mixed, named, slices, words
 
 HELD_OUT = (10, 0)
@@ -294,6 +294,7 @@ def _filter(rows: list, first: int, buckets: int, size: int) -> bytes:
 def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select("doc_id", text_of().alias("text"), (remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1]).alias("held_out"))
     rows = rows.select("*", F.xxhash64("doc_id", F.lit(1), "text").alias("key"), (~F.col("held_out")).alias("train"))
     counted = rows.select("text", "key", "train").mapInArrow(_counted, COUNTED)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .words import named, slices
 
 SAMPLE = 2000
@@ -295,6 +296,7 @@ def _extracted(weights):
 
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
+    bounded_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", "html")
     weights = pages.sparkSession.sparkContext.broadcast(learned(rows))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:2])

@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed
+from .common import bounded_batches, packed
 from .lm import remainder
-from .words import NOT_SPACE, named, raw, slices, words
+from .words import NOT_SPACE, named, raw, slices, text_in, words
 
 HELD_OUT = (5, 0)
 SAMPLE = 8000
@@ -192,9 +192,9 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine
 def _judged(machine):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch):
                 names = [n for n in part.schema.names if n != "_text"]
-                score = machine.value.score(named(part, "_text"))
+                score = machine.value.score(text_in(part))
                 yield pa.RecordBatch.from_arrays([named(part, n) for n in names] + [pa.array(score, pa.float64())], names=[*names, "score"])
 
     return judge
@@ -202,8 +202,11 @@ def _judged(machine):
 
 def judged(docs: DataFrame, labels: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """``row`` (all columns of ``docs``, or those ``kept``), ``score`` and ``predicted``."""
+    bounded_batches(docs.sparkSession)
     machine = docs.sparkSession.sparkContext.broadcast(learned(docs, labels))
-    rows = docs.select(packed(docs.select(kept or "*")).alias("row"), F.col("text").alias("_text"))
+    # A whole row holds its text already.
+    texts = [F.col("text").alias("_text")] if kept else []
+    rows = docs.select(packed(docs.select(kept or "*")).alias("row"), *texts)
     shape = f"row {rows.schema['row'].dataType.simpleString()}, score double"
     return rows.mapInArrow(_judged(machine), shape).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 

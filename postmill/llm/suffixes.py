@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, text_of
-from .words import ALPHANUMERIC, named, slices, words
+from .common import bounded_batches, packed, text_of
+from .words import ALPHANUMERIC, named, slices, text_in, words
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -124,14 +124,14 @@ def _search(index, first: bool):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch):
                 yield _searched(part, own, first)
 
     return search
 
 
 def _searched(part: pa.RecordBatch, index: Index, first: bool) -> pa.RecordBatch:
-    w = words(named(part, "_text"), ALPHANUMERIC)
+    w = words(text_in(part), ALPHANUMERIC)
     n_docs, doc = part.num_rows, w.doc()
     # One zero after each text keeps a window inside it.
     ranks = np.zeros(len(w.hash) + n_docs + WINDOW, dtype=np.int64)
@@ -202,11 +202,15 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def searched(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES, kept: list[str] | None = None) -> DataFrame:
     """``row`` (all columns of ``docs``, or those ``kept``) with its hits, items and longest match."""
     spark = docs.sparkSession
-    rows = docs.select(packed(docs.select(kept or "*")).alias("row"), F.col("text").alias("_text"))
+    bounded_batches(spark)
+    # A whole row holds its text already.
+    texts = [F.col("text").alias("_text")] if kept else []
+    rows = docs.select(packed(docs.select(kept or "*")).alias("row"), *texts)
     shape = f"row {rows.schema['row'].dataType.simpleString()}"
+    text = "_text string, " if kept else ""
     for number, items in enumerate(blocks(benchmark, limit)):
         index = spark.sparkContext.broadcast(index_of(items))
-        rows = rows.mapInArrow(_search(index, number == 0), f"{shape}, _text string, state struct<{_fields(STATE)}>")
+        rows = rows.mapInArrow(_search(index, number == 0), f"{shape}, {text}state struct<{_fields(STATE)}>")
     digest = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest long, longest_at long, longest_item string"
     return rows.drop("_text").mapInArrow(_digested, f"{shape}, {digest}").withColumn("contaminated", F.col("n_hit") > 0)
 

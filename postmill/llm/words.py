@@ -105,9 +105,12 @@ def words(texts: pa.Array, members: np.ndarray) -> Words:
     return Words(data, np.searchsorted(start, at), start, end, _hashes(data, start, end - start))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of ``batch`` of about ``limit`` bytes of text; one longer text is a part of its own."""
-    _, at = raw(batch.column(batch.schema.get_field_index(column)))
+def slices(batch: pa.RecordBatch, column: str | None = None, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` of about ``limit`` bytes of text; one longer text is a part of its own.
+
+    The text is that of ``column``, or else of :func:`text_in`.
+    """
+    _, at = raw(named(batch, column) if column else text_in(batch))
     row = 0
     while row < batch.num_rows:
         stop = max(row + 1, int(np.searchsorted(at, at[row] + limit, "right")) - 1)
@@ -115,5 +118,11 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         row = stop
 
 
+def text_in(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch: its column ``_text``, or the field ``text`` of its column ``row``."""
+    at = batch.schema.get_field_index("_text")
+    return batch.column(at) if at >= 0 else batch.column(batch.schema.get_field_index("row")).field("text")
+
+
 def named(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
