@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import logging
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill.operators import clean_columns
+from postmill.operators.quality import CheckFailed, schema_problems
 from postmill.sinks import write_table
-from postmill.sources import FILE, REASON, load_rows, split_rejects
+from postmill.sinks.tables import run_id
+from postmill.sources import REASON, load_rows, split_rejects
 
 logger = logging.getLogger(__name__)
 
@@ -35,62 +36,53 @@ def ingest(
     """Ingest a dump and return the number of rows written to ``table``.
 
     Without ``quarantine_table`` a row that does not fit the schema fails the job. With
-    it such rows go there as text with the reason and the file. Rows are counted while
-    they are written; afterwards only the files that hold refused rows are read again.
+    it such rows go there as text with the reason and the file. The source is read once:
+    the judged rows are stored beside the table, and both tables are cut from them. The
+    refused rows are published first, so a row is never in neither table.
 
-    Fewer than ``min_rows`` rows is an error. An overwrite then leaves the old table as
-    it was; an append is refused after the fact, so keep the default of 1 there.
+    Fewer than ``min_rows`` rows is an error, and so is a table that does not have the
+    columns of ``schema``. Both are found before anything is published, so an overwrite
+    leaves the old table as it was and an append adds nothing.
     """
-    on_bad = "fail" if quarantine_table is None else "quarantine"
     logger.info("reading %s", path)
-    rows = load_rows(spark, path, schema, row_tag, layout, on_bad)
-    written = Observation()
+
+    def enough(n: int) -> None:
+        if n < min_rows:
+            raise TooFewRows(f"{path}: {n} rows, expected {min_rows}")
+
+    def fits(stored: str) -> None:
+        if problems := schema_problems(spark.table(stored), schema):
+            raise CheckFailed(f"{table}: {', '.join(problems)}")
+
     if quarantine_table is None:
+        rows = load_rows(spark, path, schema, row_tag, layout, "fail")
+        written = Observation()
         good = rows.observe(written, F.count(F.lit(1)).alias("good"))
+
+        def check(staging: str) -> None:
+            enough(written.get["good"])
+            fits(staging)
+
+        write_table(clean_columns(good), table, write_mode, fmt, before_swap=check)
+        count = written.get["good"]
     else:
-        # Counted before the split. There is no shuffle between scan and write, so a
-        # task that runs twice is still counted once. The files are a part of the list
-        # the driver made to plan the scan.
-        refused = F.col(REASON).isNotNull()
-        rows = rows.observe(
-            written,
-            F.count_if(~refused).alias("good"),
-            F.count_if(refused).alias("refused"),
-            F.collect_set(FILE).alias("files"),
-        )
-        good, _ = split_rejects(rows)
-
-    def enough_rows() -> None:
-        if written.get["good"] < min_rows:
-            raise TooFewRows(f"{path}: {written.get['good']} rows, expected {min_rows}")
-
-    bronze = clean_columns(good)
-    write_table(bronze, table, write_mode, fmt, before_swap=enough_rows)
-    enough_rows()
-    if quarantine_table is not None:
-        files = paths_to_read(written.get["files"], path)
-        again = load_rows(spark, files, schema, row_tag, layout, on_bad)
-        _write_refused(again, written.get["refused"], quarantine_table, write_mode, fmt)
-    logger.info("%s rows written to %s", written.get["good"], table)
-    return written.get["good"]
-
-
-def paths_to_read(files: list[str], path: str) -> str | list[str]:
-    """The files as paths for a reader, or ``path`` if they cannot be named so.
-
-    Spark reports a file as an encoded URI, but reads a path as it is, and as a pattern.
-    """
-    paths = [unquote(file) for file in files]
-    if not paths or any(set(name) & set("[]{}*?\\") for name in paths):
-        return path
-    return sorted(paths)
-
-
-def _write_refused(rows: DataFrame, n: int, table: str, mode: str, fmt: str) -> None:
-    _, refused = split_rejects(rows)
-    if n == 0:
-        # Nothing to read the source again for, but no stale rows either.
-        refused = rows.sparkSession.createDataFrame([], refused.schema)
-    if n or mode == "overwrite":
-        write_table(refused, table, mode, fmt)
-    logger.info("%s rows quarantined in %s", n, table)
+        rows = load_rows(spark, path, schema, row_tag, layout, "quarantine")
+        judged = f"{table}__judged_{run_id()}"
+        rows.write.format("parquet").saveAsTable(judged)
+        try:
+            good, refused = split_rejects(spark.table(judged))
+            # From the stored rows: those are what both tables are made of.
+            seen = spark.table(judged).agg(
+                F.count_if(F.col(REASON).isNull()).alias("good"),
+                F.count_if(F.col(REASON).isNotNull()).alias("refused"),
+            ).first()
+            enough(seen["good"])
+            if seen["refused"] or write_mode == "overwrite":
+                write_table(refused, quarantine_table, write_mode, fmt)
+            write_table(clean_columns(good), table, write_mode, fmt, before_swap=fits)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {judged}")
+        count = seen["good"]
+        logger.info("%s rows quarantined in %s", seen["refused"], quarantine_table)
+    logger.info("%s rows written to %s", count, table)
+    return count

@@ -40,12 +40,12 @@ def lookup_table(
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow_schema))
 
 
-def post_types(spark: SparkSession) -> DataFrame:
-    """The post type labels as a table."""
+def post_types(spark: SparkSession, seed: str | None = None) -> DataFrame:
+    """The post type labels as a table: the fixed ones, or those of a CSV seed."""
     schema = StructType(
         [
             StructField("post_type_id", IntegerType()),
             StructField("post_type", StringType()),
         ]
     )
-    return lookup_table(spark, POST_TYPES, schema)
+    return lookup_table(spark, POST_TYPES, schema) if seed is None else read_seed(spark, seed, schema)

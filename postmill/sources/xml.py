@@ -8,9 +8,10 @@ Two layouts:
     Every line is accounted for: a record, markup around the records, or a line
     that does not fit. A line that does not fit is an error, never a lost row.
 ``file``
-    Any XML layout. Spark's reader takes each file as a whole, so one task reads
-    one file. Each file must be a complete document with a single root: the reader
-    ignores what follows the end of the first root.
+    Any layout of the elements, for small odd files: one task reads one file. The file
+    is cut at its records, and each record is parsed by itself. A piece that looks like
+    a record and is none is an error, as is a file that is not one complete document:
+    cut off, with a second root, or with anything after the end of its root.
 
 Attributes are read as text and cast afterwards, because the reader cannot report a
 value of the wrong type without failing the job or nulling the value silently.
@@ -67,14 +68,9 @@ def load_rows(
     if layout == "lines":
         lines = spark.read.text(path)
         return parse_lines(lines, schema, row_tag, on_bad, file=F.col(_FILE_PATH))
-    texts = _text_schema(schema)
-    records = (
-        spark.read.format("xml").options(**_reader_options(row_tag)).schema(texts).load(path)
-    )
-    raw = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*texts.names)))
-    return _typed(
-        records, schema, on_bad, broken=F.lit(False), raw=raw, file=F.col(_FILE_PATH)
-    )
+    files = spark.read.text(path, wholetext=True)
+    pieces = files.select(F.col(_FILE_PATH).alias("file"), F.inline(_pieces(row_tag)))
+    return _parsed(pieces, schema, row_tag, on_bad)
 
 
 def parse_lines(
@@ -126,11 +122,50 @@ def parse_lines(
         .select("file", bare.alias(_VALUE), kind.alias("kind"))
         .where(F.col("kind") != "markup")
     )
+    return _parsed(kept, schema, row_tag, on_bad)
+
+
+def _pieces(row_tag: str) -> Column:
+    """The records of a whole file in ``value``, and what is wrong with the rest of it.
+
+    No pattern has a loop whose turns grow with the file, as each turn takes stack.
+    """
+    tag = re.escape(row_tag)
+    attributes = r"""(?:\s(?:[^<>"']++|"[^<"]*+"|'[^<']*+')*+)?"""
+    content = rf"[^<]*+(?:<(?!/?{tag}[\s/>])[^<]*+)*+"
+    # An attribute may hold '>', never '<'.
+    record = rf"<{tag}{attributes}(?:(?<=/)>|>{content}</{tag}\s*>)"
+    text = F.col(_VALUE)
+    between = F.split(text, record, -1)
+    looks_like_one = rf"<{tag}[\s/>]"
+    stray = F.filter(between, lambda piece: piece.rlike(looks_like_one))
+    rest = F.array_join(between, "")
+    markup = r"(?:\s*+(?:<\?[^>]*>|<!--(?:(?!-->)[\s\S])*+-->|<![^>]*>))*+\s*+"
+    root = F.regexp_extract(rest, rf"^\ufeff?{markup}<([A-Za-z_][^\s/>]*)[^<>]*>", 1)
+    closing = F.split(rest, F.concat(F.lit("</\\Q"), root, F.lit("\\E\\s*>")), -1)
+    opened = F.split(rest, F.concat(F.lit("<\\Q"), root, F.lit("\\E[\\s/>]")), -1)
+    empty_root = rest.rlike(rf"^\ufeff?{markup}<[^<>]*/>{markup}$")
+    once = (F.size(closing) == 2) & (F.size(opened) == 2)
+    ended = once & F.element_at(closing, -1).rlike(rf"^{markup}$")
+    complete = ((root != "") & (ended | empty_root)) | rest.rlike(r"^\s*$")
+
+    def pieces(values: Column, kind: str) -> Column:
+        return F.transform(values, lambda v: F.struct(v.alias(_VALUE), F.lit(kind).alias("kind")))
+
+    whole = F.when(complete | (F.size(stray) > 0), F.array().cast("array<string>")).otherwise(F.array(rest))
+    return F.concat(pieces(F.regexp_extract_all(text, F.lit(record), F.lit(0)), "record"), pieces(stray, "broken"), pieces(whole, "incomplete"))
+
+
+def _parsed(kept: DataFrame, schema: StructType, row_tag: str, on_bad: str) -> DataFrame:
+    """Parse (file, value, kind), where only a ``record`` is one."""
     record = F.from_xml(
-        F.col(_VALUE), _ddl(_text_schema(schema)), _reader_options(row_tag)
+        F.when(F.col("kind") == "record", F.col(_VALUE)), _ddl(_text_schema(schema)), _reader_options(row_tag)
     )
     parsed = kept.select("file", _VALUE, "kind", F.inline(F.array(record)))
-    broken = F.col("kind") == "broken"
+    broken = (
+        F.when(F.col("kind") == "broken", "not one element per line")
+        .when(F.col("kind") == "incomplete", "not one complete document")
+    )
     return _typed(parsed, schema, on_bad, broken, raw=F.col(_VALUE), file=F.col("file"))
 
 
@@ -193,7 +228,7 @@ def _typed(
     # Names are put together only for a row that needs them.
     named = F.concat_ws(", ", *[F.when(bad, name) for name, bad in misfits.items()])
     reason = (
-        F.when(F.col("broken"), F.lit("not one element per line"))
+        F.when(F.col("broken").isNotNull(), F.col("broken"))
         .when(F.col(_CORRUPT).isNotNull(), F.lit("malformed XML"))
         .when(some_misfit, F.concat(F.lit("bad value: "), named))
     )
@@ -208,7 +243,9 @@ def _typed(
             F.when(reason.isNotNull(), F.col("file")).alias(FILE),
         )
         return cast.select(F.inline(F.array(row)))
-    # A generator is never pruned, so even a count of the result checks every row.
+    # A generator is never pruned, so even a count of the result checks every row. For the
+    # same reason all columns of the contract are parsed and cast, whatever is selected
+    # later: who wants a few passes a contract of these. The message shows the head of a row.
     message = F.concat(reason, F.lit(" in "), F.left(F.col(_VALUE), F.lit(500)))
     accepted = F.when(reason.isNull(), F.array(F.struct(*names)))
     return cast.select(F.inline(accepted.otherwise(F.raise_error(message))))
