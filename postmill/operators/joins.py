@@ -19,8 +19,9 @@ def label_lookup(
     """Add ``label`` for a code; every row stays and an unmapped code gets ``default``.
 
     No broadcast hint: the planner broadcasts the lookup when its known size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle. The lookup
-    code must be unique.
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle. Then the few
+    codes are the shuffle keys, and only the splitting of AQE spreads a hot one; that is
+    fine for a seed, not for a large lookup. The lookup code must be unique.
     """
     named = lookup.select(
         F.col(lookup_code).alias("__code"), F.col(label).alias("__label")
@@ -38,21 +39,22 @@ def left_join_dimension(
     dimension_key: Column,
     spread_by: Column,
 ) -> DataFrame:
-    """Left equi-join that keeps every fact row, whatever its key.
+    """Left equi-join that keeps every fact row, whatever its key and the key's type.
 
-    ``spread_by`` identifies a fact row. Rows with a NULL key match nothing, so they
-    take a hash of it as the join key: otherwise all of them, perhaps a third of the
-    table, would be hashed to one task. The extra ``is not null`` keeps such a row
-    unmatched even if its hash happens to equal a real key.
+    ``spread_by`` identifies a fact row. Rows with a NULL key match nothing, and hashed by
+    the key alone all of them, perhaps a third of the table, would meet in one task. So
+    there is a second equality, between hashes: that of the key on both sides, but for a
+    NULL key that of ``spread_by``. It spreads such rows and changes no match.
 
     A hot key that does match is split over tasks by the AQE skew join. A dimension
     small enough by its known size is broadcast, and then nothing is shuffled. The
     dimension key must be unique, or rows fan out.
     """
-    key_type = fact.select(fact_key.alias("key")).schema["key"].dataType
-    spread_key = F.coalesce(fact_key, F.xxhash64(spread_by).cast(key_type))
-    matches = (spread_key == dimension_key) & fact_key.isNotNull()
-    return fact.join(dimension, matches, "left")
+    both = fact.select(fact_key.alias("key")).union(dimension.select(dimension_key.alias("key")))
+    wider = both.schema["key"].dataType
+    left, right = fact_key.cast(wider), dimension_key.cast(wider)
+    spread = F.when(left.isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(left))
+    return fact.join(dimension, (left == right) & (spread == F.xxhash64(right)), "left")
 
 
 def unresolved_rows(

@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_rows(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    broadcast_keys: bool = False,
-) -> DataFrame:
+def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update all on match, insert all otherwise; rows only in the target stay.
 
-    Only the key columns of the source take part in the join. ``broadcast_keys`` is
-    for a source whose row count has been checked: the target is then not shuffled.
+    As in a MERGE, every target row of a key is updated, should there be several, and a NULL
+    key matches nothing. Source keys must be unique. No hints: with a source of known small
+    size the planner broadcasts it, and then the target is not shuffled for the update.
     """
-    incoming = source.select(*keys)
-    if broadcast_keys:
-        incoming = F.broadcast(incoming)
-    kept = target.join(incoming, list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(source)
+    new = source.select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
+        F.struct(*[F.col(c).alias(c) for c in target.columns]).alias("__new"),
+    )
+    same = reduce(operator.and_, [target[k] == new[f"__key_{i}"] for i, k in enumerate(keys)])
+    matched = target.join(new, same, "left")
+    updated = matched.select(
+        *[
+            F.when(F.col("__new").isNotNull(), F.col(f"__new.`{c}`")).otherwise(target[c]).alias(c)
+            for c in target.columns
+        ]
+    )
+    known = target.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    absent = reduce(operator.and_, [source[k] == known[f"__key_{i}"] for i, k in enumerate(keys)])
+    return updated.unionByName(source.join(known, absent, "left_anti").select(*target.columns))

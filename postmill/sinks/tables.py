@@ -2,13 +2,18 @@
 
 A full overwrite is written beside the table and then swapped in by renaming, so a
 failed job leaves the old table as it was. On a file system whose rename is a metadata
-operation the swap costs nothing. It is not atomic for readers: between the two
-renames the table is missing for a moment. A format with its own transactions
-(``fmt="delta"``, when it is on the class path) is written directly instead.
+operation the swap costs nothing; on an object store a rename is a copy of every object,
+and a format with its own transactions (``fmt="delta"``, when it is on the class path) is
+the one to use: it is always overwritten directly and keeps its history. The swap is not
+atomic for readers: between the two renames the table is missing for a moment.
+
+What a run writes beside the table carries a number of its own, so runs don't touch each
+other's. A table has one writer at a time nevertheless.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 WRITE_MODES = ("overwrite", "append")
 TRANSACTIONAL = ("delta",)
 
-_STAGING = "__staging"
-_PREVIOUS = "__previous"
+_STAGING = "__staging_"
+_PREVIOUS = "__previous_"
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -36,52 +41,81 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-    before_swap: Callable[[], None] | None = None,
+    before_swap: Callable[[str], None] | None = None,
 ) -> None:
     """Write a managed table; ``overwrite`` also replaces its schema.
 
-    ``before_swap`` runs once the new data is written and before it replaces the old:
-    raising there leaves the old table untouched. It does not apply to an append.
+    ``before_swap`` gets the name of a table with the new data, once that is written and
+    before it becomes visible: raising there leaves the table untouched, an append undone.
+    Without it an append, and any write of a transactional format, goes straight in.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
     spark = df.sparkSession
-    if mode == "append":
-        _writer(df, mode, fmt, partition_by).saveAsTable(table)
-        return
-    if fmt in TRANSACTIONAL and before_swap is None:
-        _writer(df, mode, fmt, partition_by).option("overwriteSchema", "true").saveAsTable(table)
+    run = run_id()
+    staging = table + _STAGING + run
+    direct = mode == "append" or fmt in TRANSACTIONAL
+    if direct and before_swap is None:
+        _direct(df, mode, fmt, partition_by, table)
         return
-    recover_table(spark, table)
-    staging = table + _STAGING
-    _writer(df, mode, fmt, partition_by).saveAsTable(staging)
-    if before_swap is not None:
-        try:
-            before_swap()
-        except Exception:
-            spark.sql(f"DROP TABLE {staging}")
-            raise
-    _swap_in(spark, table)
+    if not direct:
+        recover_table(spark, table)
+    _writer(df, "overwrite", "parquet" if direct else fmt, partition_by).saveAsTable(staging)
+    try:
+        if before_swap is not None:
+            before_swap(staging)
+        if direct:
+            _direct(spark.table(staging), mode, fmt, partition_by, table)
+    except Exception:
+        spark.sql(f"DROP TABLE {staging}")
+        raise
+    if direct:
+        spark.sql(f"DROP TABLE {staging}")
+    else:
+        _swap_in(spark, table, run)
+
+
+def run_id() -> str:
+    """A number for the tables that one run writes beside its target."""
+    return uuid.uuid4().hex[:12]
+
+
+def leftovers(spark: SparkSession, table: str, suffix: str) -> list[str]:
+    """Tables that runs have left beside ``table``."""
+    database, _, name = table.rpartition(".")
+    found = spark.catalog.listTables(database or None)
+    start = (name + suffix).lower()
+    return sorted(f"{database}.{t.name}" if database else t.name for t in found if t.name.lower().startswith(start))
 
 
 def recover_table(spark: SparkSession, table: str) -> None:
-    """Put right what an earlier run left behind if it died during its swap."""
-    exists = spark.catalog.tableExists
-    if exists(table + _PREVIOUS) and not exists(table):
-        _rename(spark, table + _PREVIOUS, table)
-    for leftover in (table + _STAGING, table + _PREVIOUS):
-        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+    """Put right what an earlier run left behind if it died during its swap.
+
+    Its staging table stays, as it can't be told from that of a run still at work.
+    """
+    previous = leftovers(spark, table, _PREVIOUS)
+    if previous and not spark.catalog.tableExists(table):
+        _rename(spark, previous.pop(), table)
+    for old in previous:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _swap_in(spark: SparkSession, table: str) -> None:
+def _direct(df: DataFrame, mode: str, fmt: str, partition_by: Sequence[str], table: str) -> None:
+    writer = _writer(df, mode, fmt, partition_by)
+    if mode == "overwrite":
+        writer = writer.option("overwriteSchema", "true")
+    writer.saveAsTable(table)
+
+
+def _swap_in(spark: SparkSession, table: str, run: str) -> None:
     if spark.catalog.tableExists(table):
-        _rename(spark, table, table + _PREVIOUS)
-    _rename(spark, table + _STAGING, table)
-    spark.sql(f"DROP TABLE IF EXISTS {table + _PREVIOUS}")
+        _rename(spark, table, table + _PREVIOUS + run)
+    _rename(spark, table + _STAGING + run, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table + _PREVIOUS + run}")
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:

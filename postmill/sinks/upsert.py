@@ -11,8 +11,7 @@ Not atomic for readers on plain files; see :mod:`postmill.sinks.tables`.
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,20 +21,15 @@ from postmill.operators.merge import merge_rows
 from postmill.sinks.tables import (
     TRANSACTIONAL,
     cluster_for,
+    leftovers,
     partition_columns,
     recover_table,
+    run_id,
     write_table,
 )
 
-# Up to this many source rows, and bytes of their keys as text, only the keys are
-# broadcast and the target is not shuffled. Beyond either limit both sides are.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-
-# Up to this many touched partitions are named in the plan as literals.
-NAMED_PARTITIONS = 1_000
-
-_INCOMING = "__incoming"
+_INCOMING = "__incoming_"
+_REWRITE = "__rewrite_"
 
 
 def upsert_table(
@@ -51,31 +45,49 @@ def upsert_table(
     A missing table, or ``full_refresh``, is written from the source as it is. Rows only
     in the target stay. All of the source is applied; none is filtered by date or state,
     so rows sent again late are not missed. Duplicate or NULL keys in the source are
-    refused: it would not be clear which row wins. ``fmt`` and ``partition_by`` apply
-    when the table is written whole.
+    refused, on every path and before anything is changed: it would not be clear which row
+    wins, and a NULL key would be inserted again by each rerun. ``fmt`` and
+    ``partition_by`` apply when the table is written whole.
+
+    On plain files a table without partitions is rewritten whole for any source. For a
+    large table use a transactional format; that branch has not been run here, as no such
+    format is on the class path. A table has one writer at a time.
     """
     keys = [key] if isinstance(key, str) else list(key)
     spark = source.sparkSession
-    recover_table(spark, table)
+    recover_upsert(spark, table)
     if full_refresh or not spark.catalog.tableExists(table):
-        write_table(source, table, fmt=fmt, partition_by=partition_by)
+        write_table(
+            source, table, fmt=fmt, partition_by=partition_by,
+            before_swap=lambda staging: _check_keys(spark.table(staging), keys),
+        )
         return
     target = spark.table(table)
     _require_same_columns(target, source)
     provider = table_format(spark, table)
-    if provider in TRANSACTIONAL:
-        _merge_in_place(source, table, keys)
-        return
-    incoming = table + _INCOMING
-    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-    # Stored once: it is read several times below, and may itself read the target.
-    source.select(*target.columns).write.format(provider).saveAsTable(incoming)
+    incoming = table + _INCOMING + run_id()
+    # Stored once: it is read several times below, and may itself read the target. The
+    # planner knows the size of a stored table, so no join needs a hint.
+    source.select(*target.columns).write.format("parquet").saveAsTable(incoming)
     try:
-        _rewrite(spark, table, spark.table(incoming), keys, provider)
+        stored = spark.table(incoming)
+        if _check_keys(stored, keys):
+            if provider in TRANSACTIONAL:
+                _merge_in_place(stored, table, keys)
+            else:
+                _rewrite(spark, table, stored, keys, provider)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {incoming}")
 
 
+def recover_upsert(spark: SparkSession, table: str) -> None:
+    """Finish what an earlier upsert had merged but not put in place when it died."""
+    recover_table(spark, table)
+    if spark.catalog.tableExists(table):
+        for rewrite in leftovers(spark, table, _REWRITE):
+            _put_partitions(spark, table, rewrite)
+
+
 def table_format(spark: SparkSession, table: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     row = details.where("col_name = 'Provider'").first()
@@ -85,80 +97,64 @@ def table_format(spark: SparkSession, table: str) -> str:
 def _rewrite(
     spark: SparkSession, table: str, incoming: DataFrame, keys: list[str], fmt: str
 ) -> None:
-    n_rows, key_bytes = _check_keys(incoming, keys)
-    if n_rows == 0:
-        return
-    small = n_rows <= BROADCAST_ROWS and key_bytes <= BROADCAST_KEY_BYTES
     target = spark.table(table)
     partitioned = partition_columns(spark, table)
-    touched = _touched_partitions(target, incoming, keys, partitioned, small)
-    if touched is None:
-        merged = merge_rows(target, incoming, keys, broadcast_keys=small)
-        write_table(merged, table, fmt=fmt, partition_by=partitioned)
+    if not _stays_in_partition(target, incoming, keys, partitioned):
+        write_table(merge_rows(target, incoming, keys), table, fmt=fmt, partition_by=partitioned)
         return
-    affected = target.where(F.col(partitioned[0]).isin(touched))
-    merged = merge_rows(affected, incoming, keys, broadcast_keys=small)
-    # Only in this mode may a table be overwritten by a query that reads it, and are the
-    # other partitions left alone. Spark takes it from the session, not from the writer.
-    with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        cluster_for(merged, partitioned).write.mode("overwrite").insertInto(table)
-
-
-@contextmanager
-def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-def _touched_partitions(
-    target: DataFrame,
-    incoming: DataFrame,
-    keys: list[str],
-    partitioned: list[str],
-    small: bool,
-) -> list | None:
-    """Partitions the source writes to, or ``None`` when the whole table must be written.
-
-    Replacing only these is right when every matched row already sits in the partition
-    its new version goes to. That is verified on the key and partition columns alone.
+    touched = incoming.select(partitioned[0]).distinct()
+    merged = merge_rows(target.join(touched, partitioned[0], "left_semi"), incoming, keys)
+    # Stored before anything is replaced: should the driver die while partitions are put in
+    # place, the next run finds the rows and puts them all in place again.
+    rewrite = table + _REWRITE + run_id()
+    merged.select(*target.columns).write.format(fmt).saveAsTable(rewrite)
+    _put_partitions(spark, table, rewrite)
+
+
+def _put_partitions(spark: SparkSession, table: str, rewrite: str) -> None:
+    """Replace the partitions of ``table`` that ``rewrite`` holds, leaving the others alone."""
+    # Spark takes this mode from the session, not from the writer. A session of its own
+    # shares the catalog, and no other thread sees the setting.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = own.table(rewrite)
+    cluster_for(rows, partition_columns(spark, table)).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+    spark.sql(f"DROP TABLE {rewrite}")
+
+
+def _stays_in_partition(
+    target: DataFrame, incoming: DataFrame, keys: list[str], partitioned: list[str]
+) -> bool:
+    """Whether replacing only the partitions that the source names is right.
+
+    It is when there is one partition column and every matched row already sits in the
+    partition its new version goes to, verified on the key and partition columns alone.
     """
     if len(partitioned) != 1:
-        return None
+        return False
     column = partitioned[0]
-    values = incoming.select(column).distinct().limit(NAMED_PARTITIONS + 1).collect()
-    touched = [row[0] for row in values]
-    if len(touched) > NAMED_PARTITIONS or None in touched:
-        return None
+    if not incoming.where(F.col(column).isNull()).isEmpty():
+        return False
     if column in keys:
-        return touched
+        return True
     moves_to = incoming.select(*keys, F.col(column).alias("__to"))
-    if small:
-        moves_to = F.broadcast(moves_to)
     moved = (
         target.select(*keys, column)
         .join(moves_to, keys)
         .where(~F.col(column).eqNullSafe(F.col("__to")))
     )
-    return touched if moved.isEmpty() else None
+    return moved.isEmpty()
 
 
-def _check_keys(source: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Number of source rows and size of their keys; raises on a duplicate or NULL key."""
+def _check_keys(source: DataFrame, keys: list[str]) -> int:
+    """Number of source rows; raises on a duplicate or NULL key."""
     n = F.col("n")
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     some_null = reduce(operator.or_, [F.col(k).isNull() for k in keys])
-    key_bytes = reduce(
-        operator.add,
-        [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys],
-    )
     zero = F.lit(0)
     seen = per_key.agg(
         F.coalesce(F.sum("n"), zero).alias("n_rows"),
-        F.coalesce(F.sum(key_bytes), zero).alias("key_bytes"),
         F.coalesce(F.sum(F.when(some_null, n)), zero).alias("null_keys"),
         F.count_if((n > 1) & ~some_null).alias("duplicate_keys"),
     ).first()
@@ -167,7 +163,7 @@ def _check_keys(source: DataFrame, keys: list[str]) -> tuple[int, int]:
             f"cannot upsert on {', '.join(keys)}: the source has "
             f"{seen['duplicate_keys']} duplicate keys and {seen['null_keys']} NULL keys"
         )
-    return seen["n_rows"], seen["key_bytes"]
+    return seen["n_rows"]
 
 
 def _require_same_columns(target: DataFrame, source: DataFrame) -> None:

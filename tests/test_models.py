@@ -74,15 +74,21 @@ def test_read_table_by_name_and_by_path(spark, database, tmp_path):
     assert read_table(spark, f"{database}.t").count() == 4
 
 
+def test_post_types_from_a_seed(spark, tmp_path):
+    path = tmp_path / "types.csv"
+    path.write_text("post_type_id,post_type\n1,Recipe\n")
+    assert [tuple(r) for r in post_types(spark, str(path)).collect()] == [(1, "Recipe")]
+
+
 # --- silver ---------------------------------------------------------------------------
 
 
 def test_stg_users(staged):
     _, users = staged
     rows = {r["user_id"]: r for r in users.collect()}
-    assert len(users.columns) == 11 and len(rows) == 5 and "about_me" not in users.columns
-    assert {i for i, r in rows.items() if r["website_url"] is None} == {-1, 15, 42}
-    assert {i for i, r in rows.items() if r["location"] is None} == {15, 42, 2444}
+    assert len(users.columns) == 11 and len(rows) == 6 and "about_me" not in users.columns
+    assert {i for i, r in rows.items() if r["website_url"] is None} == {-1, 31, 40}
+    assert {i for i, r in rows.items() if r["location"] is None} == {31, 40, 52}
 
 
 def test_stg_posts(staged):
@@ -90,11 +96,11 @@ def test_stg_posts(staged):
     rows = {r["post_id"]: r for r in posts.collect()}
     assert len(posts.columns) == 23
     assert {i: r["tags_array"] and len(r["tags_array"]) for i, r in rows.items()} == {
-        1: 4, 2: 4, 3: None, 4: 5, 6: 3,
+        11: 2, 12: 3, 15: None, 16: 1, 17: None, 21: None, 22: 3,
     }
-    assert rows[6]["tags_array"] == ["philosophy", "definitions", "intelligent-agent"]
-    assert [rows[i]["post_type"] for i in (1, 2, 3, 4, 6)] == [
-        "Question", "Question", "Answer", "Question", "Question",
+    assert rows[22]["tags_array"] == ["yeast", "rye", "sourdough"]
+    assert [rows[i]["post_type"] for i in (11, 12, 15, 16, 17, 21)] == [
+        "Question", "Question", "Answer", "Question", "Answer", "Tag wiki",
     ]
 
 
@@ -130,8 +136,8 @@ def test_label_lookup_keeps_every_row(spark):
 def test_top_tags(staged, unique_posts):
     posts, _ = staged
     rows = [tuple(r) for r in gold.top_tags(posts, unique_posts=unique_posts).collect()]
-    assert len(rows) == 13
-    assert rows[:3] == [("neural-networks", 3), ("definitions", 2), ("artificial-neuron", 1)]
+    assert len(rows) == 6
+    assert rows[:3] == [("yeast", 3), ("rye", 2), ("bread", 1)]
     assert [t for t, n in rows if n == 1] == sorted(t for t, n in rows if n == 1)
     assert [tuple(r) for r in gold.top_tags(posts, 2).collect()] == rows[:2]
 
@@ -147,13 +153,14 @@ def test_top_tags_count_a_post_once(spark):
 def test_posts_users(staged):
     wide = gold.posts_users(*staged)
     rows = {r["post_id"]: r for r in wide.collect()}
-    assert len(wide.columns) == 22 and wide.count() == 5
+    assert len(wide.columns) == 22 and wide.count() == 7
     status = {i: r["author_status"] for i, r in rows.items()}
     assert status == {
-        1: "resolved", 2: "resolved", 4: "resolved", 3: "unresolved", 6: "unresolved",
+        11: "resolved", 12: "resolved", 15: "resolved", 16: "unresolved", 17: "anonymous",
+        21: "resolved", 22: "resolved",
     }
-    assert rows[1]["display_name"] == "karl" and rows[1]["user_location"] == "London, UK"
-    assert rows[3]["owner_user_id"] == 4 and rows[3]["user_id"] is None
+    assert rows[11]["display_name"] == "paula" and rows[11]["user_location"] == "Oslo, NO"
+    assert rows[16]["owner_user_id"] == 77 and rows[16]["user_id"] is None
 
 
 def test_posts_without_owner_never_match(spark):
@@ -183,19 +190,44 @@ def test_left_join_dimension_with_text_keys(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ["int", "long", "decimal(10,0)", "date", "string"])
+def test_left_join_dimension_with_null_keys_of_any_type(spark, kind):
+    value = "date_add(date'2020-01-01', cast(id as int))" if kind == "date" else f"cast(id as {kind})"
+    facts = spark.range(6).selectExpr("id", f"case when id % 3 > 0 then {value} end as k").alias("f")
+    dim = spark.range(5).selectExpr(f"{value} as k", "id * 10 as v").unionByName(
+        spark.range(1).selectExpr(f"cast(null as {kind}) as k", "99L as v")
+    ).alias("d")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left_join_dimension(facts, dim, F.col("f.k"), F.col("d.k"), F.col("f.id"))
+        got = sorted(map(tuple, joined.select("id", "v").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(0, None), (1, 10), (2, 20), (3, None), (4, 40), (5, None)]
+
+
+def test_left_join_dimension_with_keys_of_two_types(spark):
+    facts = spark.createDataFrame([(1, 7), (2, None)], "id long, k int").alias("f")
+    dim = spark.createDataFrame([(7, 1), (1 << 40, 2)], "k long, v int").alias("d")
+    joined = left_join_dimension(facts, dim, F.col("f.k"), F.col("d.k"), F.col("f.id"))
+    assert sorted(map(tuple, joined.select("id", "v").collect())) == [(1, 1), (2, None)]
+
+
 # --- reports --------------------------------------------------------------------------
 
 GOLD_SCHEMA = """post_id long, post_type string, score long, view_count long, answer_count long,
  post_creation_date timestamp, owner_user_id long, user_id long, display_name string,
  reputation long, author_status string"""
 GOLD_ROWS = [
-    (1, "Question", 3, 12, 2, "2019-04-01", 101, 101, "ada", 900, "resolved"),
-    (2, "Answer", 7, 40, 1, "2020-07-15", 102, 102, "grace", 700, "resolved"),
-    (3, "Question", 0, 0, 0, "2020-09-30", 103, 103, "alan", 500, "anonymous"),
-    (4, "Answer", -2, 5, 0, "2021-01-05", 101, 101, "ada", 900, "resolved"),
-    (5, "Question", 6, 88, 4, "2021-11-20", 104, 104, "edsger", 50, "unresolved"),
+    (61, "Question", 4, 30, 1, "2015-02-03", 7, 7, "ines", 310, "resolved"),
+    (62, "Answer", 11, None, None, "2015-08-21", 9, 9, "juro", 120, "resolved"),
+    (63, "Question", 0, 17, 0, "2016-12-31", None, None, None, None, "anonymous"),
+    (64, "Answer", -1, None, None, "2017-01-01", 7, 7, "ines", 310, "resolved"),
+    (65, "Question", 8, 45, 2, "2017-05-06", 12, None, None, None, "unresolved"),
+    (66, "Tag wiki", 0, None, None, "2018-03-03", 15, 15, "kaya", 5, "resolved"),
+    (67, "Question", 2, 3, None, "2016-07-07", 9, 9, "juro", 120, "resolved"),
 ]
-TAG_ROWS = [("search", 4), ("logic", 3), ("agents", 2)]
+TAG_ROWS = [("kneading", 9), ("baking", 5), ("proofing", 5)]
 
 
 def gold_table(spark, rows):
@@ -211,34 +243,34 @@ def gold_tables(spark):
 
 def test_kpis(gold_tables):
     kpis = reports.gold_kpis(*gold_tables).first().asDict()
-    assert kpis["answered_pct"] == pytest.approx(200 / 3)
-    assert kpis["answers_per_question"] == pytest.approx(2 / 3)
+    assert kpis["answered_pct"] == pytest.approx(50)
+    assert kpis["answers_per_question"] == pytest.approx(0.5)
     del kpis["answered_pct"], kpis["answers_per_question"]
     assert kpis == {
-        "posts": 5, "questions": 3, "answers": 2, "authors": 4,
-        "first_post": "2019-04-01", "last_post": "2021-11-20",
-        "first_year": "2019", "last_year": "2021",
-        "unanswered": 1, "answered": 2, "tags_ranked": 3,
+        "posts": 7, "questions": 4, "answers": 2, "authors": 4,
+        "first_post": "2015-02-03", "last_post": "2018-03-03",
+        "first_year": "2015", "last_year": "2018",
+        "unanswered": 2, "answered": 2, "tags_ranked": 3,
     }
 
 
 def test_years_and_peak(gold_tables):
     by_year = reports.posts_by_year(gold_tables[0])
     assert [tuple(r) for r in by_year.collect()] == [
-        (2019, 1, 0, 1), (2020, 1, 1, 2), (2021, 1, 1, 2),
+        (2015, 1, 1, 2), (2016, 2, 0, 2), (2017, 1, 1, 2), (2018, 0, 0, 1),
     ]
-    assert tuple(reports.peak_year(by_year).first()) == (2020, 1, 1, 2)
+    assert tuple(reports.peak_year(by_year).first()) == (2015, 1, 1, 2)
 
 
 def test_posts_without_a_date_come_last(spark):
-    rows = [*GOLD_ROWS, (6, "Answer", 1, 1, 1, None, None, None, None, None, "anonymous")]
+    rows = [*GOLD_ROWS, (68, "Answer", 1, 1, 1, None, None, None, None, None, "anonymous")]
     by_year = reports.posts_by_year(gold_table(spark, rows))
-    assert [r["year"] for r in by_year.collect()] == [2019, 2020, 2021, None]
+    assert [r["year"] for r in by_year.collect()] == [2015, 2016, 2017, 2018, None]
 
 
 def test_score_bands_are_zero_filled(gold_tables):
     rows = [(r["band"], r["posts"]) for r in reports.score_bands(gold_tables[0]).collect()]
-    assert rows == [("negative", 1), ("zero", 1), ("1-4", 1), ("5-19", 2), ("20+", 0)]
+    assert rows == [("negative", 1), ("zero", 2), ("1-4", 2), ("5-19", 2), ("20+", 0)]
     empty = reports.score_bands(gold_tables[0].limit(0)).collect()
     assert [r["posts"] for r in empty] == [0, 0, 0, 0, 0]
 
@@ -254,16 +286,20 @@ def test_null_scores(spark):
 
 def test_unanswered_status_and_tags(gold_tables):
     posts, tags = gold_tables
-    assert reports.unanswered(posts).first()[0] == 1
-    assert [tuple(r) for r in reports.author_status_counts(posts).collect()] == [
-        ("resolved", 3), ("anonymous", 1), ("unresolved", 1),
-    ]
+    assert reports.unanswered(posts).first()[0] == 2
+    statuses = [("resolved", 5), ("anonymous", 1), ("unresolved", 1)]
+    assert [tuple(r) for r in reports.author_status_counts(posts).collect()] == statuses
+    counts = reports.status_by_band(posts)
+    assert [tuple(r) for r in reports.status_of(counts).collect()] == statuses
+    assert reports.bands_of(counts).collect() == reports.score_bands(posts).collect()
+    none = reports.status_by_band(posts.limit(0))
+    assert [r["posts"] for r in reports.bands_of(none).collect()] == [0] * 5
     assert [tuple(r) for r in reports.report_tags(tags, 2).collect()] == TAG_ROWS[:2]
 
 
 def test_top_authors(gold_tables):
     assert [tuple(r) for r in reports.top_authors(gold_tables[0]).collect()] == [
-        ("ada", 2, 900), ("alan", 1, 500), ("edsger", 1, 50), ("grace", 1, 700),
+        ("ines", 2, 310), ("juro", 2, 120), ("kaya", 1, 5),
     ]
     assert len(reports.top_authors(gold_tables[0], 2).collect()) == 2
 
@@ -283,6 +319,6 @@ def test_namesakes(spark):
 def test_nothing_to_report_is_refused(gold_tables):
     posts, tags = gold_tables
     with pytest.raises(ValueError, match="empty"):
-        reports.all_reports(posts.limit(0), tags)
+        reports.require_reportable(reports.gold_kpis(posts.limit(0), tags))
     with pytest.raises(ValueError, match="no questions"):
-        reports.all_reports(posts.where("post_type = 'Answer'"), tags)
+        reports.require_reportable(reports.gold_kpis(posts.where("post_type = 'Answer'"), tags))

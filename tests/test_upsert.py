@@ -117,8 +117,7 @@ def test_an_empty_source_changes_nothing(spark, database):
     assert stored(spark, table) == sorted(OLD, key=repr)
 
 
-def test_several_keys_and_a_large_source(spark, database, monkeypatch):
-    monkeypatch.setattr(upsert, "BROADCAST_ROWS", 0)
+def test_several_keys(spark, database):
     table = f"{database}.t"
     upsert_table(frame(spark, OLD), table, ["id", "part"])
     upsert_table(frame(spark, [(1, "a", 11), (1, "b", 12)]), table, ["id", "part"])
@@ -136,10 +135,10 @@ def as_rows(values):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(keyed, keyed, st.booleans())
-def test_merge_is_a_dictionary_update(spark, old, sent, small):
+@given(keyed, keyed)
+def test_merge_is_a_dictionary_update(spark, old, sent):
     target, source = frame(spark, as_rows(old)), frame(spark, as_rows(sent))
-    once = merge_rows(target, source, ["id"], broadcast_keys=small)
+    once = merge_rows(target, source, ["id"])
     assert sorted(map(tuple, once.collect())
                   , key=repr) == sorted(as_rows({**old, **sent}), key=repr)
     twice = merge_rows(once, source, ["id"])
@@ -148,6 +147,53 @@ def test_merge_is_a_dictionary_update(spark, old, sent, small):
     )
 
 
+def test_merge_updates_every_row_of_a_key(spark):
+    target = frame(spark, [(1, "a", 1), (1, "b", 2), (None, "c", 3), (2, "d", 4)])
+    merged = merge_rows(target, frame(spark, [(1, "z", 9), (3, None, None)]), ["id"])
+    want = [(1, "z", 9), (1, "z", 9), (None, "c", 3), (2, "d", 4), (3, None, None)]
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("full_refresh", [False, True])
+def test_keys_are_checked_on_every_write(spark, database, full_refresh):
+    table = f"{database}.t"
+    if full_refresh:
+        upsert_table(frame(spark, OLD), table, "id")
+    with pytest.raises(ValueError, match="1 duplicate keys and 1 NULL keys"):
+        upsert_table(frame(spark, [(1, "a", 1), (1, "a", 2), (None, "b", 3)]), table, "id", full_refresh)
+    assert tables(spark, database) == (["t"] if full_refresh else [])
+
+
+def test_an_upsert_that_died_while_putting_partitions_is_finished(spark, database, monkeypatch):
+    table = f"{database}.t"
+    upsert_table(frame(spark, OLD), table, "id", partition_by=["part"])
+
+    def dies(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "_put_partitions", dies)
+        with pytest.raises(KeyboardInterrupt):
+            upsert_table(frame(spark, [(2, "a", 22), (6, "b", 60)]), table, "id")
+    spark.sql(f"ALTER TABLE {table} DROP PARTITION (part = 'a')")  # as a commit cut short may
+    upsert_table(frame(spark, []), table, "id")
+    want = [(1, "a", 10), (2, "a", 22), (3, "b", 30), (4, "c", 40), (6, "b", 60)]
+    assert stored(spark, table) == want and tables(spark, database) == ["t"]
+
+
+def test_upserts_from_two_threads_leave_the_session_alone(spark, database):
+    from concurrent.futures import ThreadPoolExecutor
+
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    names = [f"{database}.t{k}" for k in range(2)]
+    for name in names:
+        upsert_table(frame(spark, OLD), name, "id", partition_by=["part"])
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda name: upsert_table(frame(spark, SENT), name, "id"), names))
+    assert all(stored(spark, name) == sorted(MERGED, key=repr) for name in names)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
 # --- table writes ---------------------------------------------------------------------
 
 
@@ -169,10 +215,9 @@ def test_append_and_unknown_mode(spark, database):
 
 def test_a_run_that_died_during_its_swap_is_put_right(spark, database):
     table = f"{database}.t"
-    frame(spark, OLD).write.saveAsTable(table + "__previous")
-    frame(spark, SENT).write.saveAsTable(table + "__staging")
+    frame(spark, OLD).write.saveAsTable(table + "__previous_1")
     recover_table(spark, table)
     assert stored(spark, table) == sorted(OLD, key=repr) and tables(spark, database) == ["t"]
-    frame(spark, SENT).write.saveAsTable(table + "__previous")
+    frame(spark, SENT).write.saveAsTable(table + "__previous_2")
     write_table(frame(spark, MERGED), table)
     assert stored(spark, table) == sorted(MERGED, key=repr) and tables(spark, database) == ["t"]
