@@ -1,4 +1,4 @@
-"""Command line: ``python -m postmill ingest|models|reports|build``.
+"""Command line: ``python -m postmill ingest|judge|silver|models|reports|build``.
 
 Each command is one Spark application. Tables carry over from one to the next only in
 a catalog that outlives the session, such as a Hive metastore.
@@ -11,7 +11,13 @@ import logging
 
 from postmill.plans.gold import TOP_TAGS
 from postmill.plans.ingest import ingest
-from postmill.plans.pipeline import build_lakehouse, build_models, write_reports
+from postmill.plans.pipeline import (
+    build_lakehouse,
+    build_models,
+    judge_posts,
+    upsert_posts,
+    write_reports,
+)
 from postmill.schemas import POSTS, USERS
 from postmill.session import get_spark
 from postmill.sinks import ensure_database
@@ -40,14 +46,26 @@ def parser() -> argparse.ArgumentParser:
     whole.add_argument("--bronze-db", default="bronze")
     whole.add_argument("--quarantine", action="store_true")
 
+    judge = commands.add_parser("judge", help="bronze posts to valid and quarantined ones")
+    judge.add_argument("posts_table", help="name or path")
+    judge.add_argument("valid_table")
+    judge.add_argument("quarantine_table")
+
+    staged = commands.add_parser("silver", help="bronze posts into the silver table, by key")
+    staged.add_argument("posts_table", help="name or path")
+    staged.add_argument("table")
+    staged.add_argument("--full-refresh", action="store_true")
+
     models = commands.add_parser("models", help="bronze tables to gold tables")
-    models.add_argument("posts_table")
-    models.add_argument("users_table")
+    models.add_argument("posts_table", help="name or path")
+    models.add_argument("users_table", help="name or path")
     reports = commands.add_parser("reports", help="gold tables to report tables")
 
     for command in (one, whole):
         command.add_argument("--row-tag", default="row")
         command.add_argument("--layout", default="lines", choices=LAYOUTS)
+    for command in (judge, staged, whole, models):
+        command.add_argument("--types", help="CSV seed of post types: post_type_id, post_type")
     for command in (whole, models):
         command.add_argument("--top-tags", type=int, default=TOP_TAGS)
     for command in (whole, models, reports):
@@ -78,10 +96,24 @@ def main(argv: list[str] | None = None) -> None:
             args.fmt,
         )
         print(f"{args.table}: {rows} rows")
+    elif args.command == "judge":
+        judge_posts(
+            spark, args.posts_table, args.valid_table, args.quarantine_table, args.fmt, args.types
+        )
+    elif args.command == "silver":
+        upsert_posts(
+            spark, args.posts_table, args.table, args.full_refresh, args.fmt, args.types
+        )
     elif args.command == "models":
         ensure_database(spark, args.gold_db)
         build_models(
-            spark, args.posts_table, args.users_table, args.gold_db, args.top_tags, args.fmt
+            spark,
+            args.posts_table,
+            args.users_table,
+            args.gold_db,
+            args.top_tags,
+            args.fmt,
+            args.types,
         )
     elif args.command == "reports":
         show(write_reports(spark, args.gold_db, args.fmt))
@@ -97,6 +129,7 @@ def main(argv: list[str] | None = None) -> None:
             args.top_tags,
             args.quarantine,
             args.fmt,
+            args.types,
         )
         for table, rows in built.rows.items():
             print(f"{table}: {rows} rows")
@@ -106,7 +139,7 @@ def main(argv: list[str] | None = None) -> None:
 def show(reports) -> None:
     for name, report in reports.items():
         print(name)
-        report.show(truncate=False)
+        report.show(max(1, report.count()), truncate=False)
 
 
 if __name__ == "__main__":

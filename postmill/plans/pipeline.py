@@ -9,15 +9,27 @@ from dataclasses import dataclass, field
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
-
-from postmill.operators.quality import CheckFailed, TableChecks, enforce, grain
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from postmill.operators.quality import (
+    WARN,
+    CheckFailed,
+    RowRule,
+    TableChecks,
+    enforce,
+    grain,
+    rule_in_list,
+    rule_not_in_future,
+    rule_not_null,
+    split_by_rules,
+    validate_stage,
+)
 from postmill.plans import gold, reports, silver
 from postmill.plans.ingest import ingest
 from postmill.schemas import AUTHOR_STATUSES, POSTS, USERS
 from postmill.session import pin_utc
-from postmill.sinks import ensure_database, materialize_view, write_table
-from postmill.sources import post_types
+from postmill.sinks import ensure_database, materialize_view, upsert_table, write_table
+from postmill.sources import post_types, read_table
 
 logger = logging.getLogger(__name__)
 
@@ -77,6 +89,7 @@ def build_lakehouse(
     top_tags_limit: int = gold.TOP_TAGS,
     quarantine: bool = False,
     fmt: str = "parquet",
+    types_seed: str | None = None,
 ) -> Build:
     """Run every job in order; a model that breaks a promise stops the build."""
     pin_utc(spark)
@@ -97,7 +110,7 @@ def build_lakehouse(
         lambda: load(users_path, users_table, USERS),
     )
     build.rows = {posts_table: posts_rows, users_table: users_rows}
-    build_models(spark, posts_table, users_table, gold_db, top_tags_limit, fmt)
+    build_models(spark, posts_table, users_table, gold_db, top_tags_limit, fmt, types_seed)
     build.reports = write_reports(spark, gold_db, fmt)
     return build
 
@@ -109,10 +122,15 @@ def build_models(
     gold_db: str = "gold",
     top_tags_limit: int = gold.TOP_TAGS,
     fmt: str = "parquet",
+    types_seed: str | None = None,
 ) -> None:
-    """Silver views and gold tables from the bronze tables, each checked once built."""
-    posts, users = spark.table(posts_table), spark.table(users_table)
-    types = post_types(spark)
+    """Silver views and gold tables from the bronze tables.
+
+    A bronze table is given by name, or by the path of its files. Each gold table is checked
+    before it takes the place of the one before it.
+    """
+    posts, users = read_table(spark, posts_table, fmt), read_table(spark, users_table, fmt)
+    types = post_types(spark, types_seed)
     enforce(types, CHECKS["post_types"], "post_types")
 
     stg_posts = materialize_view(silver.stg_posts(posts, types), "stg_posts")
@@ -127,35 +145,97 @@ def build_models(
     ranking = gold.top_tags(stg_posts, top_tags_limit, unique_posts=True)
     wide = gold.posts_users(stg_posts, stg_users)
 
-    def store(df, model):
+    def store(df, model, check=lambda table, built: None):
         table = f"{gold_db}.{model}"
-        write_table(df, table, fmt=fmt)
-        enforce(spark.table(table), CHECKS[model], table)
+
+        def judge(staging):
+            enforce(spark.table(staging), CHECKS[model], table)
+            check(table, spark.table(staging))
+
+        write_table(df, table, fmt=fmt, before_swap=judge)
         logger.info("%s built", table)
 
+    def same_grain(table, built):
+        counted = grain(posts, built).first()
+        if not counted["same_grain"]:
+            raise CheckFailed(
+                f"{table}: {counted['result_rows']} rows from {counted['source_rows']} posts"
+            )
+
     run_together(
         spark,
         lambda: store(ranking, "marts_top_tags"),
-        lambda: store(wide, "marts_posts_users"),
+        lambda: store(wide, "marts_posts_users", same_grain),
     )
-    wide_table = f"{gold_db}.marts_posts_users"
-    counted = grain(posts, spark.table(wide_table)).first()
-    if not counted["same_grain"]:
-        raise CheckFailed(
-            f"{wide_table}: {counted['result_rows']} rows from {counted['source_rows']} posts"
-        )
+
+
+def post_rules(types: list[int], as_of: Column | None = None) -> list[RowRule]:
+    """What a post must satisfy: it has an id and a date that is not in the future.
+
+    A type outside ``types`` is a warning only.
+    """
+    return [
+        *rule_not_null(["Id", "CreationDate"]),
+        rule_not_in_future("CreationDate", as_of),
+        rule_in_list("PostTypeId", types, level=WARN),
+    ]
+
+
+def judge_posts(
+    spark: SparkSession,
+    posts_table: str,
+    valid_table: str,
+    quarantine_table: str,
+    fmt: str = "parquet",
+    types_seed: str | None = None,
+    as_of: Column | None = None,
+) -> None:
+    """Split bronze posts by the row rules into two tables that together hold them all."""
+    posts = read_table(spark, posts_table, fmt)
+    types = [row["post_type_id"] for row in post_types(spark, types_seed).collect()]
+    valid, refused = split_by_rules(posts, post_rules(types, as_of))
+    # Refused rows first: a row is never in neither table.
+    write_table(refused, quarantine_table, fmt=fmt)
+    write_table(valid, valid_table, fmt=fmt)
+
+
+def upsert_posts(
+    spark: SparkSession,
+    posts_table: str,
+    table: str,
+    full_refresh: bool = False,
+    fmt: str = "parquet",
+    types_seed: str | None = None,
+) -> None:
+    """Bring the silver table of posts up to date with bronze posts, by post id."""
+    staged = silver.stg_posts(read_table(spark, posts_table, fmt), post_types(spark, types_seed))
+    if messages := validate_stage(staged):
+        raise CheckFailed(f"{table}: {', '.join(messages)}")
+    upsert_table(staged, table, "post_id", full_refresh=full_refresh, fmt=fmt)
 
 
 def write_reports(
     spark: SparkSession, gold_db: str = "gold", fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    """Store every report as a table; nothing is written when there is nothing to report."""
-    tables = reports.all_reports(
-        spark.table(f"{gold_db}.marts_posts_users"), spark.table(f"{gold_db}.marts_top_tags")
-    )
-    stores = [
-        lambda name=name, report=report: write_table(report, f"{gold_db}.{name}", fmt=fmt)
-        for name, report in tables.items()
-    ]
-    run_together(spark, *stores)
-    return {name: spark.table(f"{gold_db}.{name}") for name in tables}
+    """Store every report as a table; nothing is written when there is nothing to report.
+
+    The wide table is read four times: for the headline figures, the years, the authors,
+    and the counts by status and band. The other reports follow from what these stored.
+    """
+    gold, tags = spark.table(f"{gold_db}.marts_posts_users"), spark.table(f"{gold_db}.marts_top_tags")
+
+    def store(name, report, check=None):
+        write_table(report, f"{gold_db}.{name}", fmt=fmt, before_swap=check)
+
+    def stored(name):
+        return spark.table(f"{gold_db}.{name}")
+
+    def store_all(tables):
+        jobs = [lambda name=name, report=report: store(name, report) for name, report in tables.items()]
+        run_together(spark, *jobs)
+
+    # Refuses before any report is replaced.
+    store("report_kpis", reports.gold_kpis(gold, tags), lambda staging: reports.require_reportable(spark.table(staging)))
+    store_all(reports.base_reports(gold, tags))
+    store_all(reports.derived_reports({name: stored(name) for name in reports.SOURCES}))
+    return {name: stored(name) for name in reports.REPORTS}

@@ -72,6 +72,11 @@ def score_bands(gold: DataFrame, null_band: str | None = None) -> DataFrame:
     counted = gold.select(band.alias("band")).agg(
         *[F.count_if(F.col("band") == name).alias(name) for name in bands]
     )
+    return _band_rows(counted, bands)
+
+
+def _band_rows(counted: DataFrame, bands: list[str]) -> DataFrame:
+    """One row a band from one row of all counts."""
     rows = [
         F.struct(
             F.lit(order).alias("band_order"),
@@ -112,30 +117,67 @@ def report_tags(tags: DataFrame, limit: int = REPORT_TAGS) -> DataFrame:
     return top_n(tags, limit, F.desc("post_count"), F.asc("tag"))
 
 
-def require_reportable(gold: DataFrame) -> None:
+def status_by_band(gold: DataFrame) -> DataFrame:
+    """Posts by author status and score band: at most some twenty rows."""
+    return gold.groupBy("author_status", score_band(F.col("score"), None).alias("band")).agg(
+        F.count(F.lit(1)).alias("posts")
+    )
+
+
+def bands_of(counts: DataFrame) -> DataFrame:
+    """As :func:`score_bands`, from :func:`status_by_band`."""
+    summed = counts.agg(
+        *[F.coalesce(F.sum(F.when(F.col("band") == b, F.col("posts"))), F.lit(0)).alias(b) for b in SCORE_BANDS]
+    )
+    return _band_rows(summed, SCORE_BANDS)
+
+
+def status_of(counts: DataFrame) -> DataFrame:
+    """As :func:`author_status_counts`, from :func:`status_by_band`."""
+    summed = counts.groupBy("author_status").agg(F.sum("posts").alias("posts"))
+    return summed.orderBy(F.desc("posts"), F.asc("author_status"))
+
+
+def require_reportable(kpis: DataFrame) -> None:
     """Refuse to report on an empty table, or on one without a question."""
-    seen = gold.agg(
-        F.count(F.lit(1)).alias("posts"), F.count_if(F.expr(_IS_QUESTION)).alias("questions")
-    ).first()
+    seen = kpis.select("posts", "questions").first()
     if seen["posts"] == 0:
         raise ValueError("the gold table of posts is empty: build it before reporting")
     if seen["questions"] == 0:
         raise ValueError("the gold table holds no questions: ratios would divide by zero")
 
 
-def all_reports(gold: DataFrame, tags: DataFrame) -> dict[str, DataFrame]:
-    """Every report by name, after checking that there is something to report."""
-    require_reportable(gold)
-    by_year = posts_by_year(gold)
+SOURCES = ("report_kpis", "report_posts_by_year", "report_status_by_band")
+REPORTS = (
+    "report_kpis",
+    "report_posts_by_year",
+    "report_peak_year",
+    "report_tags",
+    "report_score_bands",
+    "report_unanswered",
+    "report_author_status",
+    "report_top_authors",
+)
+
+
+def base_reports(gold: DataFrame, tags: DataFrame) -> dict[str, DataFrame]:
+    """Reports that read the gold tables, each of them once, besides the headline figures."""
     return {
-        "report_kpis": gold_kpis(gold, tags),
-        "report_posts_by_year": by_year,
-        "report_peak_year": peak_year(by_year),
-        "report_tags": report_tags(tags),
-        "report_score_bands": score_bands(gold),
-        "report_unanswered": unanswered(gold),
-        "report_author_status": author_status_counts(gold),
+        "report_posts_by_year": posts_by_year(gold),
+        "report_status_by_band": status_by_band(gold),
         "report_top_authors": top_authors(gold),
+        "report_tags": report_tags(tags),
+    }
+
+
+def derived_reports(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Reports that follow from stored ones (``SOURCES``)."""
+    counts = stored["report_status_by_band"]
+    return {
+        "report_peak_year": peak_year(stored["report_posts_by_year"]),
+        "report_score_bands": bands_of(counts),
+        "report_author_status": status_of(counts),
+        "report_unanswered": stored["report_kpis"].select("unanswered"),
     }
 
 

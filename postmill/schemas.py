@@ -94,7 +94,6 @@ POST_TYPES = [
     (15, "CollectiveDiscussion"),
     (17, "CollectiveCollection"),
 ]
-POST_TYPE_COLUMNS = "post_type_id INT, post_type STRING"
 UNKNOWN_LABEL = "Unknown"
 
 # How a post relates to its author row.

@@ -1,6 +1,6 @@
 import pytest
 
-from postmill.__main__ import main
+from postmill.__main__ import main, show
 
 
 def test_ingest_models_reports(spark, database, dumps, capsys):
@@ -11,12 +11,28 @@ def test_ingest_models_reports(spark, database, dumps, capsys):
         main(["models", f"{database}.posts", f"{database}.users", "--gold-db", gold, "--top-tags", "3"])
         main(["reports", "--gold-db", gold])
         shown = capsys.readouterr().out
-        assert f"{database}.posts: 5 rows" in shown and "karl" in shown
+        assert f"{database}.posts: 7 rows" in shown and "paula" in shown
         assert spark.table(f"{gold}.marts_top_tags").count() == 3
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {gold} CASCADE")
 
 
+def test_judge_and_silver(spark, database, dumps, tmp_path):
+    seed = tmp_path / "types.csv"
+    seed.write_text("post_type_id,post_type\n1,Question\n")
+    main(["ingest", "posts", dumps["posts"], f"{database}.posts"])
+    main(["judge", f"{database}.posts", f"{database}.valid", f"{database}.refused"])
+    main(["silver", f"{database}.posts", f"{database}.stg", "--types", str(seed)])
+    assert spark.table(f"{database}.valid").count() == 7
+    assert spark.table(f"{database}.stg").where("post_type = 'Unknown'").count() == 3
+
+
+def test_long_reports_are_shown_whole(spark, capsys):
+    show({"years": spark.range(2000, 2030).withColumnRenamed("id", "year")})
+    shown = capsys.readouterr().out
+    assert all(f"|{year}|" in shown for year in range(2000, 2030))
+
+
 def test_the_table_needs_a_database(spark, dumps):
     with pytest.raises(SystemExit):
         main(["ingest", "posts", dumps["posts"], "posts"])
@@ -25,4 +41,4 @@ def test_the_table_needs_a_database(spark, dumps):
 def test_build(spark, database, dumps, capsys):
     main(["build", dumps["posts"], dumps["users"], "--bronze-db", database, "--gold-db", database])
     shown = capsys.readouterr().out
-    assert "report_kpis" in shown and f"{database}.users: 5 rows" in shown
+    assert "report_kpis" in shown and f"{database}.users: 6 rows" in shown
