@@ -8,6 +8,8 @@ users, and so on. Each stand-in is defined twice, here in Spark and below in SQL
 from __future__ import annotations
 
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -23,7 +25,7 @@ from pyspark.sql.types import (  # noqa: E402
     StructType,
 )
 
-from postmill.functions import blank_to_null, tag_list  # noqa: E402
+from postmill.functions import blank_to_null, tag_list, timestamp_text  # noqa: E402
 from postmill.operators import (  # noqa: E402
     clean_columns,
     count_by,
@@ -33,10 +35,18 @@ from postmill.operators import (  # noqa: E402
     quality,
     unresolved_rows,
 )
-from postmill.plans import gold, reports, silver  # noqa: E402
+from postmill.plans import gold, pipeline, reports, silver  # noqa: E402
 from postmill.schemas import contract  # noqa: E402
 from postmill.session import pin_utc  # noqa: E402
-from postmill.sources import RAW, REASON, lookup_table, parse_lines, post_types  # noqa: E402
+from postmill.sources import (  # noqa: E402
+    RAW,
+    REASON,
+    load_rows,
+    lookup_table,
+    parse_lines,
+    post_types,
+    read_seed,
+)
 
 OPTIONAL_MODULES = ("postmill.llm", "postmill.llm.queries", "corpus_pipeline")
 
@@ -351,6 +361,7 @@ def dq_empty_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVENT_RULES_AS_OF = "2024-01-15 00:00:00"
+POST_RULES_AS_OF = "1997-06-30 00:00:00"
 
 
 def event_rules() -> list[quality.RowRule]:
@@ -387,6 +398,70 @@ def dq_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_post_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts by verdict and failed rules: late ones are refused, unknown types are warned of."""
+    rules = pipeline.post_rules([1, 2], F.lit(POST_RULES_AS_OF).cast("timestamp"))
+    valid, refused = quality.split_by_rules(raw_posts(spark, sf_dir), rules)
+    names = F.array_join(quality.WARNINGS, ",").alias("warnings")
+    judged = valid.select(F.lit("").alias("errors"), names).unionByName(
+        refused.select(F.array_join(quality.ERRORS, ",").alias("errors"), names)
+    )
+    return judged.groupBy("errors", "warnings").agg(F.count(F.lit(1)).alias("n_posts"))
+
+
+def int_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension joined by a 32-bit key that is NULL for a fifth of the facts."""
+    facts = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey")).alias("nation"),
+    )
+    nations = table(spark, sf_dir, "nation").alias("n")
+    joined = left_join_dimension(
+        facts.alias("c"), nations, F.col("c.nation"), F.col("n.n_nationkey"), F.col("c.c_custkey")
+    )
+    return joined.select("c_custkey", "nation", "n_name")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path that all executors see; on one machine a temporary one will do."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postmill-")
+    return f"{folder}/{name}-{uuid.uuid4()}"
+
+
+def xml_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a stored dump by verdict: valid and refused rows together are all of its lines."""
+    users = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("x"), F.col("c_custkey").cast("string")))
+        .otherwise(F.col("c_custkey").cast("string"))
+        .alias("Id"),
+        F.col("c_name").alias("DisplayName"),
+    )
+    path = shared_path(spark, "dump")
+    as_dump(users).select("value").write.text(path)
+    schema = contract({"Id": LongType(), "DisplayName": StringType()})
+    rows = load_rows(spark, path, schema, on_bad="quarantine")
+    return rows.groupBy(REASON).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_Id").alias("n_ids"), F.count(RAW).alias("n_raw")
+    )
+
+
+def seed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders labelled by a seed that is stored as CSV and read back."""
+    path = shared_path(spark, "seed")
+    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    regions.write.option("header", True).csv(path)
+    seed = read_seed(spark, path, "r_regionkey INT, r_name STRING").where("r_regionkey > 0")
+    labelled = label_lookup(table(spark, sf_dir, "nation"), seed, "n_regionkey", "r_regionkey", "r_name")
+    return labelled.select("n_nationkey", "r_name")
+
+
+def posted_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as the text that a dump holds."""
+    orders = table(spark, sf_dir, "orders")
+    text = timestamp_text(F.col("o_orderdate").cast("timestamp"))
+    return orders.select("o_orderkey", text.alias("posted_at"))
+
+
 def dq_violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several promises about one table, counted together."""
     checks = quality.TableChecks(
@@ -488,6 +563,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_empty_arrays": dq_empty_arrays,
         "dq_row_rules": dq_row_rules,
         "dq_violation_counts": dq_violation_counts,
+        "dq_post_rules": dq_post_rules,
+        "int_key_join": int_key_join,
+        "xml_file_scan": xml_file_scan,
+        "seed_labels": seed_labels,
+        "posted_at": posted_at,
         "dq_summary": dq_summary,
         "dq_grain": dq_grain,
         "doc_labels": doc_labels,
@@ -745,6 +825,23 @@ with judged as (
   from events)
 select event_id, case when errors = '' then 'valid' else 'quarantined' end as verdict, errors, warnings
 from judged""",
+        "dq_post_rules": f"""
+select case when o_orderdate > timestamp '{POST_RULES_AS_OF}' then 'CreationDate_in_future' else '' end as errors,
+  case when o_orderstatus = 'P' then 'PostTypeId_not_in_list' else '' end as warnings, count(*) as n_posts
+from orders group by 1, 2""",
+        "int_key_join": """
+select c_custkey, nation, n_name
+from (select c_custkey, case when c_mktsegment <> 'BUILDING' then c_nationkey end as nation from customer)
+left join nation on nation = n_nationkey""",
+        "xml_file_scan": """
+select case when c_acctbal < 0 then 'bad value: _Id' end as rejected_because, count(*) as n_rows,
+  count(*) filter (where c_acctbal >= 0) as n_ids, count(*) filter (where c_acctbal < 0) as n_raw
+from customer group by 1""",
+        "seed_labels": """
+select n_nationkey, coalesce(r_name, 'Unknown') as r_name
+from nation left join (select * from region where r_regionkey > 0) on n_regionkey = r_regionkey""",
+        "posted_at": """
+select o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') as posted_at from orders""",
         "dq_violation_counts": f"""
 with {_STG_POSTS}
 select 'not_null' as "check", 'post_id' as column_name, count(*) filter (where post_id is null) as violations from stg_posts

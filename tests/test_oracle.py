@@ -10,6 +10,9 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
+# The optional corpus operators have tests of their own.
+NAMES = sorted(set(driver.queries()) - set(driver.LLM_QUERIES))
+
 
 @pytest.fixture(scope="module")
 def oracle():
@@ -27,10 +30,10 @@ def comparable(rows, columns, order):
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(NAMES) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, oracle, name):
     result = driver.queries()[name](spark, driver.SMOKE_DIR)
     found = oracle.execute(driver.oracle_sql()[name])
