@@ -29,6 +29,9 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
             for c in target.columns
         ]
     )
-    known = target.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    # Target keys that the source has: from a small source found without a shuffle, and few.
+    known = target.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).join(
+        new.select(*[f"__key_{i}" for i in range(len(keys))]), [f"__key_{i}" for i in range(len(keys))], "left_semi"
+    )
     absent = reduce(operator.and_, [source[k] == known[f"__key_{i}"] for i, k in enumerate(keys)])
     return updated.unionByName(source.join(known, absent, "left_anti").select(*target.columns))
