@@ -5,10 +5,11 @@ words, with their counts in training texts, to buckets by hash. A bucket adds up
 words and sends each slice the sums that its documents' words make there, so the base score uses
 exact counts of any number of words and no table of them is gathered anywhere.
 
-Filter. Each bucket of words or pairs also owns a segment of the filter, of a fixed size. An entry
-of count c is quantised to level q = 1 + floor(log_b c) and put in at levels 1 to q; a reader asks
-for level after level until one is missing. Where a segment has no room for all, the entries of the
-largest counts go in. The filter is 37 MB, whatever the corpus, so it can be broadcast.
+Filter. Each bucket of words or pairs also owns a segment of the filter. An entry of count c is
+quantised to level q = 1 + floor(log_b c) and put in at levels 1 to q; a reader asks for level after
+level until one is missing. A segment has as many bits as its entries need, so each goes in at all
+its levels. Up to ``FILTER_BYTES`` in all the filter is broadcast. A larger one stays a table of
+segments: each slice sends its distinct words and pairs to their segments and gets their levels back.
 
 Score: log10 of the product of p(w | v) = L c(v w) / c(v) + (1 - L) p(w) over a text's words and its
 end, with the counts that the filter gives and p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
@@ -20,7 +21,8 @@ have equal scores. Without training texts N and V are 0 and every token is unkno
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ PAIR_BUCKETS = 512
 WORD_BITS = 1 << 21
 PAIR_BITS = 1 << 18
 PROBES = 6
+FILTER_BYTES = 64 << 20
 WORD_BASE, PAIR_BASE = 1.2, 2.0
 PAIR_WEIGHT = 0.15
 
@@ -49,6 +52,8 @@ LEVEL = np.uint64(0x9E3779B97F4A7C15)
 PAIRS_FROM = 1_000  # bucket numbers: words, then pairs, and slices below zero
 LOW = np.uint64((1 << 48) - 1)
 
+Levels = Callable[[np.ndarray], np.ndarray]  # of distinct entries
+
 
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null counts as the empty text."""
@@ -155,7 +160,7 @@ def _reduced(key: tuple, table: pa.Table) -> pa.Table:
     elif bucket >= PAIRS_FROM:
         found = _bytes(table.column("a"), np.uint32) | (_bytes(table.column("b"), np.uint16).astype(np.uint64) << np.uint64(32))
         found, counts = _totals(found, _bytes(table.column("c"), np.uint32))
-        out = [(None,) * 6 + (bucket, segment(found, counts, PAIR_BASE, PAIR_BITS))]
+        out = [(None,) * 6 + (bucket, segment(found, counts, PAIR_BASE, room_for(counts, PAIR_BASE, PAIR_BITS)))]
     else:
         out = _summed(table, bucket)
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -167,7 +172,8 @@ def _summed(table: pa.Table, bucket: int) -> list[tuple]:
     """For each slice its documents' sums of log10(c + 0.1) and of known tokens over this bucket's words."""
     unique, total = _totals(_bytes(table.column("a"), np.uint64), _bytes(table.column("b"), np.uint32))
     value, known_word = np.log10(total + ADDED), total > 0
-    bits = segment(unique[known_word] & LOW, total[known_word], WORD_BASE, WORD_BITS)
+    size = room_for(total[known_word], WORD_BASE, WORD_BITS)
+    bits = segment(unique[known_word] & LOW, total[known_word], WORD_BASE, size)
     out: list[tuple] = [(None, None, None, None, int(total.sum()), int(known_word.sum()), bucket, bits)]
     for name, found, body in zip(table.column("slice"), table.column("a"), table.column("c"), strict=True):
         own = np.searchsorted(unique, np.frombuffer(found.as_buffer(), np.uint64))
@@ -209,8 +215,19 @@ def _fitting(level: np.ndarray, room: int) -> np.ndarray:
     return level >= max(1, int(np.argmax(np.append(inserts, 0) <= room)))
 
 
+def room_for(counts: np.ndarray, base: float, least: int) -> int:
+    """Bits of a segment, ``least`` or that times a power of two, that has room for all entries at all levels."""
+    inserts, size = int(levels(counts, base).sum()), least
+    while int(size * math.log(2) / PROBES) < inserts:
+        size *= 2
+    return size
+
+
 def segment(found: np.ndarray, counts: np.ndarray, base: float, size: int) -> bytes:
-    """A filter of ``size`` bits, half of them set at most, holding each entry at its levels."""
+    """A filter of ``size`` bits, half of them set at most, holding each entry at its levels.
+
+    With less than :func:`room_for` bits only the highest levels go in.
+    """
     bits = np.zeros(size, dtype=bool)
     level = levels(counts, base)
     keep = _fitting(level, int(size * math.log(2) / PROBES))
@@ -246,34 +263,115 @@ def read_levels(table: np.ndarray, found: np.ndarray, buckets: int, size: int, h
     return level
 
 
-def _scores(tables, n: int, v: int, n_docs: int):
-    highest = lambda base: int(levels(np.array([max(n, 1)]), base)[0])
-    whole = n + ADDED * (v + 1)
+class Scorer(NamedTuple):
+    """The score of texts from the levels of their words and pairs; ``n`` and ``v`` are those of the training texts."""
+
+    n: int
+    v: int
+    n_docs: int
+
+    def highest(self, base: float) -> int:
+        return int(levels(np.array([max(self.n, 1)]), base)[0])
+
+    def scores(self, texts: pa.Array, word_levels: Levels, pair_levels: Levels) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens and score of each text."""
+        token, before, doc = tokens(words(texts, NOT_SPACE))
+        unique, inverse = np.unique(token, return_inverse=True)
+        count = count_at(word_levels(unique), WORD_BASE)
+        single = (count[inverse] + ADDED) / (self.n + ADDED * (self.v + 1))
+        context = np.zeros(len(token))
+        context[1:] = count[inverse[:-1]]
+        context[before == BEGIN] = self.n_docs
+        pairs, back = np.unique(pair(before, token), return_inverse=True)
+        joint = count_at(pair_levels(pairs), PAIR_BASE)[back]
+        seen = context > 0
+        follows = np.minimum(joint, context) / np.maximum(context, 1)
+        p = np.where(seen, PAIR_WEIGHT * follows + (1 - PAIR_WEIGHT) * single, single)
+        return np.bincount(doc, minlength=len(texts)), np.bincount(doc, weights=np.log10(p), minlength=len(texts))
+
 
+def _broadcast_scores(tables, sizes: tuple[int, int], scorer: Scorer):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for_words, for_pairs = (np.frombuffer(t, dtype=np.uint8) for t in tables.value)
+        of_words = lambda found: read_levels(for_words, found, WORD_BUCKETS, sizes[0], scorer.highest(WORD_BASE))
+        of_pairs = lambda found: read_levels(for_pairs, found, PAIR_BUCKETS, sizes[1], scorer.highest(PAIR_BASE))
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                token, before, doc = tokens(words(named(part, "text"), NOT_SPACE))
-                unique, inverse = np.unique(token, return_inverse=True)
-                count = count_at(read_levels(for_words, unique, WORD_BUCKETS, WORD_BITS, highest(WORD_BASE)), WORD_BASE)
-                single = (count[inverse] + ADDED) / whole
-                context = np.zeros(len(token))
-                context[1:] = count[inverse[:-1]]
-                context[before == BEGIN] = n_docs
-                pairs, back = np.unique(pair(before, token), return_inverse=True)
-                joint = count_at(read_levels(for_pairs, pairs, PAIR_BUCKETS, PAIR_BITS, highest(PAIR_BASE)), PAIR_BASE)[back]
-                seen = context > 0
-                follows = np.minimum(joint, context) / np.maximum(context, 1)
-                p = np.where(seen, PAIR_WEIGHT * follows + (1 - PAIR_WEIGHT) * single, single)
-                total = np.bincount(doc, weights=np.log10(p), minlength=part.num_rows)
-                size = np.bincount(doc, minlength=part.num_rows)
+                size, total = scorer.scores(named(part, "text"), of_words, of_pairs)
                 columns = [named(part, c) for c in ("doc_id", "key", "held_out")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(size, pa.int64()), pa.array(total)], names=["doc_id", "key", "held_out", "n_tokens", "score"])
 
     return score
 
 
+PROBED = "bucket int, slice long, found binary, key long, text string"
+ANSWERED = "slice long, bucket int, levels binary"
+
+
+def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of each slice, and for each bucket the words or pairs that the slice asks for, sorted."""
+    partition, number = TaskContext.get().partitionId(), 0
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.string()]
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            token, before, _ = tokens(words(named(part, "text"), NOT_SPACE))
+            name = _slice_name(named(part, "key").to_numpy(zero_copy_only=False).astype(np.int64), partition, number)
+            number += 1
+            rows = [(None, name, None, key, text) for key, text in zip(named(part, "key").to_pylist(), named(part, "text").to_pylist(), strict=True)]
+            for found, begin, buckets in ((token, 0, WORD_BUCKETS), (pair(before, token), PAIRS_FROM, PAIR_BUCKETS)):
+                unique = np.unique(found)
+                order, ends = _split((unique >> np.uint64(48)) % np.uint64(buckets), buckets)
+                rows += [(begin + int(b), name, unique[order[ends[b] : ends[b + 1]]].tobytes(), None, None) for b in np.flatnonzero(np.diff(ends))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "slice", "found", "key", "text"])
+
+
+def _answers(scorer: Scorer):
+    """The levels of what the slices ask of one segment, a byte each."""
+
+    def answer(key: tuple, asked: pa.Table, kept: pa.Table) -> pa.Table:
+        base = WORD_BASE if key[0].as_py() < PAIRS_FROM else PAIR_BASE
+        bits = np.frombuffer(kept.column("bits")[0].as_buffer(), np.uint8) if kept.num_rows else np.zeros(1, np.uint8)
+        out = []
+        for found in asked.column("found"):
+            out.append(read_levels(bits, np.frombuffer(found.as_buffer(), np.uint64), 1, 8 * len(bits), scorer.highest(base)).astype(np.uint8).tobytes())
+        return pa.table({"slice": asked.column("slice"), "bucket": asked.column("bucket"), "levels": pa.array(out, pa.binary())})
+
+    return answer
+
+
+def _slice_scores(scorer: Scorer):
+    """The score of each text of a slice from the answers of all segments."""
+
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        told = dict(zip(answers.column("bucket").to_pylist(), answers.column("levels").to_pylist(), strict=True))
+
+        def of(begin: int, buckets: int) -> Levels:
+            def told_levels(unique: np.ndarray) -> np.ndarray:
+                order, ends = _split((unique >> np.uint64(48)) % np.uint64(buckets), buckets)
+                level = np.zeros(len(unique), dtype=np.int64)
+                for b in np.flatnonzero(np.diff(ends)):
+                    level[order[ends[b] : ends[b + 1]]] = np.frombuffer(told[begin + int(b)], np.uint8)
+                return level
+
+            return told_levels
+
+        bodies = pa.concat_arrays(texts.column("text").chunks)
+        size, total = scorer.scores(bodies, of(0, WORD_BUCKETS), of(PAIRS_FROM, PAIR_BUCKETS))
+        return pa.table({"s_key": texts.column("key"), "n_tokens": pa.array(size, pa.int64()), "score": pa.array(total)})
+
+    return score
+
+
+def _shuffled_scores(rows: DataFrame, segments: DataFrame, scorer: Scorer) -> DataFrame:
+    """(s_key, n_tokens, score), one row a key, without gathering the filter anywhere."""
+    probed = stored(rows.select("text", "key").mapInArrow(_probed, PROBED))
+    asked = probed.where(F.col("bucket").isNotNull()).select("bucket", "slice", "found")
+    answers = asked.groupBy("bucket").cogroup(segments.groupBy("bucket")).applyInArrow(_answers(scorer), ANSWERED)
+    texts = probed.where(F.col("bucket").isNull()).select("slice", "key", "text")
+    scores = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_slice_scores(scorer), "s_key long, n_tokens long, score double")
+    return scores.dropDuplicates(["s_key"])
+
+
 def _unpacked(table: pa.Table) -> pa.Table:
     """Add the sums of a slice over all buckets and give them to its documents."""
     keys = np.frombuffer(next(x for x in table.column("keys").to_pylist() if x is not None), np.int64)
@@ -286,8 +384,11 @@ def _unpacked(table: pa.Table) -> pa.Table:
 
 
 def _filter(rows: list, first: int, buckets: int, size: int) -> bytes:
-    """The segments laid end to end; the buckets without entries are empty."""
-    parts = {row.bucket - first: bytes(row.bits) for row in rows}
+    """The segments laid end to end at ``size`` bits each; the buckets without entries are empty.
+
+    Places are taken modulo powers of two, so a smaller segment repeated reads as before.
+    """
+    parts = {row.bucket - first: bytes(row.bits) * (size // 8 // len(row.bits)) for row in rows}
     return b"".join(parts.get(b, bytes(size // 8)) for b in range(buckets))
 
 
@@ -302,12 +403,21 @@ def scored(docs: DataFrame) -> DataFrame:
 
     n, v = reduced.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     n_docs = rows.where("train").count()
-    segments = reduced.where(F.col("bits").isNotNull()).select("bucket", "bits").collect()
-    of_words, of_pairs = [r for r in segments if r.bucket < PAIRS_FROM], [r for r in segments if r.bucket >= PAIRS_FROM]
-    tables = (_filter(of_words, 0, WORD_BUCKETS, WORD_BITS), _filter(of_pairs, PAIRS_FROM, PAIR_BUCKETS, PAIR_BITS))
-    del segments, of_words, of_pairs
-    shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key long, held_out boolean, n_tokens long, score double"
-    scores = rows.select("doc_id", "key", "held_out", "text").mapInArrow(_scores(spark.sparkContext.broadcast(tables), n, v, n_docs), shape)
+    scorer = Scorer(n, v, n_docs)
+    segments = reduced.where(F.col("bits").isNotNull()).select("bucket", "bits")
+    is_word, bits = F.col("bucket") < PAIRS_FROM, F.max(8 * F.length("bits"))
+    largest = {r.is_word: r.size for r in segments.groupBy(is_word.alias("is_word")).agg(bits.alias("size")).collect()}
+    sizes = (largest.get(True, WORD_BITS), largest.get(False, PAIR_BITS))
+    if (WORD_BUCKETS * sizes[0] + PAIR_BUCKETS * sizes[1]) // 8 <= FILTER_BYTES:
+        found = segments.collect()
+        of_words, of_pairs = [r for r in found if r.bucket < PAIRS_FROM], [r for r in found if r.bucket >= PAIRS_FROM]
+        tables = (_filter(of_words, 0, WORD_BUCKETS, sizes[0]), _filter(of_pairs, PAIRS_FROM, PAIR_BUCKETS, sizes[1]))
+        del found, of_words, of_pairs
+        shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key long, held_out boolean, n_tokens long, score double"
+        scores = rows.select("doc_id", "key", "held_out", "text").mapInArrow(_broadcast_scores(spark.sparkContext.broadcast(tables), sizes, scorer), shape)
+    else:
+        by_key = _shuffled_scores(rows, segments, scorer)
+        scores = rows.select("doc_id", "key", "held_out").join(by_key, F.col("key") == F.col("s_key"))
 
     sliced = reduced.where(F.col("slice").isNotNull()).select("slice", "keys", "sums", "known")
     sums = sliced.groupBy("slice").applyInArrow(_unpacked, "k long, sums double, n_known long").dropDuplicates(["k"])

@@ -67,6 +67,36 @@ def test_filter_returns_levels():
     assert (read[frequent] == lm.levels(counts, 2.0)[frequent]).mean() > 0.9
 
 
+def test_segments_have_room_for_all(spark):
+    import numpy as np
+
+    entries = lm.mixed(np.arange(1, 60_001, dtype=np.uint64)) & lm.LOW
+    counts = np.where(np.arange(60_000) % 4, 1, 9)
+    size = lm.room_for(counts, lm.PAIR_BASE, lm.PAIR_BITS)
+    table = np.frombuffer(lm.segment(entries, counts, lm.PAIR_BASE, size), np.uint8)
+    assert (lm.read_levels(table, entries, 1, size, 20) >= lm.levels(counts, lm.PAIR_BASE)).all()
+
+
+def test_a_bucket_keeps_its_rare_pairs():
+    import numpy as np
+    import pyarrow as pa
+
+    pairs = np.unique(lm.mixed(np.arange(60_000, dtype=np.uint64)) & lm.LOW)
+    blobs = [pairs.astype(np.uint32), (pairs >> np.uint64(32)).astype(np.uint16), np.ones(len(pairs), np.uint32)]
+    table = pa.table({"bucket": [lm.PAIRS_FROM], "slice": pa.array([None], pa.int64()), **{c: [x.tobytes()] for c, x in zip("abc", blobs, strict=True)}})
+    bits = np.frombuffer(lm._reduced((pa.scalar(lm.PAIRS_FROM),), table).column("bits")[0].as_py(), np.uint8)
+    assert (lm.read_levels(bits, pairs, 1, 8 * len(bits), 20) >= 1).all()
+
+
+def test_shuffled_filter_scores_like_the_broadcast_one(spark, monkeypatch):
+    docs = spark.createDataFrame(documents(), DOCS)
+    broadcast = sorted(map(tuple, lm.op4(docs).collect()), key=str)
+    monkeypatch.setattr(lm, "FILTER_BYTES", 0)
+    shuffled = sorted(map(tuple, lm.op4(docs).collect()), key=str)
+    assert [r[:-1] for r in shuffled] == [r[:-1] for r in broadcast]
+    assert [r[-1] for r in shuffled] == pytest.approx([r[-1] for r in broadcast], rel=1e-9)
+
+
 def test_model_of_nothing(docs):
     assert lm.op4(docs.limit(0)).count() == 0
     rows = lm.op4(docs.where("doc_id = 61")).collect()
