@@ -1,11 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Each source's documents are put in a fixed shuffled order and its words, laid end to end, are cut
-into blocks of ``BLOCK`` words. The mix is a row of slots of one block each. Slot k stands at the
-golden-ratio point frac(k * phi); the point falls into the interval of one source on the line of
-cumulative target shares, so after any number of slots each source is within a few blocks of its
+into equal blocks of ``BLOCK`` words at most, ``LEAST_BLOCKS`` at least if it has as many words. The
+mix is a row of slots of one block each; a source has its target over its block length of them. Slot
+k stands at the golden-ratio point frac(k * phi); the point falls into the interval of one source on
+the line of cumulative slots, so after any number of slots each source is within a few blocks of its
 share. The slots of a source are ranked, and the slot of rank r takes the source's block
-r mod (blocks of the source): one pass over the source, then a second one, never a third.
+r mod (blocks of the source): one pass over the source, then a second one, never a third. At the end
+the ranks of a source that are over its number are taken back, and those missing are added.
 
 Targets: 150 % of all words are dealt by the weights 3, 1, 2, 3, .. over the sources in order of
 code points, null last; a target stops at twice its source's size, and what is over is dealt again
@@ -15,7 +17,7 @@ documents of their own. An empty table, or one without a word, gives targets and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, checkpoint, packed, text_of, tie_break
@@ -24,6 +26,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 REPEATS = 2
 BLOCK = 64
+LEAST_BLOCKS = 64
 BUCKETS = 1024
 CELLS = 4096
 CHUNK = 65_536
@@ -43,7 +46,7 @@ def words_of(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """From (source, size): ``sid``, ``source_size``, ``target``, and the interval ``lo``, ``hi`` of its share.
+    """From (source, size): ``sid``, ``source_size``, ``target``, ``n_blocks``, ``slots`` and their interval ``lo``, ``hi``.
 
     One row a source. Sorted by size over weight, the sources that are stopped come first, and the
     level of the rest is the largest (words left) / (weights left) along that order.
@@ -61,13 +64,16 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     left = (F.col("total") - F.coalesce(F.sum(most).over(earlier), F.lit(0.0))) / F.sum("weight").over(later)
     leveled = ranked.withColumn("left", left).withColumn("level", F.max("left").over(everything))
     targets = leveled.withColumn("target", F.least(most, F.col("weight") * F.col("level")))
+    size = F.col("source_size")
+    n_blocks = F.greatest(F.ceil(size / BLOCK), F.least(size, F.lit(LEAST_BLOCKS))).cast("long")
+    slots = F.greatest(F.round(F.col("target") / size * F.col("n_blocks")), F.lit(1)).cast("long")
+    targets = targets.withColumn("n_blocks", n_blocks).withColumn("slots", F.when(F.col("target") > 0, slots).otherwise(0))
     in_order = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("target").over(in_order), F.lit(0.0))
-    whole = F.nullif(F.sum("target").over(everything), F.lit(0.0))
+    before = F.coalesce(F.sum("slots").over(in_order), F.lit(0))
+    whole = F.nullif(F.sum("slots").over(everything), F.lit(0))
     return targets.select(
-        "source", "sid", "source_size", "target", "total",
-        (before / whole).alias("lo"), ((before + F.col("target")) / whole).alias("hi"),
-        F.ceil(F.col("source_size") / BLOCK).cast("long").alias("n_blocks"),
+        "source", "sid", "source_size", "target", "n_blocks", "slots",
+        (before / whole).alias("lo"), ((before + F.col("slots")) / whole).alias("hi"),
     )
 
 
@@ -78,52 +84,67 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     points = points.withColumn("cell", F.floor(F.col("point") * CELLS)).withColumn("chunk", F.floor(F.col("id") / CHUNK))
     # The last interval is open to the right, against sums of shares that end just below 1.
     open_end = F.lead("sid").over(Window.orderBy("sid")).isNull()
-    intervals = targets.where(F.col("target") > 0).withColumn("hi", F.when(open_end, F.lit(2.0)).otherwise(F.col("hi")))
+    intervals = targets.where(F.col("slots") > 0).withColumn("hi", F.when(open_end, F.lit(2.0)).otherwise(F.col("hi")))
     cells = F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1).cast("long")))
-    intervals = intervals.select("sid", "lo", "hi", "n_blocks", F.explode(cells).alias("cell"))
+    intervals = intervals.select("sid", "lo", "hi", F.explode(cells).alias("cell"))
     dealt = points.join(intervals, "cell").where((F.col("point") >= F.col("lo")) & (F.col("point") < F.col("hi")))
-    counts = dealt.groupBy("sid", "chunk").agg(F.count("*").alias("in_chunk"))
+    counts = checkpoint(dealt.groupBy("sid", "chunk").agg(F.count("*").alias("in_chunk")))
     before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("sid", "chunk", F.coalesce(F.sum("in_chunk").over(before), F.lit(0).cast("long")).alias("first"))
     inside = F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("id")) - 1
     ranked = dealt.withColumn("inside", inside).join(first, ["sid", "chunk"]).withColumn("rank", F.col("first") + F.col("inside"))
-    return (
-        ranked.where(F.col("rank") < REPEATS * F.col("n_blocks"))
-        .groupBy("sid", F.pmod("rank", "n_blocks").alias("block"))
-        .agg(F.count("*").alias("times"))
-    )
+    of_source = targets.select(F.col("sid").alias("s"), "n_blocks", F.col("slots").alias("due"))
+    dealt_of = counts.groupBy("sid").agg(F.sum("in_chunk").alias("n")).withColumnRenamed("sid", "d")
+    short = of_source.join(dealt_of, F.col("s") == F.col("d"), "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long"))).where(F.col("n") < F.col("due"))
+    added = short.select("s", "n_blocks", F.explode(F.sequence("n", F.col("due") - 1)).alias("rank"))
+    kept = ranked.join(of_source, F.col("sid") == F.col("s")).where(F.col("rank") < F.col("due")).select("s", "n_blocks", F.col("rank").cast("long").alias("rank"))
+    settled = kept.unionByName(added).select(F.col("s").alias("sid"), F.pmod("rank", "n_blocks").alias("block"))
+    return settled.groupBy("sid", "block").agg(F.count("*").alias("times"))
+
+
+def block_of(word: str) -> Column:
+    """The block of a word; in decimals, as the product can be beyond a long."""
+    return F.expr(f"(cast({word} + 1 as decimal(19,0)) * cast(n_blocks as decimal(19,0)) - 1) div cast(source_size as decimal(19,0))")
+
+
+def begin_of(block: str) -> Column:
+    """The first word of a block."""
+    return F.expr(f"(cast({block} as decimal(19,0)) * cast(source_size as decimal(19,0))) div cast(n_blocks as decimal(19,0))")
 
 
 def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """Columns ``row`` (all of ``docs``), ``size``, ``source_size``, ``target``, ``taken``."""
+    """Columns ``row`` (all of ``docs``), ``size``, ``source_size``, ``target``, ``taken``, and ``leads`` at the first words of a source."""
     rows = words_of(docs, seed)
     sums = checkpoint(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")))
     targets = checkpoint(source_targets(sums.groupBy("source").agg(F.sum("size").alias("size"))))
-    total = (targets.agg(F.max("total")).first()[0]) or 0.0
-    times = schedule(targets, int(-(-total // BLOCK)))
+    times = schedule(targets, targets.agg(F.sum("slots")).first()[0] or 0)
 
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("source", "bucket", F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")).alias("offset"))
-    offsets = offsets.join(targets.select("source", "sid", "source_size", "target"), F.equal_null(offsets["source"], targets["source"])).drop("source")
+    offsets = offsets.join(targets.select("source", "sid", "source_size", "target", "n_blocks"), F.equal_null(offsets["source"], targets["source"])).drop("source")
     offsets = offsets.withColumnRenamed("bucket", "b")
     sids = targets.select(F.col("source").alias("s"), F.col("sid").alias("i"))
     rows = rows.join(sids, F.equal_null("source", "s")).drop("source", "s")
     running = F.sum("size").over(Window.partitionBy("i", "bucket").orderBy("place", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("running", running).join(offsets, (F.col("i") == F.col("sid")) & (F.col("bucket") == F.col("b")))
-    rows = rows.select("row", "sid", "size", "source_size", "target", (F.col("offset") + F.col("running") - F.col("size")).alias("start"))
+    rows = rows.select("row", "sid", "size", "source_size", "target", "n_blocks", (F.col("offset") + F.col("running") - F.col("size")).alias("start"))
 
-    first, last = F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK)
-    pieces = rows.where(F.col("size") > 0).select("sid", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    inside = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * BLOCK) - F.greatest(F.col("start"), F.col("block") * BLOCK)
+    blocks = F.sequence(block_of("start"), block_of("start + size - 1"))
+    pieces = rows.where(F.col("size") > 0).select("sid", "start", "size", "source_size", "n_blocks", F.explode(blocks).alias("block"))
+    inside = F.least(F.col("start") + F.col("size"), begin_of("block + 1")) - F.greatest(F.col("start"), begin_of("block"))
     taken = pieces.join(times, ["sid", "block"]).groupBy("sid", "start").agg(F.sum(inside * F.col("times")).alias("taken"))
     taken = taken.select(F.col("sid").alias("t_sid"), F.col("start").alias("t_start"), "taken")
     found = rows.join(taken, (F.col("sid") == F.col("t_sid")) & (F.col("start") == F.col("t_start")) & (F.col("size") > 0), "left")
-    return found.select("row", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    leads = (F.col("start") == 0) & (F.col("size") > 0)
+    return found.select("row", "size", "source_size", "target", leads.alias("leads"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def mixture(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The mix as documents: each as often as its taken words make whole copies, rounded."""
-    copies = F.round(F.col("taken") / F.col("size")).cast("int")
+    """The mix as documents: each as often as its taken words make whole copies, rounded.
+
+    The first document of a source stays once at least, so no source is lost by rounding.
+    """
+    copies = F.greatest(F.round(F.col("taken") / F.col("size")), F.when(F.col("leads"), 1).otherwise(0)).cast("int")
     picked = mixed(docs, seed).where(F.col("taken") > 0).where(copies > 0)
     repeated = picked.select("row", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
     return repeated.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])

@@ -113,6 +113,28 @@ def test_mix_meets_targets(docs):
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mix.op5(docs.repartition(5)).collect()), key=str)
 
 
+def test_small_sources_keep_their_targets(spark):
+    sizes = {f"s{k:03}": (30, 50, 100, 7, 1, 65)[k % 6] for k in range(120)} | {"big": 4000}
+    rows = [(k * 1000 + j, "w " * (n // 4 + (j < n % 4)), s) for k, (s, n) in enumerate(sizes.items()) for j in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken: Counter = Counter()
+    source = {i: s for i, _, s in rows}
+    found = mix.op5(docs).collect()
+    for r in found:
+        taken[source[r.doc_id]] += r.taken
+        assert 0 <= r.taken <= 2 * r["size"]
+    for s, target in targets(sizes).items():
+        assert taken[s] > 0 and abs(taken[s] - target) <= max(1, sizes[s] / 60), s
+    assert sum(taken.values()) == pytest.approx(1.5 * sum(sizes.values()), rel=0.01)
+    assert {r.source for r in mix.mixture(docs).collect()} == set(sizes)
+
+
+def test_a_source_of_one_long_text_stays(spark):
+    docs = spark.createDataFrame([(1, "w " * 900, "a"), (2, "w " * 5000, "b")], "doc_id long, text string, source string")
+    docs = docs.unionByName(spark.createDataFrame([(3, "w " * 5000, "c"), (4, "w " * 100_000, "b")], docs.schema))
+    assert {r.source for r in mix.mixture(docs).collect()} == {"a", "b", "c"}
+
+
 def test_mix_of_no_words_and_no_rows(spark, docs):
     rows = mix.op5(docs.where("doc_id in (60, 61)")).collect()
     assert {(r.target, r.taken) for r in rows} == {(0.0, 0)} and len(rows) == 2
