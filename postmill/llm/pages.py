@@ -5,7 +5,8 @@ labelled pages, those that mark their content by exactly one ``article`` (or ``m
 word in a given context (in a link or not, and the element around it) scores the share of such words
 that lie in content, a tag the more below zero the more often it lies outside. One linear scan finds
 the contiguous region of the largest sum. The region grows to the element that holds it, so that
-short blocks at its ends stay, and loses what lies in menus, forms, notices and the like.
+short blocks at its ends stay, and loses what lies in menus, forms, notices and the like. Elements that
+only their class or id calls so are kept if they hold most words of the best region.
 
 Blocks are the text between block-level tags, in page order, joined by a line feed; character
 references are decoded and white space in a block becomes one space. A null or empty page, and one
@@ -36,11 +37,11 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S
 )
 ATTRIBUTE = re.compile(r"""([A-Za-z_:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 # Fixed values of HTML: elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript iframe textarea template svg math title object video audio canvas noembed noframes xmp".split())
+RAW = frozenset("script style noscript iframe textarea template svg title object video audio canvas noembed noframes xmp".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr ul".split()
@@ -62,9 +63,10 @@ PAGE_HEADER = frozenset(("header", "topbar"))
 
 
 class Element:
-    __slots__ = ("name", "parent", "depth", "dropped", "in_article")
+    __slots__ = ("name", "parent", "depth", "dropped", "named", "in_article")
 
-    def __init__(self, name: str, parent: Element | None, dropped: bool, in_article: bool):
+    def __init__(self, name: str, parent: Element | None, dropped: bool, named: bool, in_article: bool):
+        self.named = named
         self.name, self.parent, self.dropped, self.in_article = name, parent, dropped, in_article
         self.depth = parent.depth + 1 if parent else 0
 
@@ -78,6 +80,10 @@ class Token:
         self.name, self.text, self.element, self.block, self.link = name, text, element, block, link
 
 
+def _attributes(attributes: str) -> dict[str, str]:
+    return {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
+
+
 def _boilerplate(name: str, attributes: str, parent: Element) -> bool:
     if name in BOILERPLATE:
         return True
@@ -85,18 +91,24 @@ def _boilerplate(name: str, attributes: str, parent: Element) -> bool:
         return not parent.in_article
     if name in ("html", "body", "main") or not attributes:
         return False
-    found = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
+    found = _attributes(attributes)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return True
-    if found.get("role", "").lower() in ROLES:
-        return True
-    names = set(SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+    return found.get("role", "").lower() in ROLES
+
+
+def _named(name: str, attributes: str, parent: Element) -> bool:
+    """Whether class or id call an element boilerplate."""
+    if name in ("html", "body", "main") or not attributes:
+        return False
+    found = _attributes(attributes)
+    names = {x.lower() for x in SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}")}
     return bool(names & (NAMES if parent.in_article or name == "article" else NAMES | PAGE_HEADER))
 
 
 def tokens(page: str) -> list[Token]:
     """The page's words and tags with the elements around them."""
-    root = Element("", None, False, False)
+    root = Element("", None, False, False, False)
     top, block, links, out = root, 0, 0, []
     at, end = 0, len(page)
 
@@ -152,7 +164,7 @@ def tokens(page: str) -> list[Token]:
             top, links = top.parent, links - 1
         if name not in VOID:
             dropped = top.dropped or _boilerplate(name, attributes, top)
-            top = Element(name, top, dropped, top.in_article or (name in ("article", "main") and not dropped))
+            top = Element(name, top, dropped, not dropped and _named(name, attributes, top), top.in_article or (name in ("article", "main") and not dropped))
             links += name == "a"
         out.append(Token(name, None, top, block, False))
     return out
@@ -190,7 +202,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     outside: Counter[str] = Counter()
     for batch in batches:
         for page in named(batch, "html").to_pylist():
-            row = tokens(page)
+            row = judged(tokens(page), {})
             marks = labelled(row)
             for token, content in zip(row, marks or [], strict=bool(marks)):
                 (inside if content else outside)[_event(token)] += _size(token)
@@ -240,8 +252,32 @@ def region(row: list[Token], weights: dict[str, float]) -> tuple[int, int]:
     return first, last
 
 
+def judged(row: list[Token], weights: dict[str, float]) -> list[Token]:
+    """Drop the elements that are boilerplate by name, but none that holds most words of the best region."""
+    if not any(t.element.named for t in row):
+        return row
+    first, last = region(row, weights)
+    held: Counter[Element] = Counter()
+    total = 0
+    for token in row[first : last + 1]:
+        if token.text is None or token.element.dropped:
+            continue
+        size, node = _size(token), token.element
+        total += size
+        while node is not None:
+            if node.named:
+                held[node] += size
+            node = node.parent
+    for token in row:  # an element comes before those inside it
+        node = token.element
+        if node.named:
+            node.named = 2 * held[node] <= total
+        node.dropped = node.dropped or node.named or (node.parent is not None and node.parent.dropped)
+    return row
+
+
 def main_text(page: str | None, weights: dict[str, float]) -> str:
-    row = tokens(page or "")
+    row = judged(tokens(page or ""), weights)
     first, last = region(row, weights)
     if last < first:
         return ""

@@ -92,6 +92,23 @@ def test_page_without_an_article():
     assert text.split("\n") == [f"Sentence number {k} has quite a few words in it." for k in range(6)]
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        "<div class='content-sidebar-wrap'><article>",
+        "<div><article class='post no-sidebar'>",
+        "<div><article class='post has-comments'>",
+        "<article><div class='elementor-widget-container'>",
+        "<div class='page-widget'><div>",
+    ],
+)
+def test_names_do_not_drop_the_main_text(opening):
+    body = "".join(f"<p>Sentence number {k} has quite a few words in it.</p>" for k in range(6))
+    page = f"<body><div class='topMenu'>Some entries of a menu</div>{opening}{body}<p>Let <math><mi>x</mi></math> be.</p><div class=comments><p>Nice post!</p></div>"
+    want = [f"Sentence number {k} has quite a few words in it." for k in range(6)] + ["Let x be."]
+    assert pages.main_text(page, {}).split("\n") == want
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>only", "<nav>menu</nav>", "<a title='x>", "</p></div>"])
 def test_pages_without_text(page):
     assert pages.main_text(page, {}) in ("", "<")
