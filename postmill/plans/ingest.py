@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill.operators import clean_columns
 from postmill.operators.quality import CheckFailed, schema_problems
-from postmill.sinks import write_table
+from postmill.sinks import append_batch, write_table
+from postmill.sinks.batches import note_batch
 from postmill.sinks.tables import run_id
 from postmill.sources import REASON, load_rows, split_rejects
 
@@ -32,6 +33,7 @@ def ingest(
     quarantine_table: str | None = None,
     min_rows: int = 1,
     fmt: str = "parquet",
+    batch: str | None = None,
 ) -> int:
     """Ingest a dump and return the number of rows written to ``table``.
 
@@ -43,7 +45,15 @@ def ingest(
     Fewer than ``min_rows`` rows is an error, and so is a table that does not have the
     columns of ``schema``. Both are found before anything is published, so an overwrite
     leaves the old table as it was and an append adds nothing.
+
+    A plain append that fails and is run again may leave refused rows twice. With ``batch``, an
+    id of what is appended, it does not: both tables carry the id beside the contract's columns, a
+    retry replaces what the same batch left in either, and a line in ``<table>_batches`` says
+    that it is complete. The judged rows are stored first and checked there, so each row
+    is written twice in all.
     """
+    if batch is not None and write_mode != "append":
+        raise ValueError("only an append is made of batches")
     logger.info("reading %s", path)
 
     def enough(n: int) -> None:
@@ -54,7 +64,7 @@ def ingest(
         if problems := schema_problems(spark.table(stored), schema):
             raise CheckFailed(f"{table}: {', '.join(problems)}")
 
-    if quarantine_table is None:
+    if quarantine_table is None and batch is None:
         rows = load_rows(spark, path, schema, row_tag, layout, "fail")
         written = Observation()
         good = rows.observe(written, F.count(F.lit(1)).alias("good"))
@@ -66,23 +76,46 @@ def ingest(
         write_table(clean_columns(good), table, write_mode, fmt, before_swap=check)
         count = written.get["good"]
     else:
-        rows = load_rows(spark, path, schema, row_tag, layout, "quarantine")
+        rows = load_rows(spark, path, schema, row_tag, layout, "quarantine" if quarantine_table else "fail")
         judged = f"{table}__judged_{run_id()}"
         rows.write.format("parquet").saveAsTable(judged)
         try:
-            good, refused = split_rejects(spark.table(judged))
-            # From the stored rows: those are what both tables are made of.
-            seen = spark.table(judged).agg(
-                F.count_if(F.col(REASON).isNull()).alias("good"),
-                F.count_if(F.col(REASON).isNotNull()).alias("refused"),
-            ).first()
+            good, refused, seen = _judged(spark.table(judged))
             enough(seen["good"])
-            if seen["refused"] or write_mode == "overwrite":
-                write_table(refused, quarantine_table, write_mode, fmt)
-            write_table(clean_columns(good), table, write_mode, fmt, before_swap=fits)
+            if batch is not None:
+                if quarantine_table is not None:
+                    append_batch(refused, quarantine_table, batch, fmt)
+                append_batch(_fitting(clean_columns(good), schema, table), table, batch, fmt)
+                note_batch(spark, table, batch, n_rows=seen["good"], n_refused=seen["refused"])
+            else:
+                if seen["refused"] or write_mode == "overwrite":
+                    write_table(refused, quarantine_table, write_mode, fmt)
+                write_table(clean_columns(good), table, write_mode, fmt, before_swap=fits)
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {judged}")
         count = seen["good"]
-        logger.info("%s rows quarantined in %s", seen["refused"], quarantine_table)
+        if quarantine_table is not None:
+            logger.info("%s rows quarantined in %s", seen["refused"], quarantine_table)
     logger.info("%s rows written to %s", count, table)
     return count
+
+
+def _judged(rows: DataFrame) -> tuple[DataFrame, DataFrame | None, Row]:
+    """Good rows, refused ones if they were kept, and how many there are of either.
+
+    Counted on the stored rows: those are what the tables are made of.
+    """
+    if REASON not in rows.columns:
+        return rows, None, rows.agg(F.count(F.lit(1)).alias("good"), F.lit(0).alias("refused")).first()
+    good, refused = split_rejects(rows)
+    seen = rows.agg(
+        F.count_if(F.col(REASON).isNull()).alias("good"),
+        F.count_if(F.col(REASON).isNotNull()).alias("refused"),
+    ).first()
+    return good, refused, seen
+
+
+def _fitting(rows: DataFrame, schema: StructType, table: str) -> DataFrame:
+    if problems := schema_problems(rows, schema):
+        raise CheckFailed(f"{table}: {', '.join(problems)}")
+    return rows

@@ -17,7 +17,7 @@ from postmill.operators.quality import (
     RowRule,
     TableChecks,
     enforce,
-    grain,
+    key_grain,
     rule_in_list,
     rule_not_in_future,
     rule_not_null,
@@ -156,10 +156,10 @@ def build_models(
         logger.info("%s built", table)
 
     def same_grain(table, built):
-        counted = grain(posts, built).first()
+        counted = key_grain(posts, built, "Id", "post_id").first()
         if not counted["same_grain"]:
             raise CheckFailed(
-                f"{table}: {counted['result_rows']} rows from {counted['source_rows']} posts"
+                f"{table}: {counted['result_rows']} rows from {counted['source_rows']} posts, or other posts"
             )
 
     run_together(

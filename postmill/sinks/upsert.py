@@ -5,11 +5,16 @@ cannot be changed in place, so the merged rows are written anew: only the touche
 partitions when the table is partitioned by one column and no row changes partition,
 otherwise the whole table. Either way a rerun with the same source changes nothing.
 
-Not atomic for readers on plain files; see :mod:`postmill.sinks.tables`.
+A whole rewrite is published at once, see :mod:`postmill.sinks.tables`. Partitions are put in
+place one after the other. Their merged rows are stored first, with a journal of the files
+that they were merged from. Should the driver die in between, the next upsert finishes the work, but
+only on the very table that the journal describes: if anything else has been written to it
+since, the rewrite is dropped with a warning, and what the journal knows nothing of stays.
 """
 
 from __future__ import annotations
 
+import logging
 import operator
 from collections.abc import Sequence
 from functools import reduce
@@ -18,17 +23,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.operators.merge import merge_rows
+from postmill.operators.quality import fingerprint
 from postmill.sinks.tables import (
     TRANSACTIONAL,
     cluster_for,
+    details,
     leftovers,
     partition_columns,
+    qualified,
     recover_table,
     run_id,
     write_table,
 )
 
+logger = logging.getLogger(__name__)
+
 _INCOMING = "__incoming_"
+_JOURNAL = "__journal_"
 _REWRITE = "__rewrite_"
 
 
@@ -55,6 +66,7 @@ def upsert_table(
     """
     keys = [key] if isinstance(key, str) else list(key)
     spark = source.sparkSession
+    table = qualified(spark, table)
     recover_upsert(spark, table)
     if full_refresh or not spark.catalog.tableExists(table):
         write_table(
@@ -81,17 +93,77 @@ def upsert_table(
 
 
 def recover_upsert(spark: SparkSession, table: str) -> None:
-    """Finish what an earlier upsert had merged but not put in place when it died."""
+    """Finish what an earlier upsert had merged but not put in place when it died.
+
+    What was merged from another state of the table than the present one is dropped.
+    """
     recover_table(spark, table)
-    if spark.catalog.tableExists(table):
-        for rewrite in leftovers(spark, table, _REWRITE):
+    rewrites, journals = leftovers(spark, table, _REWRITE), leftovers(spark, table, _JOURNAL)
+    for rewrite in rewrites:
+        journal = rewrite.replace(_REWRITE, _JOURNAL)
+        if journal in journals and _merged_from(spark, table, journal, rewrite):
             _put_partitions(spark, table, rewrite)
+        else:
+            logger.warning("%s has changed since %s was merged from it: the rewrite is dropped", table, rewrite)
+            spark.sql(f"DROP TABLE {rewrite}")
+    for journal in journals:
+        spark.sql(f"DROP TABLE IF EXISTS {journal}")
+
+
+def _identity(spark: SparkSession, table: str) -> tuple[str, str]:
+    return details(spark, table)["Location"], spark.table(table).schema.json()
+
+
+def _files_by_folder(spark: SparkSession, table: str) -> DataFrame:
+    """(folder, n_rows, print): number of files and a fingerprint of their names and sizes."""
+    location = details(spark, table)["Location"]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
+    parts = F.split("_metadata.file_path", "/")
+    name, size = F.element_at(parts, -1), F.col("_metadata.file_size")
+    names = files.select(F.element_at(parts, -2).alias("folder"), F.xxhash64(name, size).alias("file"))
+    return names.groupBy("folder").agg(*fingerprint(F.col("file")))
+
+
+def _rows_by_folder(spark: SparkSession, table: str) -> DataFrame:
+    """The same for rows and their values, wherever they are stored."""
+    rows = spark.table(table)
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder")
+    values = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(rows.columns)])
+    return rows.select(folder, values.alias("row")).groupBy("folder").agg(*fingerprint(F.col("row")))
+
+
+def _merged_from(spark: SparkSession, table: str, journal: str, rewrite: str) -> bool:
+    """Whether ``table`` is what the journal describes, but for partitions that the rewrite has already replaced.
+
+    Such a partition holds the rows of the rewrite, or nothing if the commit was cut short.
+    """
+    if not spark.catalog.tableExists(table):
+        return False
+    noted = spark.table(journal)
+    location, schema = _identity(spark, table)
+    if noted.where((F.col("location") == location) & (F.col("schema") == schema)).isEmpty():
+        return False
+    base = noted.where(F.col("folder").isNotNull()).select("folder", F.col("n_rows").alias("n"), F.col("print").alias("p"))
+    now = _files_by_folder(spark, table).select(F.col("folder").alias("folder_"), F.col("n_rows").alias("n_"), F.col("print").alias("p_"))
+    same = F.col("n").eqNullSafe(F.col("n_")) & F.col("p").eqNullSafe(F.col("p_"))
+    changed = base.join(now, F.col("folder") == F.col("folder_"), "full").where(~same)
+    changed = changed.select(F.coalesce("folder", "folder_").alias("folder"), F.col("n_").isNotNull().alias("there"))
+    ours = _rows_by_folder(spark, rewrite).select("folder", F.col("n_rows").alias("n"), F.col("print").alias("p"))
+    held = _rows_by_folder(spark, table).select(F.col("folder").alias("folder_"), F.col("n_rows").alias("n_"), F.col("print").alias("p_"))
+    judged = changed.join(ours, "folder", "left").join(held, F.col("folder") == F.col("folder_"), "left")
+    explained = F.col("n").isNotNull() & (~F.col("there") | same)
+    return judged.where(~explained).isEmpty()
+
+
+def _write_journal(spark: SparkSession, table: str, journal: str) -> None:
+    location, schema = _identity(spark, table)
+    identity = spark.range(1).select(F.lit(location).alias("location"), F.lit(schema).alias("schema"))
+    folders = _files_by_folder(spark, table)
+    identity.unionByName(folders, allowMissingColumns=True).write.format("parquet").saveAsTable(journal)
 
 
 def table_format(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    row = details.where("col_name = 'Provider'").first()
-    return row["data_type"].lower() if row else "parquet"
+    return details(spark, table).get("Provider", "parquet").lower()
 
 
 def _rewrite(
@@ -106,9 +178,13 @@ def _rewrite(
     merged = merge_rows(target.join(touched, partitioned[0], "left_semi"), incoming, keys)
     # Stored before anything is replaced: should the driver die while partitions are put in
     # place, the next run finds the rows and puts them all in place again.
-    rewrite = table + _REWRITE + run_id()
-    merged.select(*target.columns).write.format(fmt).saveAsTable(rewrite)
+    run = run_id()
+    journal, rewrite = table + _JOURNAL + run, table + _REWRITE + run
+    _write_journal(spark, table, journal)
+    rows = cluster_for(merged.select(*target.columns), partitioned)
+    rows.write.format(fmt).partitionBy(*partitioned).saveAsTable(rewrite)
     _put_partitions(spark, table, rewrite)
+    spark.sql(f"DROP TABLE {journal}")
 
 
 def _put_partitions(spark: SparkSession, table: str, rewrite: str) -> None:

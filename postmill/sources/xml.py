@@ -8,10 +8,12 @@ Two layouts:
     Every line is accounted for: a record, markup around the records, or a line
     that does not fit. A line that does not fit is an error, never a lost row.
 ``file``
-    Any layout of the elements, for small odd files: one task reads one file. The file
-    is cut at its records, and each record is parsed by itself. A piece that looks like
-    a record and is none is an error, as is a file that is not one complete document:
-    cut off, with a second root, or with anything after the end of its root.
+    Any layout of the elements: attributes on lines of their own, or all records on one
+    line. The text scan cuts files where a record opens, so one file is read by many tasks
+    here too, and each record is parsed by itself. A piece that looks like a record and
+    is none is an error, as is a file that is not one complete document: cut off at
+    either end, with a second root, or with anything after the end of its root. Within a record
+    no element may open whose name begins like the record's.
 
 Attributes are read as text and cast afterwards, because the reader cannot report a
 value of the wrong type without failing the job or nulling the value silently.
@@ -68,9 +70,7 @@ def load_rows(
     if layout == "lines":
         lines = spark.read.text(path)
         return parse_lines(lines, schema, row_tag, on_bad, file=F.col(_FILE_PATH))
-    files = spark.read.text(path, wholetext=True)
-    pieces = files.select(F.col(_FILE_PATH).alias("file"), F.inline(_pieces(row_tag)))
-    return _parsed(pieces, schema, row_tag, on_bad)
+    return _parsed(_pieces(spark, path, row_tag), schema, row_tag, on_bad)
 
 
 def parse_lines(
@@ -125,35 +125,70 @@ def parse_lines(
     return _parsed(kept, schema, row_tag, on_bad)
 
 
-def _pieces(row_tag: str) -> Column:
-    """The records of a whole file in ``value``, and what is wrong with the rest of it.
+def _pieces(spark: SparkSession, path: str | list[str], row_tag: str) -> DataFrame:
+    """(file, value, kind): the records of files, and what is wrong with the rest of them.
 
-    No pattern has a loop whose turns grow with the file, as each turn takes stack.
+    Three scans of the text: one finds the first chunk of each file, which no record opens; one cuts
+    the records; one gathers, for each file, the little that lies outside of records.
     """
+    opening = "<" + row_tag
+    chunks = spark.read.text(path, lineSep=opening).select(
+        F.col(_FILE_PATH).alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col(_VALUE),
+    )
+    # The scan says nothing of an opening at the very end of a file, but then its bytes are missing.
+    known = F.sum(F.octet_length(_VALUE)) + (F.count(F.lit(1)) - 1) * len(opening.encode())
+    heads = chunks.groupBy("file").agg(
+        F.min(F.struct("block", "id")).alias("first"), (F.max("size") - known == len(opening.encode())).alias("cut_off")
+    )
+    heads = heads.select(F.col("file").alias("head_file"), F.col("first.id").alias("head_id"), "cut_off")
+    # One short row for each file: less than the listing of the files, which the driver holds anyway.
+    is_head = (F.col("file") == F.col("head_file")) & (F.col("id") == F.col("head_id"))
+    marked = chunks.join(F.broadcast(heads), is_head, "left")
+    head = F.col("head_id").isNotNull()
+    text = F.when(head, F.col(_VALUE)).otherwise(F.concat(F.lit(opening), F.col(_VALUE)))
+    opened = marked.select("file", "block", "id", "cut_off", F.inline(F.array(F.struct(text.alias(_TEXT), head.alias("head")))))
+
+    # No pattern has a loop whose turns grow with the file, as each turn takes stack.
     tag = re.escape(row_tag)
     attributes = r"""(?:\s(?:[^<>"']++|"[^<"]*+"|'[^<']*+')*+)?"""
     content = rf"[^<]*+(?:<(?!/?{tag}[\s/>])[^<]*+)*+"
     # An attribute may hold '>', never '<'.
-    record = rf"<{tag}{attributes}(?:(?<=/)>|>{content}</{tag}\s*>)"
-    text = F.col(_VALUE)
-    between = F.split(text, record, -1)
-    looks_like_one = rf"<{tag}[\s/>]"
-    stray = F.filter(between, lambda piece: piece.rlike(looks_like_one))
-    rest = F.array_join(between, "")
-    markup = r"(?:\s*+(?:<\?[^>]*>|<!--(?:(?!-->)[\s\S])*+-->|<![^>]*>))*+\s*+"
-    root = F.regexp_extract(rest, rf"^\ufeff?{markup}<([A-Za-z_][^\s/>]*)[^<>]*>", 1)
+    record = rf"^<{tag}{attributes}(?:(?<=/)>|>{content}</{tag}\s*>)"
+    found = F.when(F.col("head"), "").otherwise(F.regexp_extract(_TEXT, record, 0))
+    cut = opened.select("file", "block", "id", "cut_off", "head", _TEXT, F.inline(F.array(F.struct(found.alias("record")))))
+    stray = (F.col("record") == "") & F.col(_TEXT).rlike(rf"^<{tag}([\s/>]|$)")
+    broken = F.when(F.col("head"), F.col("cut_off")).otherwise(stray)
+    kind = F.when(F.col("record") != "", "record").when(broken, "broken")
+    value = F.when(F.col("record") != "", F.col("record")).when(F.col("head"), opening).otherwise(F.col(_TEXT))
+    judged = F.struct(value.alias(_VALUE), kind.alias("kind"))
+    pieces = cut.select("file", F.inline(F.array(judged))).where(F.col("kind").isNotNull())
+
+    outside = F.expr(f"substring({_TEXT}, length(record) + 1)")
+    markup = r"<\?[^>]*+>|<!--[\s\S]*?-->|<!(?!--)[^>]*+>"
+    outside = F.trim(F.regexp_replace(F.regexp_replace(outside, markup, ""), r"^[\s\ufeff]++|\s++$", ""))
+    left = cut.select("file", F.inline(F.array(F.struct("block", "id", outside.alias(_VALUE), broken.alias("broken")))))
+    left = left.where((F.col(_VALUE) != "") | F.col("broken")).groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("block", "id", _VALUE))).alias("parts"), F.count_if("broken").alias("n_broken")
+    )
+    joined = left.select("file", "n_broken", F.inline(F.array(F.struct(F.array_join(F.col(f"parts.{_VALUE}"), "").alias(_VALUE)))))
+    incomplete = joined.where((F.col("n_broken") == 0) & ~_complete(F.col(_VALUE)))
+    return pieces.unionByName(incomplete.select("file", _VALUE, F.lit("incomplete").alias("kind")))
+
+
+def _complete(rest: Column) -> Column:
+    """Whether what is left of a file without its records is one root, opened and closed."""
+    markup = r"(?:\s*+(?:<\?[^>]*>|<!--[\s\S]*?-->|<![^>]*>))*+\s*+"
+    root = F.regexp_extract(rest, rf"^{markup}<([A-Za-z_][^\s/>]*)[^<>]*>", 1)
     closing = F.split(rest, F.concat(F.lit("</\\Q"), root, F.lit("\\E\\s*>")), -1)
     opened = F.split(rest, F.concat(F.lit("<\\Q"), root, F.lit("\\E[\\s/>]")), -1)
-    empty_root = rest.rlike(rf"^\ufeff?{markup}<[^<>]*/>{markup}$")
+    empty_root = rest.rlike(rf"^{markup}<[^<>]*/>{markup}$")
     once = (F.size(closing) == 2) & (F.size(opened) == 2)
     ended = once & F.element_at(closing, -1).rlike(rf"^{markup}$")
-    complete = ((root != "") & (ended | empty_root)) | rest.rlike(r"^\s*$")
-
-    def pieces(values: Column, kind: str) -> Column:
-        return F.transform(values, lambda v: F.struct(v.alias(_VALUE), F.lit(kind).alias("kind")))
-
-    whole = F.when(complete | (F.size(stray) > 0), F.array().cast("array<string>")).otherwise(F.array(rest))
-    return F.concat(pieces(F.regexp_extract_all(text, F.lit(record), F.lit(0)), "record"), pieces(stray, "broken"), pieces(whole, "incomplete"))
+    return ((root != "") & (ended | empty_root)) | rest.rlike(r"^\s*$")
 
 
 def _parsed(kept: DataFrame, schema: StructType, row_tag: str, on_bad: str) -> DataFrame:

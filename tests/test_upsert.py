@@ -1,10 +1,16 @@
+import logging
+import shutil
+import threading
+from pathlib import Path
+from urllib.parse import unquote, urlparse
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from postmill.operators import merge_rows
 from postmill.sinks import upsert, upsert_table, write_table
-from postmill.sinks.tables import recover_table
+from postmill.sinks.tables import details, recover_table
 
 SCHEMA = "id long, part string, v long"
 
@@ -22,6 +28,10 @@ def tables(spark, database):
     return [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
 
 
+def folder(spark, table):
+    return Path(unquote(urlparse(details(spark, table)["Location"]).path))
+
+
 OLD = [(1, "a", 10), (2, "a", 20), (3, "b", 30), (4, "c", 40)]
 SENT = [(2, "a", 21), (3, "b", 31), (5, "d", 51)]
 MERGED = [(1, "a", 10), (2, "a", 21), (3, "b", 31), (4, "c", 40), (5, "d", 51)]
@@ -175,12 +185,83 @@ def test_an_upsert_that_died_while_putting_partitions_is_finished(spark, databas
         patched.setattr(upsert, "_put_partitions", dies)
         with pytest.raises(KeyboardInterrupt):
             upsert_table(frame(spark, [(2, "a", 22), (6, "b", 60)]), table, "id")
-    spark.sql(f"ALTER TABLE {table} DROP PARTITION (part = 'a')")  # as a commit cut short may
+    shutil.rmtree(folder(spark, table) / "part=a")  # as a commit cut short may
+    spark.catalog.refreshTable(table)
     upsert_table(frame(spark, []), table, "id")
     want = [(1, "a", 10), (2, "a", 22), (3, "b", 30), (4, "c", 40), (6, "b", 60)]
     assert stored(spark, table) == want and tables(spark, database) == ["t"]
 
 
+def cut_short(spark, table, monkeypatch, sent, done=()):
+    """An upsert whose driver dies when its rewrite is stored, or after it has replaced ``done`` partitions."""
+    real = upsert._put_partitions
+
+    def dies(spark, table, rewrite):
+        if done:
+            spark.table(rewrite).where(upsert.F.col("part").isin(*done)).write.saveAsTable(rewrite + "some")
+            real(spark, table, rewrite + "some")
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "_put_partitions", dies)
+        with pytest.raises(KeyboardInterrupt):
+            upsert_table(frame(spark, sent), table, "id")
+
+
+ODD = "a b/%é'=:"  # a partition value whose folder is named otherwise
+
+
+@pytest.mark.parametrize("done", [(), ("a",), ("a", ODD)])
+def test_partitions_replaced_before_the_driver_died_are_known(spark, database, monkeypatch, done):
+    table = f"{database}.t"
+    upsert_table(frame(spark, [*OLD, (9, ODD, 1)]), table, "id", partition_by=["part"])
+    cut_short(spark, table, monkeypatch, [(2, "a", 22), (9, ODD, 2), (6, "b", 60)], done)
+    upsert_table(frame(spark, [(4, "c", 41)]), table, "id")
+    want = [(1, "a", 10), (2, "a", 22), (3, "b", 30), (4, "c", 41), (6, "b", 60), (9, ODD, 2)]
+    assert stored(spark, table) == want and tables(spark, database) == ["t"]
+
+
+def overwritten(spark, table):
+    write_table(frame(spark, [(1, "a", 0), (9, "a", 9), (2, "b", 0)]), table, partition_by=["part"])
+
+
+def appended(spark, table):
+    write_table(frame(spark, [(7, "a", 70)]), table, "append", partition_by=["part"])
+
+
+def appended_elsewhere(spark, table):
+    write_table(frame(spark, [(7, "z", 70)]), table, "append", partition_by=["part"])
+
+
+def other_columns(spark, table):
+    write_table(frame(spark, OLD).withColumn("w", upsert.F.lit(1)), table, partition_by=["part"])
+
+
+@pytest.mark.parametrize("change", [overwritten, appended, appended_elsewhere, other_columns])
+@pytest.mark.parametrize("done", [(), ("a",)])
+def test_a_stale_rewrite_is_never_replayed(spark, database, monkeypatch, caplog, change, done):
+    """What was written after an upsert died stays; the rewrite was made from another table."""
+    table = f"{database}.t"
+    upsert_table(frame(spark, OLD), table, "id", partition_by=["part"])
+    cut_short(spark, table, monkeypatch, [(1, "a", 11), (2, "a", 22)], done)
+    change(spark, table)
+    before = sorted(spark.table(table).collect())
+    with caplog.at_level(logging.WARNING):
+        upsert_table(frame(spark, [(2, "b", 23)]).select("id", "part", "v", *[upsert.F.lit(2).alias(c) for c in spark.table(table).columns if c == "w"]), table, "id")
+    assert "the rewrite is dropped" in caplog.text
+    assert sorted(r for r in spark.table(table).collect() if r["id"] != 2) == [r for r in before if r["id"] != 2]
+    assert [(r["part"], r["v"]) for r in spark.table(table).collect() if r["id"] == 2] == [("b", 23)]
+    assert tables(spark, database) == ["t"]
+
+
+def test_a_rewrite_without_its_table_or_journal_is_dropped(spark, database):
+    table = f"{database}.t"
+    for suffix in ("__rewrite_1", "__journal_2"):
+        frame(spark, SENT).write.saveAsTable(table + suffix)
+    upsert_table(frame(spark, OLD), table, "id", partition_by=["part"])
+    assert stored(spark, table) == sorted(OLD, key=repr) and tables(spark, database) == ["t"]
+
+
 def test_upserts_from_two_threads_leave_the_session_alone(spark, database):
     from concurrent.futures import ThreadPoolExecutor
 
@@ -204,6 +285,100 @@ def test_overwrite_replaces_the_schema(spark, database):
     assert spark.table(table).columns == ["id"] and tables(spark, database) == ["t"]
 
 
+def versions(spark, table):
+    at = folder(spark, table).parent
+    return {p.name: sorted(f.name for f in p.rglob("part-*.parquet")) for p in at.iterdir()}
+
+
+@pytest.mark.parametrize("partition_by", [(), ("part",)])
+def test_readers_never_miss_a_table_that_is_overwritten(spark, database, partition_by):
+    """Each read sees one overwrite whole; files are neither renamed nor copied."""
+    table = f"{database}.t"
+    write_table(spark.range(40).selectExpr("id", "string(id % 3) as part", "0L as v"), table, partition_by=partition_by)
+    seen, failed, over = [], [], threading.Event()
+
+    def read():
+        while not over.is_set():
+            try:
+                seen.append(spark.table(table).selectExpr("count(*) n", "min(v) a", "max(v) b").first())
+            except Exception as e:
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for k in range(1, 11):
+            written = []
+            write_table(
+                spark.range(40).selectExpr("id", "string(id % 3) as part", f"{k}L as v"), table, partition_by=partition_by,
+                before_swap=lambda staging: written.extend(spark.table(staging).inputFiles()),  # noqa: B023
+            )
+            assert sorted(spark.table(table).inputFiles()) == sorted(written)
+            assert len(versions(spark, table)) == 2
+    finally:
+        over.set()
+        reader.join()
+    assert failed == [] and len(seen) > 3
+    assert all(r["n"] == 40 and r["a"] == r["b"] for r in seen)
+    assert [r["a"] for r in seen] == sorted(r["a"] for r in seen)
+    assert details(spark, table)["Type"] == "MANAGED" and tables(spark, database) == ["t"]
+
+
+def test_an_overwrite_that_fails_leaves_no_version(spark, database):
+    table = f"{database}.t"
+    write_table(frame(spark, OLD), table)
+    before = versions(spark, table)
+
+    def refuse(staging):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        write_table(frame(spark, SENT), table, before_swap=refuse)
+    with pytest.raises(Exception, match="boom"):
+        write_table(frame(spark, SENT).selectExpr("id", "part", "if(id > 4, bigint(raise_error('boom')), v) as v"), table)
+    assert versions(spark, table) == before and stored(spark, table) == sorted(OLD, key=repr)
+
+
+def test_a_table_written_by_others_is_taken_over(spark, database):
+    for name, partition_by in (("plain", ()), ("parted", ("part",))):
+        table = f"{database}.{name}"
+        frame(spark, OLD).write.partitionBy(*partition_by).saveAsTable(table)
+        for _ in range(2):
+            upsert_table(frame(spark, SENT), table, "id")
+            assert stored(spark, table) == sorted(MERGED, key=repr)
+        write_table(frame(spark, OLD), table, partition_by=partition_by)
+        assert stored(spark, table) == sorted(OLD, key=repr)
+
+
+def test_a_publication_cut_short_is_completed(spark, database, monkeypatch):
+    """The driver dies between the two steps of an overwrite that changes the columns."""
+    table = f"{database}.t"
+    write_table(frame(spark, OLD), table)
+    real = type(spark).sql
+
+    def dies(self, query, *args, **kwargs):
+        if query.startswith(f"CREATE TABLE {table} LIKE"):
+            raise KeyboardInterrupt
+        return real(self, query, *args, **kwargs)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", dies)
+        with pytest.raises(KeyboardInterrupt):
+            write_table(spark.range(3), table)
+    assert not spark.catalog.tableExists(table)
+    recover_table(spark, table)
+    assert spark.table(table).count() == 3 and tables(spark, database) == ["t"]
+
+
+def test_a_dropped_table_stays_dropped(spark, database):
+    table = f"{database}.t"
+    write_table(frame(spark, OLD), table)
+    write_table(frame(spark, MERGED), table)
+    spark.sql(f"DROP TABLE {table}")
+    upsert_table(frame(spark, SENT), table, "id")
+    assert stored(spark, table) == sorted(SENT, key=repr)
+
+
 def test_append_and_unknown_mode(spark, database):
     table = f"{database}.t"
     write_table(frame(spark, OLD), table, "append")

@@ -8,6 +8,7 @@ from postmill.operators import clean_columns
 from postmill.operators.quality import schema_problems
 from postmill.plans.ingest import TooFewRows, ingest
 from postmill.schemas import POSTS, USERS, attribute_schema
+from postmill.sinks import BATCH, append_batch, batches
 from postmill.sources import FILE, RAW, REASON, load_rows, split_rejects
 
 LAYOUTS = ["lines", "file"]
@@ -290,6 +291,74 @@ def test_a_short_append_adds_nothing(spark, database, dumps, quarantine):
     assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["users"]
 
 
+def held(spark, table):
+    return sorted((r["Id"], r[BATCH] or "") for r in spark.table(table).collect())
+
+
+@pytest.mark.parametrize("fails_at", ["refused", "users", "users_batches"])
+def test_a_failed_batch_that_is_retried_has_each_line_once(spark, database, tmp_path, monkeypatch, fails_at):
+    """Whatever the first attempt has written before it died, the retry replaces."""
+    table, refused = f"{database}.users", f"{database}.refused"
+    first = write(tmp_path, dump('<row Id="1" />', '<row Id="x" />'), name="1.xml")
+    second = write(tmp_path, dump('<row Id="2" />', '<row Id="3" />', '<row Id="y" />'), name="2.xml")
+
+    def load(path, batch):
+        return ingest(spark, path, table, USERS, write_mode="append", quarantine_table=refused, batch=batch)
+
+    load(first, "day 1")
+    real = batches.append_batch
+
+    def dies(df, name, *args):
+        if name.endswith("." + fails_at):
+            if "batches" not in name:
+                real(df.limit(1), name, *args)  # some of it is there already
+            raise KeyboardInterrupt
+        real(df, name, *args)
+
+    with monkeypatch.context() as patched:
+        patched.setitem(ingest.__globals__, "append_batch", dies)
+        patched.setattr(batches, "append_batch", dies)
+        with pytest.raises(KeyboardInterrupt):
+            load(second, "day 2")
+        complete = [r[BATCH] for r in spark.table(f"{table}_batches").collect()]
+        assert complete == ["day 1"]
+    for _ in range(2):
+        assert load(second, "day 2") == 2
+        assert held(spark, table) == [(1, "day 1"), (2, "day 2"), (3, "day 2")]
+        assert sorted(r[BATCH] for r in spark.table(refused).collect()) == ["day 1", "day 2"]
+        lines = spark.table(f"{table}_batches").select(BATCH, "n_rows", "n_refused").collect()
+        assert sorted(map(tuple, lines)) == [("day 1", 1, 1), ("day 2", 2, 1)]
+    assert schema_problems(spark.table(table).drop(BATCH), USERS) == []
+
+
+def test_batches_join_rows_that_have_none(spark, database, dumps, tmp_path):
+    table = f"{database}.users"
+    ingest(spark, dumps["users"], table, USERS)
+    more = write(tmp_path, dump('<row Id="77" />'))
+    for _ in range(2):
+        assert ingest(spark, more, table, USERS, write_mode="append", batch="it's \\ one") == 1
+    rows = held(spark, table)
+    assert len(rows) == 7 and (77, "it's \\ one") in rows and sum(b == "" for _, b in rows) == 6
+    with pytest.raises(TooFewRows):
+        ingest(spark, more, table, USERS, write_mode="append", batch="it's \\ one", min_rows=2)
+    with pytest.raises(Exception, match="bad value"):
+        ingest(spark, write(tmp_path, dump('<row Id="z" />'), name="bad.xml"), table, USERS, write_mode="append", batch="two")
+    with pytest.raises(ValueError):
+        ingest(spark, more, table, USERS, batch="three")
+    assert held(spark, table) == rows
+
+
+def test_a_batch_may_be_empty_or_misfit(spark, database):
+    table = f"{database}.t"
+    append_batch(spark.range(3), table, "a")
+    append_batch(spark.range(5), table, "b")
+    append_batch(spark.range(0), table, "a")
+    assert [tuple(r) for r in spark.table(table).groupBy(BATCH).count().collect()] == [("b", 5)]
+    for df, batch in ((spark.range(1), ""), (spark.range(1).selectExpr("string(id) as id"), "c"), (spark.range(1).selectExpr("id", "1 as batch_id"), "c")):
+        with pytest.raises(ValueError):
+            append_batch(df, table, batch)
+
+
 BROKEN_FILES = {
     "cut off": ("<users>\n<row Id=\"1\" />\n<row Id=\"2\" Displ", [1], "not one element per line"),
     "no end": ("<users><row Id=\"1\" /><row Id=\"2\" />", [1, 2], "not one complete document"),
@@ -298,6 +367,13 @@ BROKEN_FILES = {
         [1, 4, 7], None,
     ),
     "two roots": ("<users><row Id=\"1\" /></users>\n<users><row Id=\"2\" /></users>", [1, 2], "not one complete document"),
+    "no beginning": (" Id=\"0\" /><row Id=\"1\" /></users>", [1], "not one complete document"),
+    "no beginning, content": ("><b/></row><row Id=\"1\" /></users>", [1], "not one complete document"),
+    "only a tag": ("<users><row", [], "not one element per line"),
+    "a tag after the root": ("<users><row Id=\"1\"/></users>\n<row", [1], "not one element per line"),
+    "text before the root": ("x <users><row Id=\"1\" /></users>", [1], "not one complete document"),
+    "text between rows": ("<users><row Id=\"1\" /> x <row Id=\"2\" /></other>", [1, 2], "not one complete document"),
+    "a row without end": ("<users><row Id=\"1\"><row Id=\"2\" /></users>", [2], "not one element per line"),
     "text after the root": ("<users><row Id=\"1\" /></users> more", [1], "not one complete document"),
 }
 
@@ -324,6 +400,31 @@ def test_files_of_any_layout(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [(1, "a > b"), (2, None), (3, None)]
 
 
+def test_a_file_of_any_layout_is_read_by_many_tasks(spark, tmp_path):
+    """Cuts of the scan fall anywhere in records that take several lines; good and bad files side by side."""
+    rows = [f"<row\n  Id='{i}'\n  DisplayName=\"a > b /> é {i}\"\n/>" if i % 3 else f"<row Id='{i}'>\n<Child x='1'/>\n</row>" for i in range(9_000)]
+    write(tmp_path, "<?xml version='1.0'?>\n<!-- one -->\n<users>\n" + "\n".join(rows) + "\n<!-- two --></users>\n", name="good.xml")
+    write(tmp_path, "<users>" + "".join(rows[:4_000]) + "<row Id='x' />", name="open.xml")
+    write(tmp_path, "".join(rows[:3_000])[9:] + "</users>", name="headless.xml")
+    write(tmp_path, "", name="empty.xml")
+    settings = {"spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        users = load_rows(spark, f"{tmp_path}/*.xml", USERS, layout="file", on_bad="quarantine")
+        assert users.rdd.getNumPartitions() > 20
+        good, refused = split_rejects(users)
+        assert good.agg(F.count("*"), F.count_distinct("_Id"), F.sum("_Id")).first() == (15_999, 9_000, 40_495_500 + 7_998_000 + 4_498_500)
+        found = [(r[FILE].rsplit("/", 1)[1], r[REASON]) for r in refused.collect()]
+        assert sorted(found) == [
+            ("headless.xml", "not one complete document"), ("open.xml", "bad value: _Id"), ("open.xml", "not one complete document"),
+        ]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_a_long_file_as_a_whole(spark, tmp_path):
     rows = [f'<row Id="{i}" DisplayName="user {i} é" />' for i in range(30_000)]
     path = write(tmp_path, dump(*rows))
