@@ -36,8 +36,10 @@ from postmill.operators import (  # noqa: E402
     unresolved_rows,
 )
 from postmill.plans import gold, pipeline, reports, silver  # noqa: E402
+from postmill.plans.ingest import ingest  # noqa: E402
 from postmill.schemas import contract  # noqa: E402
 from postmill.session import pin_utc  # noqa: E402
+from postmill.sinks import append_batch, upsert_table, write_table  # noqa: E402
 from postmill.sources import (  # noqa: E402
     RAW,
     REASON,
@@ -424,8 +426,21 @@ def int_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path that all executors see; on one machine a temporary one will do."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postmill-")
-    return f"{folder}/{name}-{uuid.uuid4()}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+    return f"{folder or tempfile.mkdtemp(prefix='postmill-')}/{name}-{uuid.uuid4().hex}"
+
+
+def in_scratch(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``work`` returns from a database of its own, stored; the database is dropped."""
+    name, path = f"scratch_{uuid.uuid4().hex}", shared_path(spark, "result")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_path(spark, 'database')}'")
+    try:
+        work(name).write.parquet(path)
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    return spark.read.parquet(path)
 
 
 def xml_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,18 +526,131 @@ def blank_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEW_KEY_OFFSET = 10_000_000_000
 
 
-def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders; the open ones are sent again at double price, pending ones as new orders."""
+def sent_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All orders; and the open ones at double price with the pending ones as new orders."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     pending = F.col("o_orderstatus") == "P"
-    source = orders.where(F.col("o_orderstatus").isin("O", "P")).select(
-        F.when(pending, F.col("o_orderkey") + NEW_KEY_OFFSET)
-        .otherwise(F.col("o_orderkey"))
-        .alias("o_orderkey"),
+    sent = orders.where(F.col("o_orderstatus").isin("O", "P")).select(
+        F.when(pending, F.col("o_orderkey") + NEW_KEY_OFFSET).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
         "o_orderstatus",
         (F.col("o_totalprice") * 2).alias("o_totalprice"),
     )
-    return merge_rows(orders, source, ["o_orderkey"])
+    return orders, sent
+
+
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders; the open ones are sent again at double price, pending ones as new orders."""
+    return merge_rows(*sent_orders(spark, sf_dir), ["o_orderkey"])
+
+
+def upserted(spark: SparkSession, sf_dir: str, **layout) -> DataFrame:
+    """The table after the upsert has run twice."""
+    orders, sent = sent_orders(spark, sf_dir)
+
+    def work(database: str) -> DataFrame:
+        name = f"{database}.orders"
+        for source in (orders, sent, sent):
+            upsert_table(source, name, "o_orderkey", **layout)
+        return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+    return in_scratch(spark, work)
+
+
+def upsert_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upserted(spark, sf_dir)
+
+
+def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the partitions of open and pending orders are written anew."""
+    return upserted(spark, sf_dir, partition_by=["o_orderstatus"])
+
+
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upserted(spark, sf_dir, buckets=8)
+
+
+def refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by brand, overwritten by a table of other columns, and that once more."""
+    parts = table(spark, sf_dir, "part")
+    by_brand = parts.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts"))
+
+    def work(database: str) -> DataFrame:
+        name = f"{database}.brands"
+        write_table(parts.select("p_partkey", "p_brand"), name, partition_by=["p_brand"])
+        for _ in range(2):
+            write_table(by_brand, name)
+        return spark.table(name)
+
+    return in_scratch(spark, work)
+
+
+def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in two batches; one was sent before with other rows, and the retry replaces these."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    building = F.col("c_mktsegment") == "BUILDING"
+
+    def work(database: str) -> DataFrame:
+        name = f"{database}.customers"
+        append_batch(customers, name, "first")
+        append_batch(customers.where(~building), name, "second")
+        append_batch(customers.where(building), name, "first")
+        return spark.table(name).select("c_custkey", "c_mktsegment", "batch_id")
+
+    return in_scratch(spark, work)
+
+
+def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dumps of users go through the ingest job, the second one twice: rows, refused rows and ledger."""
+    users = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("x"), F.col("c_custkey").cast("string")))
+        .otherwise(F.col("c_custkey").cast("string"))
+        .alias("Id"),
+        F.col("c_name").alias("DisplayName"),
+        (F.col("c_nationkey") < 10).alias("early"),
+    )
+    schema = contract({"Id": LongType(), "DisplayName": StringType()})
+    paths = {early: shared_path(spark, "dump") for early in (True, False)}
+    for early, path in paths.items():
+        as_dump(users.where(F.col("early") == early).drop("early")).select("value").write.text(path)
+
+    def work(database: str) -> DataFrame:
+        name, refused = f"{database}.users", f"{database}.refused"
+        for early, batch in ((True, "early"), (False, "late"), (False, "late")):
+            ingest(spark, paths[early], name, schema, write_mode="append", quarantine_table=refused, batch=batch)
+        kept = spark.table(name).groupBy("batch_id").agg(F.count("Id").alias("n"), F.sum("Id").alias("total"))
+        put_aside = spark.table(refused).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+        noted = spark.table(f"{name}_batches").select("batch_id", F.col("n_rows").alias("n"), F.col("n_refused").alias("total"))
+        parts = (("users", kept), ("refused", put_aside.withColumn("total", F.lit(0).cast("long"))), ("ledger", noted))
+        rows = [df.select(F.lit(part).alias("part"), "batch_id", "n", "total") for part, df in parts]
+        return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+    return in_scratch(spark, work)
+
+
+def dq_key_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table against its posts, and against posts of which one was replaced by another."""
+    posts, wide = raw_posts(spark, sf_dir), wide_posts(spark, sf_dir)
+    other = posts.withColumn("Id", F.when(F.col("Id") == 1, F.lit(-1)).otherwise(F.col("Id")))
+    same, swapped = (quality.key_grain(p, wide, "Id", "post_id") for p in (posts, other))
+    return same.select(F.lit("same").alias("posts"), "*").unionByName(swapped.select(F.lit("swapped").alias("posts"), "*"))
+
+
+def salted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the name of their part, looked up by part and salt."""
+    parts = table(spark, sf_dir, "part").where(F.col("p_partkey") > 10).select("p_partkey", "p_name")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return label_lookup(lines, parts, "l_partkey", "p_partkey", "p_name", salts=8)
+
+
+def xml_any_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from documents whose records take several lines each."""
+    users = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("_Id"), F.col("c_name").alias("_DisplayName"), F.col("c_mktsegment").alias("Segment")
+    )
+    path = shared_path(spark, "documents")
+    users.repartition(4).write.format("xml").option("rowTag", "row").option("rootTag", "users").save(path)
+    schema = contract({"Id": LongType(), "DisplayName": StringType()})
+    return clean_columns(load_rows(spark, path, schema, layout="file"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -574,6 +702,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "doc_label_counts": doc_label_counts,
         "blank_locations": blank_locations,
         "upsert_merge": upsert_merge,
+        "upsert_whole": upsert_whole,
+        "upsert_partitions": upsert_partitions,
+        "upsert_buckets": upsert_buckets,
+        "refresh_twice": refresh_twice,
+        "append_batches": append_batches,
+        "ingest_batches": ingest_batches,
+        "dq_key_grain": dq_key_grain,
+        "salted_labels": salted_labels,
+        "xml_any_layout": xml_any_layout,
     }
 
 
@@ -713,6 +850,16 @@ select * replace (
 from stg_posts"""
 
 
+_UPSERTED = f"""
+with source as (
+  select case when o_orderstatus = 'P' then o_orderkey + {NEW_KEY_OFFSET} else o_orderkey end as o_orderkey,
+    o_orderstatus, o_totalprice * 2 as o_totalprice
+  from orders where o_orderstatus in ('O', 'P'))
+select o_orderkey, o_orderstatus, o_totalprice from orders
+where o_orderkey not in (select o_orderkey from source)
+union all select o_orderkey, o_orderstatus, o_totalprice from source"""
+
+
 def oracle_sql() -> dict[str, str]:
     parts_tags = _PARTS + "," + _TOP_TAGS.format("parts")
     return LLM_ORACLE | {
@@ -871,12 +1018,25 @@ from documents d left join labels l on d.doc_id = l.doc_id group by 1""",
 select case when c_mktsegment <> 'BUILDING' then c_mktsegment end as location,
   count(*) as n_users, count(*) filter (where c_mktsegment <> 'FURNITURE') as n_urls
 from customer group by 1""",
-        "upsert_merge": f"""
-with source as (
-  select case when o_orderstatus = 'P' then o_orderkey + {NEW_KEY_OFFSET} else o_orderkey end as o_orderkey,
-    o_orderstatus, o_totalprice * 2 as o_totalprice
-  from orders where o_orderstatus in ('O', 'P'))
-select o_orderkey, o_orderstatus, o_totalprice from orders
-where o_orderkey not in (select o_orderkey from source)
-union all select o_orderkey, o_orderstatus, o_totalprice from source""",
+        **dict.fromkeys(("upsert_merge", "upsert_whole", "upsert_partitions", "upsert_buckets"), _UPSERTED),
+        "refresh_twice": "select p_brand, count(*) as n_parts from part group by 1",
+        "append_batches": """
+select c_custkey, c_mktsegment, case when c_mktsegment = 'BUILDING' then 'first' else 'second' end as batch_id from customer""",
+        "ingest_batches": """
+with users as (
+  select case when c_nationkey < 10 then 'early' else 'late' end as batch_id, c_custkey, c_acctbal >= 0 as good from customer),
+counted as (
+  select batch_id, count(*) filter (where good) as n_good, cast(sum(c_custkey) filter (where good) as bigint) as total,
+    count(*) filter (where not good) as n_bad
+  from users group by 1)
+select 'users' as part, batch_id, n_good as n, total from counted
+union all select 'refused', batch_id, n_bad, 0 from counted
+union all select 'ledger', batch_id, n_good, n_bad from counted""",
+        "dq_key_grain": """
+select 'same' as posts, count(*) as source_rows, count(*) as result_rows, true as same_grain from orders
+union all select 'swapped', count(*), count(*), count(*) filter (where o_orderkey = 1) = 0 from orders""",
+        "salted_labels": """
+select l_orderkey, l_linenumber, l_partkey, coalesce(p_name, 'Unknown') as p_name
+from lineitem left join (select * from part where p_partkey > 10) on l_partkey = p_partkey""",
+        "xml_any_layout": "select c_custkey as Id, c_name as DisplayName from customer",
     }

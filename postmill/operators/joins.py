@@ -15,23 +15,34 @@ def label_lookup(
     lookup_code: str,
     label: str,
     default: str = UNKNOWN_LABEL,
+    salts: int = 1,
 ) -> DataFrame:
     """Add ``label`` for a code; every row stays and an unmapped code gets ``default``.
 
     No broadcast hint: the planner broadcasts the lookup when its known size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle. Then the few
-    codes are the shuffle keys, and only the splitting of AQE spreads a hot one; that is
-    fine for a seed, not for a large lookup. The lookup code must be unique.
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, by the code. For a
+    lookup too large to broadcast, with a code that many rows have, ask for ``salts``: rows
+    are then dealt by code and salt, so that such a code meets in so many tasks, and the lookup
+    is copied once for each salt. The lookup code must be unique.
     """
     named = lookup.select(
         F.col(lookup_code).alias("__code"), F.col(label).alias("__label")
     )
-    joined = df.join(named, df[code] == named["__code"], "left")
+    same = df[code] == named["__code"]
+    if salts > 1:
+        named = named.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        df = df.withColumn("__salt", F.pmod(F.xxhash64(*_hashable(df)), F.lit(salts)).cast("int"))
+        same = (df[code] == named["__code"]) & (df["__salt"] == named["__copy"])
+    joined = df.join(named, same, "left")
     return joined.withColumn(label, F.coalesce("__label", F.lit(default))).drop(
-        "__code", "__label"
+        "__code", "__label", "__copy", "__salt"
     )
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def left_join_dimension(
     fact: DataFrame,
     dimension: DataFrame,

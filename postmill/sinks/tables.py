@@ -55,6 +55,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     before_swap: Callable[[str], None] | None = None,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    dealt: bool = False,
 ) -> None:
     """Write a managed table; ``overwrite`` also replaces its schema.
 
@@ -63,7 +64,8 @@ def write_table(
     Without it an append, and any write of a transactional format, goes straight in.
 
     ``bucket_by`` (a number, columns) deals a file table into sorted buckets: joins,
-    groupings and uniqueness checks on these columns then shuffle nothing of it.
+    groupings and uniqueness checks on these columns then shuffle nothing of it. With ``dealt``
+    the rows of each bucket are in one task already and are not shuffled for the write.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
@@ -80,7 +82,7 @@ def write_table(
     if direct:
         _writer(df, "overwrite", "parquet", partition_by).saveAsTable(staging)
     else:
-        _store_version(df, table, staging, run, fmt, partition_by, bucket_by)
+        _store_version(df, table, staging, run, fmt, partition_by, bucket_by, dealt)
     try:
         if before_swap is not None:
             before_swap(staging)
@@ -136,6 +138,14 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """The number and columns of a table's buckets, None without."""
+    told = details(spark, table)
+    if "Num Buckets" not in told:
+        return None
+    return int(told["Num Buckets"]), [c.strip("` ") for c in told["Bucket Columns"].strip("[]").split(",")]
+
+
 def details(spark: SparkSession, table: str) -> dict[str, str]:
     """What the catalog says of a table: Provider, Location, Type and so on."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
@@ -166,6 +176,7 @@ def _store_version(
     fmt: str,
     partition_by: Sequence[str],
     bucket_by: tuple[int, Sequence[str]] | None,
+    dealt: bool,
 ) -> None:
     """Write a version into its folder, with an external table over it."""
     spark = df.sparkSession
@@ -181,8 +192,9 @@ def _store_version(
     untracked(spark).sql(f"{ddl} LOCATION '{location}'")
     try:
         rows = df.select(*[f"`{c}`" for c in spark.table(staging).columns])
-        if bucket_by:  # one task for each bucket, or each task would write a file for all of them
-            rows = rows.repartition(bucket_by[0], *bucket_by[1])
+        if bucket_by:
+            # One task for each bucket, or each task would write a file for all of them.
+            rows = rows if dealt else rows.repartition(bucket_by[0], *bucket_by[1])
         else:
             rows = cluster_for(rows, partition_by)
         rows.write.insertInto(staging)

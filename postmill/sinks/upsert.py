@@ -26,6 +26,7 @@ from postmill.operators.merge import merge_rows
 from postmill.operators.quality import fingerprint
 from postmill.sinks.tables import (
     TRANSACTIONAL,
+    bucketing,
     cluster_for,
     details,
     leftovers,
@@ -50,6 +51,7 @@ def upsert_table(
     full_refresh: bool = False,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Update every row whose key is in ``source``, insert the rest of it.
 
@@ -58,7 +60,8 @@ def upsert_table(
     so rows sent again late are not missed. Duplicate or NULL keys in the source are
     refused, on every path and before anything is changed: it would not be clear which row
     wins, and a NULL key would be inserted again by each rerun. ``fmt`` and
-    ``partition_by`` apply when the table is written whole.
+    ``partition_by`` apply when the table is written whole, as do ``buckets``, a number of
+    buckets by key: then an upsert shuffles the source to them and nothing of the table.
 
     On plain files a table without partitions is rewritten whole for any source. For a
     large table use a transactional format; that branch has not been run here, as no such
@@ -70,7 +73,7 @@ def upsert_table(
     recover_upsert(spark, table)
     if full_refresh or not spark.catalog.tableExists(table):
         write_table(
-            source, table, fmt=fmt, partition_by=partition_by,
+            source, table, fmt=fmt, partition_by=partition_by, bucket_by=(buckets, keys) if buckets else None,
             before_swap=lambda staging: _check_keys(spark.table(staging), keys),
         )
         return
@@ -171,8 +174,14 @@ def _rewrite(
 ) -> None:
     target = spark.table(table)
     partitioned = partition_columns(spark, table)
-    if not _stays_in_partition(target, incoming, keys, partitioned):
-        write_table(merge_rows(target, incoming, keys), table, fmt=fmt, partition_by=partitioned)
+    buckets = bucketing(spark, table)
+    if buckets and buckets[1] == keys and not partitioned:
+        # Both sides meet in the target's buckets, and so does what is written.
+        merged = merge_rows(target, incoming, keys, in_place=True)
+        write_table(merged, table, fmt=fmt, bucket_by=buckets, dealt=True)
+        return
+    if buckets or not _stays_in_partition(target, incoming, keys, partitioned):
+        write_table(merge_rows(target, incoming, keys), table, fmt=fmt, partition_by=partitioned, bucket_by=buckets)
         return
     touched = incoming.select(partitioned[0]).distinct()
     merged = merge_rows(target.join(touched, partitioned[0], "left_semi"), incoming, keys)

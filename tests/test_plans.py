@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from postmill.operators import left_join_dimension, merge_rows
+from postmill.operators import label_lookup, left_join_dimension, merge_rows, quality
 from postmill.plans import gold, reports, silver
 from postmill.schemas import POSTS, USERS
+from postmill.sinks import upsert, upsert_table, write_table
 from postmill.sources import lookup_table, post_types
 
 
@@ -170,3 +171,64 @@ def test_the_spread_key_does_not_change_a_small_join(spark, staged):
         plain.select("p.post_id", "u.user_id")
     ).isEmpty()
     assert "BroadcastHashJoin" in plan_of(joined)
+
+
+# --- one distribution from write to check to upsert -----------------------------------
+
+
+def exchanged(df) -> list[str]:
+    """What each exchange of the plan that ran deals by."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        yield
+
+
+def test_a_bucketed_table_is_checked_joined_and_upserted_in_its_buckets(spark, database, no_broadcast, monkeypatch):
+    table, owners = f"{database}.posts", f"{database}.users"
+    posts = spark.range(2000).selectExpr("id as post_id", "id % 50 as owner", "'x' as v")
+    upsert_table(posts, table, "post_id", buckets=8)
+    write_table(spark.range(50).selectExpr("id as owner", "'n' as name"), owners, bucket_by=(8, ["owner"]))
+    write_table(posts, f"{database}.by_owner", bucket_by=(8, ["owner"]))
+    assert len(spark.table(table).inputFiles()) == 8
+
+    repeated = quality.unique(spark.table(table), "post_id")
+    assert repeated.collect() == [] and exchanged(repeated) == []
+    joined = spark.table(f"{database}.by_owner").join(spark.table(owners), "owner", "left")
+    assert joined.count() == 2000 and exchanged(joined) == []
+
+    merges, real = [], upsert.merge_rows
+
+    def seen(*args, **kwargs):
+        merged = real(*args, **kwargs)
+        merges.append(exchanged(merged))
+        return merged
+
+    monkeypatch.setattr(upsert, "merge_rows", seen)
+    sent = spark.range(1990, 2010).selectExpr("id as post_id", "1L as owner", "'new' as v")
+    for _ in range(2):
+        upsert_table(sent, table, "post_id")
+        found = spark.table(table)
+        assert found.agg(F.count("*"), F.count_if(F.col("v") == "new"), F.count_distinct("post_id")).first() == (2010, 20, 2010)
+        assert len(found.inputFiles()) == 8
+    # The one exchange is that of the source, of 20 rows.
+    assert [len(m) for m in merges] == [1, 1] and all(m[0].startswith("__key_0") for m in merges)
+
+
+def test_a_hot_code_of_a_large_lookup_is_spread(spark, no_broadcast):
+    """One code on nine rows of ten, and a lookup that is not broadcast."""
+    facts = spark.range(20_000).selectExpr("id", "if(id % 10 < 9, 7L, id % 97) as code", "cast(null as map<string, int>) as m")
+    lookup = spark.range(90).selectExpr("id as code", "concat('label ', id) as label")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="16"):
+        largest = {}
+        for salts in (1, 64):
+            labelled = label_lookup(facts, lookup, "code", "code", "label", salts=salts)
+            rows = labelled.select("id", "code", "label", F.spark_partition_id().alias("p"))
+            largest[salts] = rows.groupBy("p").count().agg(F.max("count")).first()[0]
+            assert rows.select("id").distinct().count() == rows.count() == 20_000
+            assert rows.where("label <> if(code < 90, concat('label ', code), 'Unknown')").isEmpty()
+        assert largest[1] >= 18_000 and largest[64] < 5_000

@@ -116,6 +116,20 @@ def test_grain(spark):
     assert tuple(quality.grain(spark.range(3), spark.range(4)).first()) == (3, 4, False)
 
 
+def test_grain_of_keys(spark):
+    """Equal numbers of rows with one post lost and another invented, or one twice, are told apart."""
+
+    def grain(*ids):
+        result = spark.createDataFrame([(i,) for i in ids], "post_id int")
+        return tuple(quality.key_grain(spark.range(4), result, "id", "post_id").first())
+
+    assert grain(3, 1, 0, 2) == (4, 4, True)
+    assert grain(0, 1, 2, 9) == grain(0, 1, 2, 2) == grain(0, 1, 2, None) == (4, 4, False)
+    assert grain(0, 1, 2) == (4, 3, False) and grain(0, 1, 2, 3, 3, 3) == (4, 6, False)
+    empty = spark.range(0)
+    assert tuple(quality.key_grain(empty, empty, "id", "id").first()) == (0, 0, True)
+
+
 def test_schema_problems(spark):
     users = spark.createDataFrame([], USERS)
     assert quality.schema_problems(users, USERS) == []
