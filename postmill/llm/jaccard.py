@@ -326,11 +326,15 @@ def grouped(docs: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame
     bounded_batches(docs.sparkSession)
     ids = _ids(docs)
     full = ids.where(F.col("n") > 0)
-    classes = checkpoint(full.groupBy("class").agg(F.min(F.struct("doc_id", "tie")).alias("rep")))
-    links = class_links(docs, classes, region)
+    # A row without an id stands for others only where none has one.
+    ranked = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tie")
+    classes = full.groupBy("class").agg(F.min(ranked).alias("least"))
+    classes = checkpoint(classes.select("class", F.struct("least.doc_id", "least.tie").alias("rep"), "least"))
+    links = class_links(docs, classes.select("class", "rep"), region)
     roots = components(links)
-    labelled = classes.join(roots, F.col("class") == F.col("id"), "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
-    first = labelled.groupBy("root").agg(F.min("rep").alias("rep")).withColumnRenamed("root", "r")
+    labelled = checkpoint(classes.join(roots, F.col("class") == F.col("id"), "left").select("class", "least", F.coalesce("root", "class").alias("root")))
+    # Stored apart, so that the classes of a giant component do not have to meet its one row in one task.
+    first = checkpoint(labelled.groupBy("root").agg(F.min("least").alias("m")).select(F.col("root").alias("r"), F.struct("m.doc_id", "m.tie").alias("rep")))
     return ids, checkpoint(labelled.select("class", "root").join(first, F.col("root") == F.col("r")).select(F.col("class").alias("c"), "root", "rep"))
 
 

@@ -8,15 +8,18 @@ pieces too, so every word has a segmentation.
 
 Piece probabilities are counts of the vocabulary's own segmentation over a bounded sample of
 training texts (``SAMPLE`` a language, chosen by hash), smoothed with the counts of all languages.
-Runs without white space are scored in parts of ``LONGEST`` bytes. Texts are lower-cased.
+Runs without white space are words, however long; those of more than ``LONGEST`` bytes are scored one
+by one with a window of forward values. Texts are lower-cased. The vocabulary is read on the driver.
 
 A null text, and one without a letter, is ``und`` with score 0; so is every text where there is
-nothing to learn from.
+nothing to learn from. Of languages with equal posteriors the smaller name is predicted. Equal texts get
+equal predictions. An empty table gives no rows. Columns beside the named ones play no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -151,35 +154,62 @@ def word_scores(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: Pie
     return np.log(np.maximum(total, 1e-300)) - (full * np.log(SCALE))[:, None]
 
 
-def _parts(start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words cut into parts of LONGEST bytes."""
-    count = (end - start + LONGEST - 1) // LONGEST
-    which = np.repeat(np.arange(len(start)), count)
-    at = start[which] + LONGEST * (np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count))
-    return at, np.minimum(at + LONGEST, end[which]), doc[which]
+BLOCK = 1 << 16
+
+
+def long_word_score(run: np.ndarray, table: Pieces, weights: np.ndarray) -> np.ndarray:
+    """The same for one word of any length, given as bytes, in memory that does not grow with it."""
+    text = np.concatenate((np.frombuffer(SPACE_MARK.encode(), np.uint8), run))
+    longest, n = table.longest, len(text)
+    # forward[i] is complete when all places before i have been pushed on; it begins at the block.
+    forward, log_scale = np.zeros((BLOCK + longest + 1, weights.shape[1])), np.zeros(weights.shape[1])
+    forward[0] = 1.0
+    for block in range(0, n, BLOCK):
+        held = min(BLOCK, n - block)
+        place, key, found = np.arange(held), np.zeros(held, np.uint64), []
+        for step in range(longest):
+            alive = block + place + step < n
+            place, key = place[alive], key[alive]
+            if not len(place):
+                break
+            key = key * BASE + BYTE_VALUES[text[block + place + step]]
+            piece = _look_up(table, key)
+            hit = piece >= 0
+            found.append((place[hit], place[hit] + step + 1, piece[hit]))
+            place, key = place[piece > -2], key[piece > -2]
+        begin, stop, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(begin, kind="stable")
+        stop, chance, cut = stop[order], weights[piece[order]], np.searchsorted(begin[order], np.arange(held + 1))
+        for i in range(held):
+            if i % 16 == 0:
+                window = forward[i : i + longest + 1]
+                top = window.max(axis=0)
+                window /= top
+                log_scale += np.log(top)
+            forward[stop[cut[i] : cut[i + 1]]] += forward[i] * chance[cut[i] : cut[i + 1]]
+        if block + held == n:
+            return np.log(forward[held]) + log_scale - n * np.log(SCALE)
+        forward[: longest + 1] = forward[held : held + longest + 1]
+        forward[longest + 1 :] = 0.0
+    return log_scale
 
 
 def text_scores(texts: pa.Array, table: Pieces, weights: np.ndarray) -> np.ndarray:
     """log P of each text in each language; each distinct word of the slice is scored once."""
     w = words(texts, NOT_SPACE)
     start, end, doc = w.start, w.end, w.doc()
-    key = w.hash
-    if len(start) and (end - start).max() > LONGEST:
-        long = np.flatnonzero(end - start > LONGEST)
-        short = np.flatnonzero(end - start <= LONGEST)
-        s, e, d = _parts(start[long], end[long], doc[long])
-        # Parts of long words are rare: each is a word of its own.
-        start, end, doc = np.concatenate([start[short], s]), np.concatenate([end[short], e]), np.concatenate([doc[short], d])
-        key = np.concatenate([key[short], mixed(s.astype(np.uint64) + (np.uint64(1) << np.uint64(40)))])
     total = np.zeros((len(w.first) - 1, weights.shape[1]))
-    _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    _, first, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
     scores = np.zeros((len(first), weights.shape[1]))
-    # Words of about one length together, so that the rows are full.
     length = end[first] - start[first]
+    for i in np.flatnonzero(length > LONGEST):
+        scores[i] = long_word_score(w.data[start[first[i]] : end[first[i]]], table, weights)
+    # Words of about one length together, so that the rows are full.
     order = np.argsort(length, kind="stable")
+    order = order[: np.count_nonzero(length <= LONGEST)]
     at = 0
     while at < len(order):
-        widest = length[order[min(at + 50_000, len(order)) - 1]] if len(order) else 1
+        widest = length[order[min(at + 50_000, len(order)) - 1]]
         stop = min(len(order), at + max(1000, min(50_000, 600_000 // (int(widest) + 4))))
         own = order[at:stop]
         scores[own] = word_scores(w.data, start[first[own]], end[first[own]], table, weights)
@@ -189,12 +219,12 @@ def text_scores(texts: pa.Array, table: Pieces, weights: np.ndarray) -> np.ndarr
     return total
 
 
-def _counted(path: str, numbers):
+def _counted(vocabulary):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        ids, own = numbers.value
+        proto, ids, own = vocabulary.value
+        model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         for batch in batches:
             for part in slices(batch, "text"):
                 langs = named(part, "lang").to_pylist()
@@ -223,8 +253,9 @@ def learned(docs: DataFrame, path: str = VOCABULARY, sample: int = SAMPLE) -> tu
     picked = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) * F.col("n") < F.lit(sample * 1_000_000)
     texts = known.join(F.broadcast(counts), F.col("lang") == F.col("l")).where(picked).select("lang", "text")
     ids = np.array(sorted(numbers), dtype=np.int64)
-    own = spark.sparkContext.broadcast((ids, np.array([numbers[k] for k in ids], dtype=np.int64)))
-    rows = texts.mapInArrow(_counted(path, own), "lang string, piece int, times long").groupBy("lang", "piece").agg(F.sum("times").alias("times")).collect()
+    # The vocabulary file travels as bytes, so executors need no copy of it.
+    vocabulary = spark.sparkContext.broadcast((Path(path).read_bytes(), ids, np.array([numbers[k] for k in ids], dtype=np.int64)))
+    rows = texts.mapInArrow(_counted(vocabulary), "lang string, piece int, times long").groupBy("lang", "piece").agg(F.sum("times").alias("times")).collect()
     seen = np.zeros((table.size, len(langs)))
     for row in rows:
         seen[row.piece, langs.index(row.lang)] += row.times

@@ -176,13 +176,16 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+FINE = 1 << 53  # steps in which a share of rows is chosen
+
+
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine from at most about ``sample`` labelled rows, features extracted by Spark."""
     known = labels.where(F.col("quality").isin(0, 1)).where(remainder("doc_id", HELD_OUT[0]) != HELD_OUT[1])
     known = known.groupBy(F.col("doc_id").alias("l_id")).agg(F.max("quality").cast("int").alias("quality"))
     count = known.count()
     share = min(1.0, sample / max(count, 1))
-    picked = known.where(F.pmod(F.xxhash64(F.lit(SEED), "l_id"), F.lit(1_000_000)) < int(1_000_000 * share))
+    picked = known.where(F.pmod(F.xxhash64(F.lit(SEED), "l_id"), F.lit(FINE)) < int(FINE * share))
     texts = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("l_id")).select("text", "quality")
     rows = texts.mapInArrow(_described, "slot binary, value binary, quality int").collect()
     decoded = [(np.frombuffer(r.slot, np.int32), np.frombuffer(r.value, np.float32), r.quality) for r in rows]

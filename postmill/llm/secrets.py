@@ -7,17 +7,21 @@ and ``endpoint`` (an address). A credential has three parts: an identifier (acce
 scope; they are found by an interval join on bins of the text. A ``secret`` is reported when an
 identifier is in its scope, a ``user`` when a secret is, an ``endpoint`` when both are.
 
-Spans are kind:start:end in code points, end exclusive. A null text is empty and has none. Rows
-equal in id and text have equal spans. Positions come from splitting the text at the matches, so
-that no Python is needed: a match starts where the pieces and matches before it end.
+Spans are kind:start:end in code points, end exclusive, by start and then by kind: there are no other
+ties. A null text is empty and has none; a null id is an id. Rows equal in id and text have equal spans
+and are searched once. A long text is searched whole, in time that grows with its length. An empty
+table gives no rows, and columns beside id and text play no part.
+
+Positions come from splitting the text at the matches, so that no Python is needed: a match starts
+where the pieces and matches before it end, a running sum over the rows of one text and kind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, packed, text_of
+from .common import checkpoint, text_of
 
 SCOPE = 256
 
@@ -35,29 +39,29 @@ BASE = KINDS[:3]
 ROLES = {"access": "identifier", "user": "identifier", "assign": "secret", "hex": "secret", "secret": "secret", "endpoint": "endpoint"}
 NEEDS = {"secret": ("identifier",), "user": ("secret",), "endpoint": ("identifier", "secret")}
 
+# Characters that the judged part of a match must have; others need one.
+LEAST = {"assign": 6, "access": 20, "hex": 24}
+
 SPAN = "array<struct<start:long,rank:int,stop:long>>"
 
 
-def spans_of(text: Column, pattern: str, rank: int, least: int = 1, group: int = 0) -> Column:
-    """Matches of ``pattern``, leftmost and not overlapping, whose ``group`` has ``least`` characters."""
-    # Texts without a match, nearly all, are searched once.
+PIECE = "array<struct<skip:int,took:int,judged:int>>"
+
+
+def pieces_of(text: Column, pattern: str, group: int = 0, sign: str | None = None) -> Column:
+    """(skip, took, judged) of each match of ``pattern``, leftmost and not overlapping: the code points
+    since the match before, its own, and those of ``group``. ``sign`` is in every text with a match.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    between = F.split(text, pattern, -1)
     lengths = F.zip_with(
-        F.zip_with(between, found, lambda b, m: F.struct(F.length(b).cast("long").alias("skip"), F.length(m).cast("long").alias("took"))),
+        F.zip_with(F.split(text, pattern, -1), found, lambda b, m: F.struct(F.length(b).alias("skip"), F.length(m).alias("took"))),
         judged,
         lambda p, g: F.struct(p["skip"].alias("skip"), p["took"].alias("took"), F.length(g).alias("judged")),
     )
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def step(state: Column, part: Column) -> Column:
-        begin = state["at"] + part["skip"]
-        end = begin + F.coalesce(part["took"], F.lit(0).cast("long"))
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("stop"))
-        return F.struct(end.alias("at"), F.when(part["judged"] >= least, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
-
-    return F.when(text.rlike(pattern), F.aggregate(lengths, start, step, lambda s: s["out"])).otherwise(F.array().cast(SPAN))
+    # Texts without a match, nearly all, are searched once.
+    some = text.rlike(pattern) if sign is None else text.contains(sign) & text.rlike(pattern)
+    return F.when(some, lengths).otherwise(F.array().cast(PIECE))
 
 
 def written(spans: Column) -> Column:
@@ -68,55 +72,74 @@ def written(spans: Column) -> Column:
     )
 
 
+KEY = ("k1", "k2")  # of id and text: rows that share it are equal
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """``key`` of id and text, ``doc_id``, and the arrays ``base`` and ``weak``."""
+    """``doc_id``, the key of id and text, and for each kind the pieces of its matches."""
     text = text_of()
     long_hex = r"[0-9a-f]{24,}"  # runs of HEX are maximal, so the short ones can be left out at once
     columns = {
-        "assign": spans_of(text, ASSIGN, 0, 6, 1),
-        "access": spans_of(text, ACCESS, 1, 20),
-        "hex": spans_of(text, long_hex, 2, 24),
-        "secret": spans_of(text, SECRET, 3),
-        "user": spans_of(text, USER, 4),
-        "endpoint": spans_of(text, ENDPOINT, 5),
+        "assign": pieces_of(text, ASSIGN, 1),
+        "access": pieces_of(text, ACCESS, sign="AKIA"),
+        "hex": pieces_of(text, long_hex),
+        "secret": pieces_of(text, SECRET),
+        "user": pieces_of(text, USER),
+        "endpoint": pieces_of(text, ENDPOINT, sign="://"),
     }
-    found = docs.select(F.col("doc_id"), F.xxhash64("doc_id", F.lit(1), text).alias("key"), *[c.alias(k) for k, c in columns.items()])
-    return found.select("doc_id", "key", *BASE, F.concat("secret", "user", "endpoint").alias("weak"))
+    keys = [F.xxhash64(F.lit(seed), "doc_id", F.lit(1), text).alias(k) for seed, k in enumerate(KEY)]
+    return docs.select("doc_id", *keys, *[c.alias(k) for k, c in columns.items()])
 
 
-def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """(key, linked): the weak spans of each text whose scope holds the parts they need.
+def placed(found: DataFrame) -> DataFrame:
+    """(key, rank, start, stop): the spans of each distinct text that has any, by kind."""
+    some = found.where(sum((F.size(k) for k in KINDS), F.lit(0)) > 0).dropDuplicates(list(KEY))
+    by_kind = F.array(*[F.struct(F.lit(rank).alias("rank"), F.col(kind).alias("pieces")) for rank, kind in enumerate(KINDS)])
+    parts = some.select(*KEY, F.inline(by_kind)).select(*KEY, "rank", F.posexplode("pieces").alias("nth", "p")).select(*KEY, "rank", "nth", "p.*")
+    # The rows of one text and kind; those after the last match have no length of their own.
+    so_far = Window.partitionBy(*KEY, "rank").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stop = F.sum(F.col("skip").cast("long") + F.coalesce("took", F.lit(0))).over(so_far)
+    least = F.element_at(F.array(*[F.lit(LEAST.get(kind, 1)) for kind in KINDS]), F.col("rank") + 1)
+    return parts.withColumn("stop", stop).where(F.col("judged") >= least).select(*KEY, "rank", (F.col("stop") - F.col("took")).alias("start"), "stop")
+
+
+def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """The weak spans whose scope holds the parts that they need.
 
     Each part is put into the bins that its scope touches, each weak span into the bins it covers
     itself; equal bins meet, and the gap decides.
     """
-    parts = found.where(F.size("weak") > 0).dropDuplicates(["key"]).select("key", F.explode(F.concat(*BASE, "weak")).alias("p")).select("key", "p.*")
     rank = {kind: KINDS.index(kind) for kind in KINDS}
     role = F.element_at(F.array(*[F.lit(ROLES[kind]) for kind in KINDS]), F.col("rank") + 1)
     bins = lambda lo, hi: F.explode(F.sequence(F.floor(F.greatest(lo, F.lit(0).cast("long")) / scope), F.floor(hi / scope)))
-    weak = parts.where(F.col("rank") >= len(BASE)).withColumn("bin", bins(F.col("start"), F.col("stop")))
-    helpers = parts.select(F.col("key").alias("k"), F.col("start").alias("s"), F.col("stop").alias("e"), role.alias("role"))
+    weak = spans.where(F.col("rank") >= len(BASE)).withColumn("bin", bins(F.col("start"), F.col("stop")))
+    helpers = spans.select(F.col("k1").alias("h1"), F.col("k2").alias("h2"), F.col("start").alias("s"), F.col("stop").alias("e"), role.alias("role"))
     # Within a bin one part of a role, start and stop is enough.
     helpers = helpers.withColumn("h_bin", bins(F.col("s") - scope, F.col("e") + scope)).distinct()
     near = (F.col("s") <= F.col("stop") + scope) & (F.col("e") >= F.col("start") - scope)
-    met = weak.join(helpers, (F.col("key") == F.col("k")) & (F.col("bin") == F.col("h_bin")) & near)
+    met = weak.join(helpers, (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")) & (F.col("bin") == F.col("h_bin")) & near)
     has = {r: F.max((F.col("role") == r).cast("int")) for r in ("identifier", "secret")}
-    judged = met.groupBy("key", "rank", "start", "stop").agg(*[c.alias(r) for r, c in has.items()])
+    judged = met.groupBy(*KEY, "rank", "start", "stop").agg(*[c.alias(r) for r, c in has.items()])
     enough = F.lit(False)
     for kind, roles in NEEDS.items():
         wanted = F.col("rank") == rank[kind]
         for r in roles:
             wanted = wanted & (F.col(r) == 1)
         enough = enough | wanted
-    return judged.where(enough).groupBy(F.col("key").alias("l_key")).agg(F.collect_list(F.struct("start", "rank", "stop")).alias("linked"))
+    return judged.where(enough).select(*KEY, "rank", "start", "stop")
 
 
 def op8(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     found = checkpoint(scan(docs.select("doc_id", "text")))
-    more = linked(found, scope)
-    base = F.concat(*BASE)
-    every = F.concat(base, F.coalesce("linked", F.array().cast(SPAN)))
-    return found.join(more, F.col("key") == F.col("l_key"), "left").select(
-        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
-        F.sha2(written(base), 256).alias("base_sha256"), written(every).alias("spans"),
+    spans = checkpoint(placed(found))
+    is_base = F.col("rank") < len(BASE)
+    span = F.struct("start", "rank", "stop")
+    every = spans.where(is_base).unionByName(linked(spans, scope)).groupBy(F.col("k1").alias("h1"), F.col("k2").alias("h2")).agg(
+        *[F.count_if(F.col("rank") == rank).alias(f"n_{kind}") for rank, kind in enumerate(BASE)],
+        F.collect_list(F.when(is_base, span)).alias("base"), F.collect_list(span).alias("every"),
+    )
+    none = F.array().cast(SPAN)
+    return found.select("doc_id", *KEY).join(every, (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")), "left").select(
+        "doc_id", *[F.coalesce(f"n_{kind}", F.lit(0)).cast("long").alias(f"n_{kind}") for kind in BASE],
+        F.sha2(written(F.coalesce("base", none)), 256).alias("base_sha256"), written(F.coalesce("every", none)).alias("spans"),
     )

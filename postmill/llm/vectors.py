@@ -12,9 +12,12 @@ left gets its cosine in double precision on the original vectors.
 Equal vectors are indexed once, with their ``k + 1`` smallest ids: no other id of theirs can be
 among the k nearest of any query. Equal queries are searched once.
 
-Null, empty and zero vectors and those with null or non-finite components take no part; nor do
-vectors of another length than most have (of the longer, at a tie), as they have no cosine with the
-rest. Repeated ids are rows of their own, and a query is never its own neighbour.
+Vectors of different lengths have no cosine, so each length is searched by itself: the commonest one, and
+every one with ``LEAST_CANDIDATES`` distinct vectors, by lists of its own, the rest by comparing all.
+
+Null, empty and zero vectors and those with null or non-finite components take no part. Repeated ids are
+rows of their own, and a query is never its own neighbour. Ties go to the smaller id. Null ids take no
+part. An empty table gives no rows; columns beside id and vector play no part.
 """
 
 from __future__ import annotations
@@ -202,28 +205,32 @@ def _searched(model, size: int, keep: int):
     return search
 
 
-def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, share: float = PROBE_SHARE) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each row whose id ``step`` divides."""
-    spark = vectors.sparkSession
-    rows = usable(vectors).where(F.col("vec_id").isNotNull())
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lengths = rows.groupBy("size").count().orderBy(F.desc("count"), F.desc("size")).limit(1).collect()
-    if not lengths:
-        return empty
-    size = lengths[0]["size"]
-    rows = rows.where(F.col("size") == size).select("vec_id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(SEED), "v").alias("h2"))
-    is_query = F.pmod("vec_id", F.lit(step)) == 0
-    # The smallest ids of each distinct vector; the limit is applied before the shuffle as well.
-    ordered = Window.partitionBy("h1", "h2").orderBy("vec_id")
-    few = rows.withColumn("at", F.row_number().over(ordered)).where(F.col("at") <= k + 1)
-    asked = rows.where(is_query).select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("vec_id").alias("query_id"))
-    asked = checkpoint(asked)
-    distinct = few.groupBy("h1", "h2").agg(F.first("v").alias("v"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    wanted = asked.select("a1", "a2").distinct().withColumn("asked", F.lit(True))
-    marked = distinct.join(wanted, (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2")), "left")
-    marked = marked.select("h1", "h2", "ids", F.coalesce("asked", F.lit(False)).alias("asked"), "v")
-    packed = checkpoint(marked.mapInArrow(_packed(size), "h1 long, h2 long, ids array<long>, asked boolean, v binary"))
+def _compared(keep: int):
+    """The nearest of few vectors of one length, by comparing all."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        v = np.array(table.column("v").to_pylist(), dtype=np.float64)
+        ids, asked = pa.array(table.column("ids").to_pylist(), pa.list_(pa.int64())), np.asarray(table.column("asked").to_numpy(zero_copy_only=False), dtype=bool)
+        least, x = np.array([i[0] for i in ids.to_pylist()]), unit(v)
+        row = np.flatnonzero(asked)
+        score = np.array([(x[r] * x).sum(axis=1) for r in row]).reshape(len(row), len(x))
+        order = np.lexsort((np.broadcast_to(least, score.shape), -score), axis=1)[:, :keep]
+        row, at = np.repeat(row, order.shape[1]), order.ravel()
+        return pa.table(
+            [table.column("h1").take(pa.array(row)), table.column("h2").take(pa.array(row)), pa.array(least[at]), ids.take(pa.array(at)), pa.array(np.take_along_axis(score, order, 1).ravel())],
+            names=["q1", "q2", "least", "ids", "score"],
+        )
+
+    return compare
+
+
+FOUND = "q1 long, q2 long, least long, ids array<long>, score double"
 
+
+def _searched_lists(marked: DataFrame, size: int, k: int, share: float) -> DataFrame:
+    """(q1, q2, least, ids, score) of distinct vectors of one length, from the lists that each query probes."""
+    spark = marked.sparkSession
+    packed = checkpoint(marked.mapInArrow(_packed(size), "h1 long, h2 long, ids array<long>, asked boolean, v binary"))
     count = packed.count()
     sampled = min(1.0, SAMPLE_BYTES / (8 * size * count))
     picked = packed.where(F.pmod("h1", F.lit(1_000_000)) < F.lit(int(1_000_000 * sampled) + 1)).orderBy("h1", "h2").select("v").collect()
@@ -239,9 +246,34 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, share:
     held = dealt.join(F.broadcast(parts), F.col("list") == F.col("l"))
     held = held.select("list", F.pmod("h1", "parts").cast("int").alias("part"), "ids", "v", "x")
     queries = dealt.where("asked").mapInArrow(_probes(model, sizes, size, max(1, round(share * lists))), "q1 long, q2 long, v binary, list int, part int")
-    found = queries.groupBy("list", "part").cogroup(held.groupBy("list", "part")).applyInArrow(
-        _searched(model, size, k + 1), "q1 long, q2 long, least long, ids array<long>, score double"
-    )
+    return queries.groupBy("list", "part").cogroup(held.groupBy("list", "part")).applyInArrow(_searched(model, size, k + 1), FOUND)
+
+
+def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, share: float = PROBE_SHARE) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each row whose id ``step`` divides."""
+    spark = vectors.sparkSession
+    rows = usable(vectors).where(F.col("vec_id").isNotNull())
+    rows = rows.select("vec_id", "size", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(SEED), "v").alias("h2"))
+    is_query = F.pmod("vec_id", F.lit(step)) == 0
+    # The smallest ids of each distinct vector; the limit is applied before the shuffle as well.
+    ordered = Window.partitionBy("h1", "h2").orderBy("vec_id")
+    few = rows.withColumn("at", F.row_number().over(ordered)).where(F.col("at") <= k + 1)
+    asked = rows.where(is_query).select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("vec_id").alias("query_id"))
+    asked = checkpoint(asked)
+    distinct = few.groupBy("h1", "h2").agg(F.first("size").alias("size"), F.first("v").alias("v"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    wanted = asked.select("a1", "a2").distinct().withColumn("asked", F.lit(True))
+    marked = distinct.join(wanted, (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2")), "left")
+    marked = checkpoint(marked.select("h1", "h2", "size", "ids", F.coalesce("asked", F.lit(False)).alias("asked"), "v"))
+
+    lengths = marked.groupBy("size").count()
+    # Lengths of many vectors; there are only so many that a table has room for.
+    large = [r["size"] for r in lengths.where(F.col("count") >= LEAST_CANDIDATES).orderBy(F.desc("count"), F.desc("size")).collect()]
+    large = large or [r["size"] for r in lengths.orderBy(F.desc("count"), F.desc("size")).limit(1).collect()]
+    if not large:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = marked.where(~F.col("size").isin(large)).groupBy("size").applyInArrow(_compared(k + 1), FOUND)
+    for size in large:
+        found = found.union(_searched_lists(marked.where(F.col("size") == size), size, k, share))
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "least")
     kept = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).select("q1", "q2", "score", F.explode("ids").alias("vec_id"))
     by_id = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "vec_id")

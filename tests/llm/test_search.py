@@ -16,11 +16,11 @@ VECTORS = "vec_id long, embedding array<float>"
 
 
 def brute(rows: list[tuple], step: int, k: int) -> dict:
-    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v) and len(v) == 8]
+    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
     out = {}
     for at, (q, x) in enumerate(good):
         if q % step == 0:
-            score = [(-round(float(x @ y / np.sqrt((x @ x) * (y @ y))), 12), i) for j, (i, y) in enumerate(good) if j != at]
+            score = [(-round(float(x @ y / np.sqrt((x @ x) * (y @ y))), 12), i) for j, (i, y) in enumerate(good) if j != at and len(x) == len(y)]
             out[q] = [i for _, i in sorted(score)[:k]]
     return out
 
@@ -31,7 +31,7 @@ def table():
     rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(1, 120)]
     rows += [(i, rows[9][1]) for i in range(200, 230)]  # one common vector
     rows += [(300, None), (301, []), (302, [0.0] * 8), (303, [1.0, None, *[0.0] * 6]), (304, [float("nan")] * 8), (305, [float("inf")] * 8)]
-    rows += [(306, [1.0] * 3), (None, rows[0][1]), (-50, (2 * np.array(rows[9][1])).tolist())]
+    rows += [(306, [1.0] * 3), *[(400 + i, [float(i), 2.0, 3.0]) for i in range(9)], (None, rows[0][1]), (-50, (2 * np.array(rows[9][1])).tolist())]
     return rows
 
 
@@ -63,6 +63,29 @@ def test_recall_over_many_lists(spark, monkeypatch):
     assert sum(len(found[q] & set(want[q])) for q in want) / (5 * len(want)) >= 0.9
 
 
+def test_candidates_are_abandoned_and_found_in_64_dimensions(spark, monkeypatch):
+    """Several blocks of columns and lists, two lengths with lists of their own, one without."""
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(vectors, "LIST_SIZE", 50)
+    monkeypatch.setattr(vectors, "LEAST_CANDIDATES", 300)
+    monkeypatch.setattr(vectors, "PART", 64)
+    centres = rng.normal(size=(12, 80))  # bundles of vectors, as embeddings have them
+    rows = [
+        (10 * i + at, (centres[i % 12, :size] + rng.normal(size=size)).astype(np.float32).tolist())
+        for at, (size, n) in enumerate(((64, 1500), (80, 400), (20, 90))) for i in range(n)
+    ]
+    frame = spark.createDataFrame(rows, VECTORS).withColumns({c: vectors.F.lit(1) for c in ("list", "h1", "v", "size")})
+    found: dict = {}
+    for r in vectors.nearest(frame, step=5).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    want = brute(rows, 5, 5)
+    assert found.keys() == want.keys()
+    assert sum(len(set(found[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) >= 0.9
+    x = vectors.unit(rng.normal(size=(900, 64))).astype(np.float32)
+    kept, _ = vectors.scan(x[:20], x[20:], 6)
+    assert len(kept) < 20 * 880 * 0.7  # the others are given up on the way
+
+
 def test_few_or_no_vectors(spark, table):
     one = spark.createDataFrame([(0, [1.0, 0.0])], VECTORS)
     assert vectors.op2(one).count() == 0

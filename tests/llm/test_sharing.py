@@ -173,11 +173,20 @@ def components(rows: list[tuple]) -> list[tuple]:
 
 @pytest.mark.parametrize("region", [jaccard.REGION, 4])
 def test_near_duplicates_are_exact(docs, region):
-    # A null id sorts first, as in Spark; the only row that has it links with nothing here.
     found = sorted(map(tuple, jaccard.near_duplicates(docs.select("doc_id", "text"), region).collect()), key=str)
     assert found == components(documents())
 
 
+def test_a_linked_row_without_an_id_stands_for_nothing(spark):
+    """Copies and near copies with null ids take the smallest id that there is; one without any has none."""
+    base, other = documents()[0][1], documents()[12][1]
+    rows = [(5, base), (None, base), (7, base + " and more"), (None, base + " at last"), (None, other + " zz"), (None, other + " yy"), (None, "alone here it is now")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.near_duplicates(frame).collect()), key=str) == components(rows)
+    kept = sorted((tuple(r) for r in jaccard.deduplicated(frame).collect()), key=str)
+    assert len(kept) == 3 and (5, base) in kept
+
+
 @pytest.mark.parametrize("region", [jaccard.REGION, 8])
 def test_chains_and_a_large_group(spark, region):
     base = sentence(5, 120)
