@@ -1,27 +1,30 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counting. Texts are cut into slices; a slice sends its distinct words and pairs of neighbouring
-words, with their counts in training texts, to buckets by hash. A bucket adds up the counts of its
-words and sends each slice the sums that its documents' words make there, so the base score uses
-exact counts of any number of words and no table of them is gathered anywhere.
+words, with their counts in training texts, to buckets by hash. Each task's slice sends a word
+once however often it has it, so no word is a hot key. Buckets follow the size of the input.
 
-Filter. Each bucket of words or pairs also owns a segment of the filter. An entry of count c is
+Filter. Each bucket of words or pairs owns a segment of the filter. An entry of count c is
 quantised to level q = 1 + floor(log_b c) and put in at levels 1 to q; a reader asks for level after
 level until one is missing. A segment has as many bits as its entries need, so each goes in at all
-its levels. Up to ``FILTER_BYTES`` in all the filter is broadcast. A larger one stays a table of
-segments: each slice sends its distinct words and pairs to their segments and gets their levels back.
+its levels and the filter grows with the corpus. For that reason it is not broadcast: the entries of a slice have
+come to their segment already, are looked up there, and their levels go back to the slice, a byte
+each, with the exact counts of its words, from which the base score is made. This is one way at every size.
 
 Score: log10 of the product of p(w | v) = L c(v w) / c(v) + (1 - L) p(w) over a text's words and its
 end, with the counts that the filter gives and p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
 
 Null and empty texts are one end. An id of null is treated as an empty id. Rows equal in id and text
-have equal scores. Without training texts N and V are 0 and every token is unknown.
+have equal scores; a repeated row counts as often as it is there. A long text is a slice by itself.
+There are no ties. Without training texts N and V are 0 and every token is unknown. An empty table gives
+no rows. Columns beside id and text play no part. ``docs`` is read twice, and must give its rows in the same
+order both times, as stored tables do; if it does not, the job fails.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -36,24 +39,19 @@ from .words import NOT_SPACE, Words, mixed, named, slices, words
 HELD_OUT = (10, 0)
 ADDED = 0.1
 SLICE = 5 << 20
-SLICE_ROWS = 60_000
-WORD_BUCKETS = 80
-PAIR_BUCKETS = 512
-WORD_BITS = 1 << 21
-PAIR_BITS = 1 << 18
+BUCKET_BYTES = 4 << 20  # of text
+LEAST_BUCKETS = 64  # of pairs; words have a quarter of them
+WORD_BITS = 1 << 16
+PAIR_BITS = 1 << 16
 PROBES = 6
-FILTER_BYTES = 64 << 20
 WORD_BASE, PAIR_BASE = 1.2, 2.0
 PAIR_WEIGHT = 0.15
 
 END = mixed(np.array([0x454E44], dtype=np.uint64))[0]
 BEGIN = mixed(np.array([0x424547], dtype=np.uint64))[0]
 LEVEL = np.uint64(0x9E3779B97F4A7C15)
-PAIRS_FROM = 1_000  # bucket numbers: words, then pairs, and slices below zero
 LOW = np.uint64((1 << 48) - 1)
 
-Levels = Callable[[np.ndarray], np.ndarray]  # of distinct entries
-
 
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null counts as the empty text."""
@@ -79,116 +77,6 @@ def pair(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mixed(before * np.uint64(0xC2B2AE3D27D4EB4F) + token)
 
 
-def _split(bucket: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order by bucket, and where each begins in it."""
-    order = np.argsort(bucket.astype(np.uint16), kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(count + 1))
-
-
-COUNTED = "bucket int, slice long, a binary, b binary, c binary"
-REDUCED = "slice long, keys binary, sums binary, known binary, n long, v long, bucket int, bits binary"
-
-
-def _slice_name(keys: np.ndarray, partition: int, number: int) -> int:
-    """Follows from the rows and their place, so a repeated task gives the same."""
-    own = mixed(keys.view(np.uint64) * np.uint64(3) + np.arange(len(keys), dtype=np.uint64)).sum(keepdims=True)
-    return int(mixed(own + np.uint64((partition << 24) + number)).view(np.int64)[0])
-
-
-def _word_rows(token: np.ndarray, doc: np.ndarray, train: np.ndarray, n_docs: int) -> Iterator[tuple]:
-    """For each bucket its words, their training counts, and postings: documents and how often."""
-    unique, inverse = np.unique(token, return_inverse=True)
-    counts = np.bincount(inverse[train], minlength=len(unique)).astype(np.uint32)
-    entry, times = np.unique(inverse.astype(np.int64) * n_docs + doc, return_counts=True)
-    parts = (times + 254) // 255  # counts go as bytes; larger ones in several postings
-    entry = np.repeat(entry, parts)
-    last = np.cumsum(parts) - 1
-    small = np.full(len(entry), 255, dtype=np.uint8)
-    small[last] = times - 255 * (parts - 1)
-    held = np.bincount(entry // n_docs, minlength=len(unique)).astype(np.uint32)
-    at_doc = (entry % n_docs).astype(np.uint16)
-    first = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
-    order, ends = _split((unique >> np.uint64(48)) % np.uint64(WORD_BUCKETS), WORD_BUCKETS)
-    for b in np.flatnonzero(np.diff(ends)):
-        own = order[ends[b] : ends[b + 1]]
-        at = np.repeat(first[own] - np.concatenate(([0], np.cumsum(held[own], dtype=np.int64)[:-1])), held[own]) + np.arange(int(held[own].sum()))
-        body = np.array([n_docs], np.uint32).tobytes() + held[own].tobytes() + at_doc[at].tobytes() + small[at].tobytes()
-        yield int(b), unique[own].tobytes(), counts[own].tobytes(), body
-
-
-def _pair_rows(found: np.ndarray) -> Iterator[tuple]:
-    pairs, times = np.unique(found, return_counts=True)
-    order, ends = _split((pairs >> np.uint64(48)) % np.uint64(PAIR_BUCKETS), PAIR_BUCKETS)
-    pairs, times = pairs[order] & LOW, times[order].astype(np.uint32)
-    low, high = pairs.astype(np.uint32), (pairs >> np.uint64(32)).astype(np.uint16)
-    for b in np.flatnonzero(np.diff(ends)):
-        own = slice(ends[b], ends[b + 1])
-        yield PAIRS_FROM + int(b), low[own].tobytes(), high[own].tobytes(), times[own].tobytes()
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    partition, number = TaskContext.get().partitionId(), 0
-    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 3
-    for batch in batches:
-        for some in slices(batch, "text", SLICE):
-            for at in range(0, some.num_rows, SLICE_ROWS):
-                part = some.slice(at, SLICE_ROWS)
-                token, before, doc = tokens(words(named(part, "text"), NOT_SPACE))
-                train = np.asarray(named(part, "train").to_numpy(zero_copy_only=False), dtype=bool)[doc]
-                keys = named(part, "key").to_numpy(zero_copy_only=False).astype(np.int64)
-                name = _slice_name(keys, partition, number)
-                number += 1
-                rows = [(b, name, *blobs) for b, *blobs in _word_rows(token, doc, train, len(keys))]
-                rows += [(b, None, *blobs) for b, *blobs in _pair_rows(pair(before[train], token[train]))]
-                rows.append((-1 - name % 64, name, keys.tobytes(), None, None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "slice", "a", "b", "c"])
-
-
-def _bytes(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
-
-
-def _totals(found: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, inverse = np.unique(found, return_inverse=True)
-    return unique, np.bincount(inverse, weights=number, minlength=len(unique)).astype(np.int64)
-
-
-def _reduced(key: tuple, table: pa.Table) -> pa.Table:
-    bucket = key[0].as_py()
-    if bucket < 0:
-        out = [(name, keys, None, None, None, None, None, None) for name, keys in zip(table.column("slice").to_pylist(), table.column("a").to_pylist(), strict=True)]
-    elif bucket >= PAIRS_FROM:
-        found = _bytes(table.column("a"), np.uint32) | (_bytes(table.column("b"), np.uint16).astype(np.uint64) << np.uint64(32))
-        found, counts = _totals(found, _bytes(table.column("c"), np.uint32))
-        out = [(None,) * 6 + (bucket, segment(found, counts, PAIR_BASE, room_for(counts, PAIR_BASE, PAIR_BITS)))]
-    else:
-        out = _summed(table, bucket)
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    names = ["slice", "keys", "sums", "known", "n", "v", "bucket", "bits"]
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-
-
-def _summed(table: pa.Table, bucket: int) -> list[tuple]:
-    """For each slice its documents' sums of log10(c + 0.1) and of known tokens over this bucket's words."""
-    unique, total = _totals(_bytes(table.column("a"), np.uint64), _bytes(table.column("b"), np.uint32))
-    value, known_word = np.log10(total + ADDED), total > 0
-    size = room_for(total[known_word], WORD_BASE, WORD_BITS)
-    bits = segment(unique[known_word] & LOW, total[known_word], WORD_BASE, size)
-    out: list[tuple] = [(None, None, None, None, int(total.sum()), int(known_word.sum()), bucket, bits)]
-    for name, found, body in zip(table.column("slice"), table.column("a"), table.column("c"), strict=True):
-        own = np.searchsorted(unique, np.frombuffer(found.as_buffer(), np.uint64))
-        body = body.as_py()
-        n_docs, held = int(np.frombuffer(body, np.uint32, 1)[0]), np.frombuffer(body, np.uint32, len(own), 4)
-        n = int(held.sum())
-        at = np.frombuffer(body, np.uint16, n, 4 * (len(own) + 1))
-        times = np.frombuffer(body, np.uint8, n, 4 * (len(own) + 1) + 2 * n)
-        which = np.repeat(own, held)
-        sums = np.bincount(at, weights=times * value[which], minlength=n_docs)
-        known = np.bincount(at, weights=times * known_word[which], minlength=n_docs).astype(np.uint32)
-        out.append((name.as_py(), None, sums.tobytes(), known.tobytes(), None, None, None, None))
-    return out
-
-
 def levels(counts: np.ndarray, base: float) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(base) + 1e-9).astype(np.int64)
 
@@ -209,12 +97,6 @@ def bit_places(found: np.ndarray, level: np.ndarray, bits: int) -> Iterator[np.n
         x = x + step
 
 
-def _fitting(level: np.ndarray, room: int) -> np.ndarray:
-    """Entries of the highest levels, as many whole levels as have ``room`` inserts at most."""
-    inserts = np.cumsum((np.bincount(level, minlength=2) * np.arange(max(2, level.max(initial=0) + 1)))[::-1])[::-1]
-    return level >= max(1, int(np.argmax(np.append(inserts, 0) <= room)))
-
-
 def room_for(counts: np.ndarray, base: float, least: int) -> int:
     """Bits of a segment, ``least`` or that times a power of two, that has room for all entries at all levels."""
     inserts, size = int(levels(counts, base).sum()), least
@@ -224,14 +106,9 @@ def room_for(counts: np.ndarray, base: float, least: int) -> int:
 
 
 def segment(found: np.ndarray, counts: np.ndarray, base: float, size: int) -> bytes:
-    """A filter of ``size`` bits, half of them set at most, holding each entry at its levels.
-
-    With less than :func:`room_for` bits only the highest levels go in.
-    """
+    """A filter of ``size`` bits, half of them set at most, holding each entry at its levels."""
     bits = np.zeros(size, dtype=bool)
     level = levels(counts, base)
-    keep = _fitting(level, int(size * math.log(2) / PROBES))
-    found, level = found[keep], level[keep]
     every = np.repeat(found, level)
     each = (np.arange(len(every)) - np.repeat(np.cumsum(level) - level, level) + 1).astype(np.uint64)
     for places in bit_places(every, each, size):
@@ -264,169 +141,191 @@ def read_levels(table: np.ndarray, found: np.ndarray, buckets: int, size: int, h
 
 
 class Scorer(NamedTuple):
-    """The score of texts from the levels of their words and pairs; ``n`` and ``v`` are those of the training texts."""
+    """The scores of texts from what the buckets tell of their words and pairs."""
 
     n: int
     v: int
     n_docs: int
 
-    def highest(self, base: float) -> int:
-        return int(levels(np.array([max(self.n, 1)]), base)[0])
-
-    def scores(self, texts: pa.Array, word_levels: Levels, pair_levels: Levels) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and score of each text."""
-        token, before, doc = tokens(words(texts, NOT_SPACE))
-        unique, inverse = np.unique(token, return_inverse=True)
-        count = count_at(word_levels(unique), WORD_BASE)
-        single = (count[inverse] + ADDED) / (self.n + ADDED * (self.v + 1))
+    def scores(self, slice_: Slice, counts: np.ndarray, word_levels: np.ndarray, pair_levels: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Tokens, known tokens, base score and score of each text; the rest is by distinct word or pair."""
+        token, doc, n = slice_.token, slice_.doc, slice_.n_docs
+        whole = self.n + ADDED * (self.v + 1)
+        base = np.log10((counts + ADDED) / whole)[token]
+        count = count_at(word_levels, WORD_BASE)
+        single = (count[token] + ADDED) / whole
         context = np.zeros(len(token))
-        context[1:] = count[inverse[:-1]]
-        context[before == BEGIN] = self.n_docs
-        pairs, back = np.unique(pair(before, token), return_inverse=True)
-        joint = count_at(pair_levels(pairs), PAIR_BASE)[back]
-        seen = context > 0
+        context[1:] = count[token[:-1]]
+        context[slice_.begins] = self.n_docs
+        joint = count_at(pair_levels, PAIR_BASE)[slice_.pair]
         follows = np.minimum(joint, context) / np.maximum(context, 1)
-        p = np.where(seen, PAIR_WEIGHT * follows + (1 - PAIR_WEIGHT) * single, single)
-        return np.bincount(doc, minlength=len(texts)), np.bincount(doc, weights=np.log10(p), minlength=len(texts))
+        p = np.where(context > 0, PAIR_WEIGHT * follows + (1 - PAIR_WEIGHT) * single, single)
+        known = np.bincount(doc, weights=(counts > 0)[token], minlength=n).astype(np.int64)
+        return np.bincount(doc, minlength=n), known, np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=np.log10(p), minlength=n)
 
 
-def _broadcast_scores(tables, sizes: tuple[int, int], scorer: Scorer):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for_words, for_pairs = (np.frombuffer(t, dtype=np.uint8) for t in tables.value)
-        of_words = lambda found: read_levels(for_words, found, WORD_BUCKETS, sizes[0], scorer.highest(WORD_BASE))
-        of_pairs = lambda found: read_levels(for_pairs, found, PAIR_BUCKETS, sizes[1], scorer.highest(PAIR_BASE))
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                size, total = scorer.scores(named(part, "text"), of_words, of_pairs)
-                columns = [named(part, c) for c in ("doc_id", "key", "held_out")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(size, pa.int64()), pa.array(total)], names=["doc_id", "key", "held_out", "n_tokens", "score"])
+class Slice(NamedTuple):
+    """Distinct words and pairs of some texts, sorted, and of each token which they are."""
 
-    return score
+    words: np.ndarray
+    pairs: np.ndarray
+    token: np.ndarray
+    pair: np.ndarray
+    doc: np.ndarray
+    begins: np.ndarray
+    n_docs: int
+
+    @staticmethod
+    def of(texts: pa.Array) -> Slice:
+        token, before, doc = tokens(words(texts, NOT_SPACE))
+        found, own = np.unique(token, return_inverse=True)
+        pairs, own_pair = np.unique(pair(before, token), return_inverse=True)
+        return Slice(found, pairs, own, own_pair, doc, np.flatnonzero(before == BEGIN), len(texts))
+
+
+class Buckets(NamedTuple):
+    """Words go to the first ``words`` buckets, pairs to the ``pairs`` that follow."""
+
+    words: int
+    pairs: int
+
+    def deal(self, slice_: Slice) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Each bucket with what of the slice's words or pairs it has, and these."""
+        for found, begin, count in ((slice_.words, 0, self.words), (slice_.pairs, self.words, self.pairs)):
+            bucket = ((found >> np.uint64(48)) % np.uint64(count)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(count + 1))
+            for b in np.flatnonzero(np.diff(ends)):
+                at = order[ends[b] : ends[b + 1]]
+                yield begin + int(b), at, found[at]
 
 
-PROBED = "bucket int, slice long, found binary, key long, text string"
-ANSWERED = "slice long, bucket int, levels binary"
+COUNTED = "bucket int, slice long, low binary, high binary, counts binary"
+TOLD = "slice long, bucket int, counts binary, levels binary, n long, v long"
 
 
-def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts of each slice, and for each bucket the words or pairs that the slice asks for, sorted."""
+def _small(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    top = int(numbers.max(initial=0))
+    return numbers.astype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)).tobytes()
+
+
+def _large(blob: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(blob, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[len(blob) // count]).astype(np.int64)
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Slice]]:
+    """Slices with a name that follows from the rows and their place, so it comes again in a second pass."""
     partition, number = TaskContext.get().partitionId(), 0
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.string()]
     for batch in batches:
         for part in slices(batch, "text", SLICE):
-            token, before, _ = tokens(words(named(part, "text"), NOT_SPACE))
-            name = _slice_name(named(part, "key").to_numpy(zero_copy_only=False).astype(np.int64), partition, number)
+            slice_ = Slice.of(named(part, "text"))
+            own = mixed(slice_.pairs + np.arange(len(slice_.pairs), dtype=np.uint64)).sum(keepdims=True)
+            yield int(mixed(own + np.uint64((partition << 24) + number)).view(np.int64)[0]), part, slice_
             number += 1
-            rows = [(None, name, None, key, text) for key, text in zip(named(part, "key").to_pylist(), named(part, "text").to_pylist(), strict=True)]
-            for found, begin, buckets in ((token, 0, WORD_BUCKETS), (pair(before, token), PAIRS_FROM, PAIR_BUCKETS)):
-                unique = np.unique(found)
-                order, ends = _split((unique >> np.uint64(48)) % np.uint64(buckets), buckets)
-                rows += [(begin + int(b), name, unique[order[ends[b] : ends[b + 1]]].tobytes(), None, None) for b in np.flatnonzero(np.diff(ends))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "slice", "found", "key", "text"])
-
 
-def _answers(scorer: Scorer):
-    """The levels of what the slices ask of one segment, a byte each."""
 
-    def answer(key: tuple, asked: pa.Table, kept: pa.Table) -> pa.Table:
-        base = WORD_BASE if key[0].as_py() < PAIRS_FROM else PAIR_BASE
-        bits = np.frombuffer(kept.column("bits")[0].as_buffer(), np.uint8) if kept.num_rows else np.zeros(1, np.uint8)
-        out = []
-        for found in asked.column("found"):
-            out.append(read_levels(bits, np.frombuffer(found.as_buffer(), np.uint64), 1, 8 * len(bits), scorer.highest(base)).astype(np.uint8).tobytes())
-        return pa.table({"slice": asked.column("slice"), "bucket": asked.column("bucket"), "levels": pa.array(out, pa.binary())})
+def _counted(buckets: Buckets):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 3
+        for name, part, slice_ in _sliced(batches):
+            if not part.num_rows:
+                continue
+            train = ~np.asarray(named(part, "held_out").to_numpy(zero_copy_only=False), dtype=bool)[slice_.doc]
+            in_words = np.bincount(slice_.token[train], minlength=len(slice_.words))
+            in_pairs = np.bincount(slice_.pair[train], minlength=len(slice_.pairs))
+            rows = []
+            for b, at, found in buckets.deal(slice_):
+                entry, times = found & LOW, (in_words if b < buckets.words else in_pairs)[at]
+                # A bucket's number tells most of the top bits; words keep the rest of theirs.
+                high = (found >> np.uint64(32)).astype(np.uint32) if b < buckets.words else (entry >> np.uint64(32)).astype(np.uint16)
+                rows.append((b, name, entry.astype(np.uint32).tobytes(), high.tobytes(), _small(times)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "slice", "low", "high", "counts"])
 
-    return answer
+    return count
 
 
-def _slice_scores(scorer: Scorer):
-    """The score of each text of a slice from the answers of all segments."""
+def _entries(low: bytes, high: bytes) -> np.ndarray:
+    small = np.frombuffer(low, np.uint32)
+    wide = np.uint32 if len(high) == len(low) else np.uint16
+    return small | (np.frombuffer(high, wide).astype(np.uint64) << np.uint64(32))
 
-    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        told = dict(zip(answers.column("bucket").to_pylist(), answers.column("levels").to_pylist(), strict=True))
 
-        def of(begin: int, buckets: int) -> Levels:
-            def told_levels(unique: np.ndarray) -> np.ndarray:
-                order, ends = _split((unique >> np.uint64(48)) % np.uint64(buckets), buckets)
-                level = np.zeros(len(unique), dtype=np.int64)
-                for b in np.flatnonzero(np.diff(ends)):
-                    level[order[ends[b] : ends[b + 1]]] = np.frombuffer(told[begin + int(b)], np.uint8)
-                return level
+def _totals(found: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    unique, inverse = np.unique(found, return_inverse=True)
+    return unique, np.bincount(inverse, weights=number, minlength=len(unique)).astype(np.int64)
 
-            return told_levels
 
-        bodies = pa.concat_arrays(texts.column("text").chunks)
-        size, total = scorer.scores(bodies, of(0, WORD_BUCKETS), of(PAIRS_FROM, PAIR_BUCKETS))
-        return pa.table({"s_key": texts.column("key"), "n_tokens": pa.array(size, pa.int64()), "score": pa.array(total)})
+def _told(buckets: Buckets):
+    """A segment from all that came to a bucket, and for each slice the levels that it gives."""
 
-    return score
+    def tell(key: tuple, table: pa.Table) -> pa.Table:
+        is_words = key[0].as_py() < buckets.words
+        base, least = (WORD_BASE, WORD_BITS) if is_words else (PAIR_BASE, PAIR_BITS)
+        found = [_entries(low, high) for low, high in zip(table.column("low").to_pylist(), table.column("high").to_pylist(), strict=True)]
+        counts = [_large(c, len(f)) for c, f in zip(table.column("counts").to_pylist(), found, strict=True)]
+        unique, total = _totals(np.concatenate(found), np.concatenate(counts))
+        held = total > 0
+        size = room_for(total[held], base, least)
+        bits = np.frombuffer(segment(unique[held] & LOW, total[held], base, size), np.uint8)
+        highest = int(levels(total, base).max(initial=1)) + 64 // PROBES
+        level = read_levels(bits, unique & LOW, 1, size, highest).astype(np.uint8)
+        at = [np.searchsorted(unique, f) for f in found]
+        n, v = [0] * len(at), [0] * len(at)
+        n[0], v[0] = (int(total.sum()), int(held.sum())) if is_words else (0, 0)
+        exact = [_small(total[i]) if is_words else None for i in at]
+        return pa.table(
+            [table.column("slice"), table.column("bucket"), pa.array(exact, pa.binary()), pa.array([level[i].tobytes() for i in at], pa.binary()), pa.array(n, pa.int64()), pa.array(v, pa.int64())],
+            names=["slice", "bucket", "counts", "levels", "n", "v"],
+        )
 
+    return tell
 
-def _shuffled_scores(rows: DataFrame, segments: DataFrame, scorer: Scorer) -> DataFrame:
-    """(s_key, n_tokens, score), one row a key, without gathering the filter anywhere."""
-    probed = stored(rows.select("text", "key").mapInArrow(_probed, PROBED))
-    asked = probed.where(F.col("bucket").isNotNull()).select("bucket", "slice", "found")
-    answers = asked.groupBy("bucket").cogroup(segments.groupBy("bucket")).applyInArrow(_answers(scorer), ANSWERED)
-    texts = probed.where(F.col("bucket").isNull()).select("slice", "key", "text")
-    scores = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_slice_scores(scorer), "s_key long, n_tokens long, score double")
-    return scores.dropDuplicates(["s_key"])
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for name, part, _ in _sliced(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([name] * part.num_rows, pa.int64()), *part.columns], names=["slice", *part.schema.names])
 
-def _unpacked(table: pa.Table) -> pa.Table:
-    """Add the sums of a slice over all buckets and give them to its documents."""
-    keys = np.frombuffer(next(x for x in table.column("keys").to_pylist() if x is not None), np.int64)
-    sums, known = np.zeros(len(keys)), np.zeros(len(keys), dtype=np.int64)
-    for s, k in zip(table.column("sums").to_pylist(), table.column("known").to_pylist(), strict=True):
-        if s is not None:
-            sums += np.frombuffer(s, np.float64)
-            known += np.frombuffer(k, np.uint32)
-    return pa.table({"k": pa.array(keys), "sums": pa.array(sums), "n_known": pa.array(known)})
 
+def _scored(buckets: Buckets, scorer: Scorer):
+    """The scores of a slice's texts from the answers of all buckets."""
 
-def _filter(rows: list, first: int, buckets: int, size: int) -> bytes:
-    """The segments laid end to end at ``size`` bits each; the buckets without entries are empty.
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        slice_ = Slice.of(pa.concat_arrays(texts.column("text").chunks))
+        told = {b: (c, x) for b, c, x in zip(*[answers.column(c).to_pylist() for c in ("bucket", "counts", "levels")], strict=True)}
+        counts, of_words, of_pairs = np.zeros(len(slice_.words), np.int64), np.zeros(len(slice_.words), np.int64), np.zeros(len(slice_.pairs), np.int64)
+        for b, at, _ in buckets.deal(slice_):
+            exact, level = told[b]
+            if b < buckets.words:
+                counts[at], of_words[at] = _large(exact, len(at)), np.frombuffer(level, np.uint8)
+            else:
+                of_pairs[at] = np.frombuffer(level, np.uint8)
+        found = scorer.scores(slice_, counts, of_words, of_pairs)
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        return pa.table([texts.column("doc_id"), texts.column("held_out"), *[pa.array(x) for x in found]], names=names)
 
-    Places are taken modulo powers of two, so a smaller segment repeated reads as before.
-    """
-    parts = {row.bucket - first: bytes(row.bits) * (size // 8 // len(row.bits)) for row in rows}
-    return b"".join(parts.get(b, bytes(size // 8)) for b in range(buckets))
+    return score
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"), (remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1]).alias("held_out"))
-    rows = rows.select("*", F.xxhash64("doc_id", F.lit(1), "text").alias("key"), (~F.col("held_out")).alias("train"))
-    counted = rows.select("text", "key", "train").mapInArrow(_counted, COUNTED)
-    reduced = stored(counted.groupBy("bucket").applyInArrow(_reduced, REDUCED))
-
-    n, v = reduced.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    n_docs = rows.where("train").count()
-    scorer = Scorer(n, v, n_docs)
-    segments = reduced.where(F.col("bits").isNotNull()).select("bucket", "bits")
-    is_word, bits = F.col("bucket") < PAIRS_FROM, F.max(8 * F.length("bits"))
-    largest = {r.is_word: r.size for r in segments.groupBy(is_word.alias("is_word")).agg(bits.alias("size")).collect()}
-    sizes = (largest.get(True, WORD_BITS), largest.get(False, PAIR_BITS))
-    if (WORD_BUCKETS * sizes[0] + PAIR_BUCKETS * sizes[1]) // 8 <= FILTER_BYTES:
-        found = segments.collect()
-        of_words, of_pairs = [r for r in found if r.bucket < PAIRS_FROM], [r for r in found if r.bucket >= PAIRS_FROM]
-        tables = (_filter(of_words, 0, WORD_BUCKETS, sizes[0]), _filter(of_pairs, PAIRS_FROM, PAIR_BUCKETS, sizes[1]))
-        del found, of_words, of_pairs
-        shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key long, held_out boolean, n_tokens long, score double"
-        scores = rows.select("doc_id", "key", "held_out", "text").mapInArrow(_broadcast_scores(spark.sparkContext.broadcast(tables), sizes, scorer), shape)
-    else:
-        by_key = _shuffled_scores(rows, segments, scorer)
-        scores = rows.select("doc_id", "key", "held_out").join(by_key, F.col("key") == F.col("s_key"))
-
-    sliced = reduced.where(F.col("slice").isNotNull()).select("slice", "keys", "sums", "known")
-    sums = sliced.groupBy("slice").applyInArrow(_unpacked, "k long, sums double, n_known long").dropDuplicates(["k"])
-    whole = math.log10(n + ADDED * (v + 1))
-    return scores.join(sums, F.col("key") == F.col("k")).select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("sums") - F.col("n_tokens") * whole).alias("base_score"), "score",
-    )
+    seen = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"), F.count_if(~F.col("held_out")).alias("n_docs")).first()
+    pairs = max(LEAST_BUCKETS, -(-seen["size"] // BUCKET_BYTES))
+    buckets = Buckets(pairs // 4, pairs)
+    counted = rows.mapInArrow(_counted(buckets), COUNTED)
+    told = stored(counted.groupBy("bucket").applyInArrow(_told(buckets), TOLD))
+    n, v = told.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+
+    shape = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}"
+    texts = rows.mapInArrow(_named, f"slice long, {shape}, text string, held_out boolean")
+    answers = told.select("slice", "bucket", "counts", "levels")
+    found = texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
+        _scored(buckets, Scorer(n, v, seen["n_docs"])), f"{shape}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    )
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op4(docs: DataFrame) -> DataFrame:
-    return scored(docs)
+    return scored(docs.select("doc_id", "text"))
