@@ -40,6 +40,7 @@ MARKS = "[#$%&*|]"
 FIRST_PREFIX = 16
 LONGER = 4
 PART_BYTES = 32 << 20
+PER_PART = 4  # prefixes in a part, so that parts come out even
 MOST_HEAVY = 200_000
 SLICE = 8 << 20
 
@@ -162,18 +163,16 @@ def _tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(out)
 
 
-def adaptive_prefix(texts: DataFrame, part_bytes: int = PART_BYTES) -> Column:
-    """The shortest of a row's prefixes that holds no more than a part's bytes, or else its longest.
+def adaptive_prefix(texts: DataFrame, bound: int, longest: int) -> Column:
+    """The shortest of a row's prefixes that holds no more than ``bound`` bytes, or else its longest.
 
-    Each round counts only the texts under prefixes that were too heavy. There are at most total / part
-    of them at each length, and the bound of a part grows when that would be over ``MOST_HEAVY``.
+    Each round counts only the texts under prefixes that were too heavy; there are at most
+    total / ``bound`` of them at each length.
     """
     size = F.octet_length("text")
-    seen = texts.agg(F.sum(size).alias("n"), F.max(F.length("text")).alias("longest")).first()
-    bound = max(part_bytes, (seen["n"] or 0) // MOST_HEAVY)
     length, under = FIRST_PREFIX, texts
     prefix = F.left("text", F.lit(length))
-    while length < (seen["longest"] or 0):
+    while length < longest:
         head = F.left("text", F.lit(length))
         heavy = [r["head"] for r in under.groupBy(head.alias("head")).agg(F.sum(size).alias("n")).where(F.col("n") > bound).collect()]
         if not heavy:
@@ -190,9 +189,12 @@ def flagged(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"), text_of().alias("text"))
     judged = stored(rows.select("doc_id", "part", failing(F.col("text")).alias("fails"), "text").mapInArrow(_settled, JUDGED))
     open_ = judged.where(F.col("text").isNotNull())
-    size = open_.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    seen = open_.agg(F.sum(F.octet_length("text")).alias("n"), F.max(F.length("text")).alias("longest")).first()
+    size = seen["n"] or 0
     parts = max(int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))
-    dealt = open_.withColumn("prefix", adaptive_prefix(open_, part_bytes)).repartitionByRange(parts, "prefix")
+    bound = max(size // (PER_PART * parts), size // MOST_HEAVY)
+    prefix = adaptive_prefix(open_, bound, seen["longest"] or 0)
+    dealt = open_.withColumn("prefix", prefix).repartitionByRange(parts, "prefix")
     tried = dealt.select("doc_id", "part", "fails", "text").mapInArrow(_tried, "doc_id long, part string, fails string")
     return judged.where(F.col("text").isNull()).select("doc_id", "part", "fails").union(tried)
 
