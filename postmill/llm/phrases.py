@@ -35,7 +35,7 @@ TOP = 2000
 SCALE = 1_000_000
 UNKNOWN = "und"
 
-SLICE = 12 << 20
+SLICE = 6 << 20
 BUCKET_BYTES = 4 << 20  # of text
 LEAST_BUCKETS = 64
 SAMPLE_BYTES = 8 << 20
@@ -88,11 +88,18 @@ def _lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total)).astype(np.uint32)
 
 
+def among(keys: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which keys are in the short sorted ``few``."""
+    if not len(few):
+        return np.zeros(len(keys), dtype=bool)
+    return few[np.minimum(np.searchsorted(few, keys), len(few) - 1)] == keys
+
+
 def spread(first: np.ndarray, second: np.ndarray, third: np.ndarray, hot_words: np.ndarray, hot_pairs: np.ndarray) -> np.ndarray:
     """The number by which an entry is dealt: that of its first word, or of more words for a hot one."""
     pair = mixed(first * NEXT + second)
-    key = np.where(np.isin(first, hot_words), pair, first)
-    return np.where(np.isin(pair, hot_pairs), mixed(pair * NEXT + third), key)
+    key = np.where(among(first, hot_words), pair, first)
+    return np.where(among(pair, hot_pairs), mixed(pair * NEXT + third), key)
 
 
 def _dealt(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,11 +126,12 @@ def _stripe_rows(first, second, third, counts, plan) -> Iterator[tuple]:
 def _word_rows(w: Words, found: np.ndarray, at: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
     """The counter of the empty prefix; ``at`` is a place of each word in ``w``."""
     order, ends = _dealt(found, buckets)
+    begin, size = w.start[at], w.end[at] - w.start[at]
     for b in np.flatnonzero(np.diff(ends)):
         own = order[ends[b] : ends[b + 1]]
-        length = (w.end - w.start)[at[own]]
+        length = size[own]
         stop = np.cumsum(length)
-        letter = np.repeat(w.start[at[own]] - (stop - length), length) + np.arange(int(stop[-1]))
+        letter = np.repeat(begin[own] - (stop - length), length) + np.arange(int(stop[-1]))
         yield (-1 - int(b), found[own].tobytes(), None, None, None, None, counts[own].astype(np.uint32).tobytes(), w.data[letter].tobytes(), stop.astype(np.uint32).tobytes())
 
 
@@ -205,7 +213,7 @@ def merged_stripes(table: pa.Table, least: int, hot_pairs: np.ndarray) -> list[n
     prefixes = _runs(first, second)
     total = np.add.reduceat(a, prefixes)
     longer = np.maximum.reduceat(np.where(extends, a, 0), prefixes)
-    out = prefixes[(total >= least) | np.isin(mixed(first[prefixes] * NEXT + second[prefixes]), hot_pairs)]
+    out = prefixes[(total >= least) | among(mixed(first[prefixes] * NEXT + second[prefixes]), hot_pairs)]
     at = np.searchsorted(prefixes, out)
     long = np.flatnonzero(extends)
     return [
