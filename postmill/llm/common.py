@@ -29,10 +29,13 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where it is unset (tests, one machine) a temporary one."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset, a temporary one, on one machine only."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postmill-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="postmill-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
