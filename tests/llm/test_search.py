@@ -76,9 +76,9 @@ def test_candidates_are_abandoned_and_found_in_64_dimensions(spark, monkeypatch)
     ]
     frame = spark.createDataFrame(rows, VECTORS).withColumns({c: vectors.F.lit(1) for c in ("list", "h1", "v", "size")})
     found: dict = {}
-    for r in vectors.nearest(frame, step=5).collect():
+    for r in vectors.nearest(frame, step=50).collect():
         found.setdefault(r.query_id, []).append(r.vec_id)
-    want = brute(rows, 5, 5)
+    want = brute(rows, 50, 5)
     assert found.keys() == want.keys()
     assert sum(len(set(found[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) >= 0.9
     x = vectors.unit(rng.normal(size=(900, 64))).astype(np.float32)
