@@ -39,6 +39,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--write-mode", default="overwrite", choices=("overwrite", "append"))
     one.add_argument("--quarantine-table")
     one.add_argument("--min-rows", type=int, default=1)
+    one.add_argument("--batch", help="id of what is appended; a retry replaces it")
 
     whole = commands.add_parser("build", help="both dumps to gold tables and reports")
     whole.add_argument("posts")
@@ -94,6 +95,7 @@ def main(argv: list[str] | None = None) -> None:
             args.quarantine_table,
             args.min_rows,
             args.fmt,
+            args.batch,
         )
         print(f"{args.table}: {rows} rows")
     elif args.command == "judge":

@@ -38,6 +38,12 @@ def test_the_table_needs_a_database(spark, dumps):
         main(["ingest", "posts", dumps["posts"], "posts"])
 
 
+def test_a_batch_that_is_sent_again(spark, database, dumps):
+    for _ in range(2):
+        main(["ingest", "users", dumps["users"], f"{database}.users", "--write-mode", "append", "--batch", "june"])
+    assert spark.table(f"{database}.users").where("batch_id = 'june'").count() == 6
+
+
 def test_build(spark, database, dumps, capsys):
     main(["build", dumps["posts"], dumps["users"], "--bronze-db", database, "--gold-db", database])
     shown = capsys.readouterr().out
