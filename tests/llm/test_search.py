@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -132,6 +133,69 @@ def test_names_do_not_drop_the_main_text(opening):
     assert pages.main_text(page, {}).split("\n") == want
 
 
+def test_names_that_articles_use_too():
+    body = "".join(f"<p>Sentence number {k} has quite a few words in it.</p>" for k in range(6))
+    inside = (
+        "<p class='social'>Social life of ants.</p><div class='notice-of-results'>Results are noted.</div>"
+        "<section id='related-work'><p>Others did it.</p></section><div class='has-comments'>Remarks on it.</div>"
+    )
+    outside = (
+        "<div class='related-posts'><p>More to read</p></div><div id='cookie-notice'>We use cookies</div><div class='share-buttons'>Share it</div>"
+        "<div class=notice>Site closed</div><ul class='post-comments'><li>Nice post</ul><div class='ad-top'>Buy</div>"
+    )
+    want = [f"Sentence number {k} has quite a few words in it." for k in range(6)]
+    want += ["Social life of ants.", "Results are noted.", "Others did it.", "Remarks on it."]
+    page = f"<body><article>{body}{inside}{outside}</article>"
+    assert pages.main_text(page, {}).split("\n") == want
+    learned = {"name notice": 0.9}  # labelled pages hold such words within their content
+    assert pages.main_text(page, learned).split("\n") == [*want, "Site closed"]
+
+
+def test_weights_decide_on_the_region():
+    first = "".join(f"<p>Sentence number {k} has quite a few words in it.</p>" for k in range(4))
+    page = f"<body><article><section>{first}</section><section><pre>some code of many words here</pre></section></article><div>Rights are reserved by all</div>"
+    both = pages.main_text(page, {})
+    assert both.endswith("some code of many words here") and both.startswith("Sentence")
+    low = {"word pre in": 0.0, "<section> in": 0.0, "</section> in": 0.0, "<pre> in": 0.0}
+    assert "code" not in pages.main_text(page, low) and "number 3" in pages.main_text(page, low)
+    other = {"word p in": 0.0, "word pre in": 0.0, "word div out": 1.0}
+    assert pages.main_text(page, other) == "Rights are reserved by all"
+
+
+def test_learned_shares(spark):
+    body = "<p>Some words of the text.</p><div class='notice'>It was noted here.</div>"
+    rows = [(k, "u", f"<body><div class='related'>Read more of it</div><article>{body}</article>") for k in range(5)]
+    rows += [(9, "u", "<body><p>no mark</p>"), (10, "u", None)]
+    shares = pages.learned(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert shares["name notice"] > 0.9 and shares["name related"] < 0.1
+    assert shares["word p in"] > 0.9 and shares["word p"] > 0.9 and "word p out" not in shares
+
+
+N = 100_000
+
+
+@pytest.mark.parametrize(
+    ("page", "words"),
+    [
+        ("<div>" * N + "</b>" * N + "x", 1),
+        ("<svg>" * (2 * N), 0),
+        ("<span>" * N + "<p>x" * N, N),
+        ("<b>w" * N, 1),
+        ("<" + "a" * (10 * N), 0),
+        ("<div class=related>w " * (N // 4), 1),
+        ("<a href='" * N, 0),
+        ("<ul><li>a" * (N // 2), 1),
+        ("<!-" * N, 0),
+    ],
+    ids=["stray ends", "raw", "paragraphs", "inline", "name", "names", "quotes", "lists", "comments"],
+)
+def test_hostile_pages_take_linear_time(page, words):
+    begin = time.process_time()
+    text = pages.main_text(page, {})
+    assert time.process_time() - begin < 8
+    assert len(text.split()) == words
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- open", "<script>only", "<nav>menu</nav>", "<a title='x>", "</p></div>"])
 def test_pages_without_text(page):
     assert pages.main_text(page, {}) in ("", "<")
