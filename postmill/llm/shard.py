@@ -1,12 +1,13 @@
 """Sharding by a Feistel permutation of global row numbers.
 
-Rows get numbers 0 .. n-1: they are dealt into a fixed number of blocks by hash, numbered inside
-their block, and a block starts where the ones before it end. A Feistel network with cycle walking
+Rows get numbers 0 .. n-1: they are dealt into blocks of some ``BLOCK_ROWS`` rows at most (``BLOCKS`` blocks
+at least) by hash, numbered inside their block, and a block starts where the ones before it end. A Feistel network with cycle walking
 permutes 0 .. n-1; the permuted number p gives ``shard = p mod shards`` and ``slot = p div shards``,
 so both can be computed for any row number, and shard counts are at most one apart (law ``rows``).
 
 Null ids and texts are ordinary values. Equal rows get different numbers; which of them gets which
-makes no difference. An empty table gives no rows.
+makes no difference. Texts of any length count whole, by size and checksum. Columns of any name are carried along in
+one struct; ``shard`` and ``slot`` replace those of the same name. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from .common import packed, text_of, tie_break
 
 SHARDS = 24
 BLOCKS = 4096
+BLOCK_ROWS = 65_536
+WALK = 64
 SEED = 20_240_607
 PRIME = 2_147_483_647
 FACTOR = 48_271
@@ -63,12 +66,14 @@ def permute(number: Column, n: Column, a: Column, b: Column, seed: int = SEED) -
     """The place of row ``number`` of ``n``; a x b >= n is the network's domain.
 
     A value outside 0 .. n-1 is sent through the network again. It leaves the surplus of the domain
-    after as many steps as the surplus has values, at most; only rows that need it walk.
+    after as many steps as the surplus has values, at most; only rows that need it walk. Where the surplus is above
+    ``WALK``, it is less than one in ``WALK`` of the domain, so that many steps are never used up; the job fails if they are.
     """
     keys = round_keys(seed)
     once = _encrypt(number, a, b, keys)
-    surplus = F.sequence(F.lit(1).cast("long"), a * b - n)
+    surplus = F.sequence(F.lit(1).cast("long"), F.least(a * b - n, F.lit(WALK).cast("long")))
     walked = F.aggregate(surplus, once, lambda v, _: F.when(v < n, v).otherwise(_encrypt(v, a, b, keys)))
+    walked = F.when(walked < n, walked).otherwise(F.raise_error(F.lit("a row number still walks outside of the table")).cast("long"))
     return F.when(once < n, once).otherwise(walked)
 
 
@@ -86,10 +91,12 @@ def number_rows(rows: DataFrame, block: str, order: list[str], blocks: int) -> D
     return rows.withColumn("inside", inside).join(F.broadcast(starts), block).withColumn("row_no", F.col("first") + F.col("inside"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, blocks: int = BLOCKS, kept: list[str] | None = None) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, blocks: int | None = None, kept: list[str] | None = None) -> DataFrame:
     """Columns ``row`` (all of ``docs``, or those ``kept``), ``size``, ``text_crc32``, ``row_no``, ``n_rows``, ``shard``, ``slot``."""
     if shards < 1:
         raise ValueError("shards must be 1 or more")
+    if blocks is None:  # they depend on the table alone, as row numbers do on them
+        blocks = max(BLOCKS, -(-docs.count() // BLOCK_ROWS))
     text = F.encode(text_of(), "UTF-8")
     rows = docs.select(
         packed(docs.select(kept or "*")).alias("row"),
