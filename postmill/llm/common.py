@@ -62,6 +62,13 @@ def tie_break(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{name}`") for name in hashable(df)])
 
 
+def row_keys(df: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of all columns; those that no hash takes count by their JSON."""
+    plain = set(hashable(df))
+    columns = [F.col(f"`{name}`") if name in plain else F.to_json(F.struct(F.col(f"`{name}`").alias("c"))) for name in df.columns]
+    return F.xxhash64(F.lit(1), *columns), F.xxhash64(F.lit(2), *reversed(columns))
+
+
 def packed(df: DataFrame) -> Column:
     """The whole row as one struct, out of reach of clashing names."""
     return F.struct(*[F.col(f"`{name}`") for name in df.columns])

@@ -9,10 +9,15 @@ share. The slots of a source are ranked, and the slot of rank r takes the source
 r mod (blocks of the source): one pass over the source, then a second one, never a third. At the end
 the ranks of a source that are over its number are taken back, and those missing are added.
 
+Only two hashes of the row, its source and its size take part in this; they are stored once, so texts are read
+for their words a single time. ``mixture`` joins the rows to their copies in one shuffle at the end.
+
 Targets: 150 % of all words are dealt by the weights 3, 1, 2, 3, .. over the sources in order of
 code points, null last; a target stops at twice its source's size, and what is over is dealt again
 among the others. A null text has no words; documents without words take no part. Equal rows are
-documents of their own. An empty table, or one without a word, gives targets and shares of 0.
+documents of their own; which of them is taken more often is of no account. Texts of any length are counted
+whole, and one longer than a block lies in several. Ties cannot arise but between equal rows, as places come from
+hashes of the whole row. Columns of any name are carried along. An empty table, or one without a word, gives targets and shares of 0.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpoint, packed, text_of, tie_break
+from .common import WORD, checkpoint, packed, row_keys, stored, text_of
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -30,18 +35,20 @@ LEAST_BLOCKS = 64
 BUCKETS = 1024
 CELLS = 4096
 CHUNK = 65_536
-GOLDEN = 0.6180339887498949
+# The fraction of the golden ratio in units of 2^-40.
+UNITS = 1 << 40
+GOLDEN = 679_535_556_991
+HALF = 1 << 20
 
 
-def words_of(docs: DataFrame, seed: int) -> DataFrame:
-    """``row``, ``source``, ``size`` in words, and the shuffled place: ``bucket``, ``place``, ``tie``."""
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
+def words_of(docs: DataFrame, seed: int, kept: tuple[str, ...] = ()) -> DataFrame:
+    """``row`` (two keys of the whole row and the columns ``kept``), ``source``, ``size`` in words, and the place: ``bucket``, ``place``."""
+    first, second = row_keys(docs)
     return docs.select(
-        packed(docs).alias("row"),
+        F.struct(first.alias("k1"), second.alias("k2"), packed(docs.select(*kept)).alias("kept") if kept else F.lit(None).cast("string").alias("kept")).alias("row"),
         F.col("source"),
         F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
-        place.alias("place"),
-        tie_break(docs).alias("tie"),
+        F.xxhash64(F.lit(seed), first, second).alias("place"),
     ).withColumn("bucket", F.pmod("place", F.lit(BUCKETS)))
 
 
@@ -77,10 +84,17 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def golden_point(number: Column) -> Column:
+    """The fraction of ``number`` times the golden ratio, in whole units without overflow, so that it keeps its precision for any number of slots."""
+    low = F.pmod(number, F.lit(HALF)) * GOLDEN
+    high = F.pmod(F.floor(number / HALF) * (GOLDEN % HALF), F.lit(HALF)) * HALF
+    return F.pmod(low + high, F.lit(UNITS)) / F.lit(float(UNITS))
+
+
 def schedule(targets: DataFrame, slots: int) -> DataFrame:
     """(sid, block, times): how often the slots take each block."""
     spark = targets.sparkSession
-    points = spark.range(slots).withColumn("point", F.col("id") * F.lit(GOLDEN) - F.floor(F.col("id") * F.lit(GOLDEN)))
+    points = spark.range(slots).withColumn("point", golden_point(F.col("id")))
     points = points.withColumn("cell", F.floor(F.col("point") * CELLS)).withColumn("chunk", F.floor(F.col("id") / CHUNK))
     # The last interval is open to the right, against sums of shares that end just below 1.
     open_end = F.lead("sid").over(Window.orderBy("sid")).isNull()
@@ -112,9 +126,9 @@ def begin_of(block: str) -> Column:
     return F.expr(f"(cast({block} as decimal(19,0)) * cast(source_size as decimal(19,0))) div cast(n_blocks as decimal(19,0))")
 
 
-def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """Columns ``row`` (all of ``docs``), ``size``, ``source_size``, ``target``, ``taken``, and ``leads`` at the first words of a source."""
-    rows = words_of(docs, seed)
+def mixed(docs: DataFrame, seed: int = 0, kept: tuple[str, ...] = ()) -> DataFrame:
+    """Columns ``row`` (as in ``words_of``), ``size``, ``source_size``, ``target``, ``taken``, and ``leads`` at the first words of a source."""
+    rows = stored(words_of(docs, seed, kept))
     sums = checkpoint(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")))
     targets = checkpoint(source_targets(sums.groupBy("source").agg(F.sum("size").alias("size"))))
     times = schedule(targets, targets.agg(F.sum("slots")).first()[0] or 0)
@@ -125,7 +139,7 @@ def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     offsets = offsets.withColumnRenamed("bucket", "b")
     sids = targets.select(F.col("source").alias("s"), F.col("sid").alias("i"))
     rows = rows.join(sids, F.equal_null("source", "s")).drop("source", "s")
-    running = F.sum("size").over(Window.partitionBy("i", "bucket").orderBy("place", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = F.sum("size").over(Window.partitionBy("i", "bucket").orderBy("place", "row.k1", "row.k2").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("running", running).join(offsets, (F.col("i") == F.col("sid")) & (F.col("bucket") == F.col("b")))
     rows = rows.select("row", "sid", "size", "source_size", "target", "n_blocks", (F.col("offset") + F.col("running") - F.col("size")).alias("start"))
 
@@ -145,11 +159,17 @@ def mixture(docs: DataFrame, seed: int = 0) -> DataFrame:
     The first document of a source stays once at least, so no source is lost by rounding.
     """
     copies = F.greatest(F.round(F.col("taken") / F.col("size")), F.when(F.col("leads"), 1).otherwise(0)).cast("int")
-    picked = mixed(docs, seed).where(F.col("taken") > 0).where(copies > 0)
-    repeated = picked.select("row", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
+    chosen = mixed(docs, seed).select("row.k1", "row.k2", F.when(F.col("taken") > 0, copies).otherwise(0).alias("copies"))
+    # Equal rows share their keys: together they get the copies of all of them.
+    chosen = chosen.groupBy("k1", "k2").agg(F.sum("copies").alias("copies"), F.count("*").alias("equals")).where(F.col("copies") > 0)
+    first, second = row_keys(docs)
+    rows = docs.select(packed(docs).alias("row"), first.alias("k1"), second.alias("k2"))
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))).join(chosen, ["k1", "k2"])
+    times = F.floor(F.col("copies") / F.col("equals")) + F.when(F.col("at") <= F.col("copies") % F.col("equals"), 1).otherwise(0)
+    repeated = rows.withColumn("times", times).where(F.col("times") > 0).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     return repeated.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 
 def op5(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", "source", "text")
-    return mixed(slim).select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixed(slim, kept=("doc_id",)).select(F.col("row.kept.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")

@@ -113,6 +113,57 @@ def test_mix_meets_targets(docs):
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mix.op5(docs.repartition(5)).collect()), key=str)
 
 
+def taken_words(rows: list[tuple], wanted: dict) -> dict:
+    """{key: words} by a plain schedule, from (key, source, size, place), word by word."""
+    order = sorted(wanted, key=lambda s: (s is None, s or ""))
+    words = {s: [r[0] for r in sorted((x for x in rows if x[1] == s), key=lambda x: (x[3] % mix.BUCKETS, x[3], x[0])) for _ in range(r[2])] for s in order}
+    n_blocks = {s: max(-(-len(w) // mix.BLOCK), min(len(w), mix.LEAST_BLOCKS)) for s, w in words.items()}
+    due = {s: max(round(wanted[s] / len(words[s]) * n_blocks[s]), 1) if words[s] else 0 for s in order}
+    whole, ends, total = sum(due.values()), [], 0
+    for s in order:
+        total += due[s]
+        ends.append(total / whole)
+    dealt: Counter = Counter()
+    for k in range(whole):
+        point = k * mix.GOLDEN % mix.UNITS / mix.UNITS
+        dealt[next((s for s, end in zip(order, ends, strict=True) if point < end), order[-1])] += 1
+    assert all(abs(dealt[s] - due[s]) <= 8 for s in order)  # the schedule itself is near
+    found: Counter = Counter()
+    for s in order:
+        for rank in range(due[s]):
+            block, w = rank % n_blocks[s], words[s]
+            found.update(w[block * len(w) // n_blocks[s] : (block + 1) * len(w) // n_blocks[s]])
+    return found
+
+
+def test_taken_words_are_those_of_a_plain_schedule(docs):
+    slim = docs.where("text is not null").select("doc_id", "source", "text")
+    rows = [((r.row.k1, r.row.k2), r.source, r["size"], r.place) for r in mix.words_of(slim, 0).collect()]
+    sizes: Counter = Counter()
+    for _, source, size, _ in rows:
+        sizes[source] += size
+    want = taken_words(rows, targets(sizes))
+    got: Counter = Counter()
+    for r in mix.mixed(slim).collect():
+        got[(r.row.k1, r.row.k2)] += r.taken
+    assert got == want
+
+
+def test_golden_points_keep_their_precision(spark):
+    numbers = [0, 1, 2, 3, 10**6, (1 << 40) - 1, 10**12 + 7, 1 << 60]
+    found = spark.createDataFrame([(n,) for n in numbers], "n long").select(mix.golden_point(mix.F.col("n")).alias("p")).collect()
+    assert [r.p for r in found] == [n * mix.GOLDEN % mix.UNITS / mix.UNITS for n in numbers]
+
+
+def test_equal_rows_share_their_copies(spark):
+    rows = [(None, "same words in each of them", "a", {"k": 1})] * 40 + [(k, f"other text {k} of five", "b", {"k": k}) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string,int>")
+    copies: Counter = Counter(r.text for r in mix.mixture(docs).collect())
+    taken = sum(r.taken for r in mix.op5(docs).collect() if r.doc_id is None)
+    assert abs(copies["same words in each of them"] - taken / 6) <= 20
+    assert all(n <= 2 for text, n in copies.items() if text.startswith("other"))
+
+
 def test_small_sources_keep_their_targets(spark):
     sizes = {f"s{k:03}": (30, 50, 100, 7, 1, 65)[k % 6] for k in range(120)} | {"big": 4000}
     rows = [(k * 1000 + j, "w " * (n // 4 + (j < n % 4)), s) for k, (s, n) in enumerate(sizes.items()) for j in range(4)]
