@@ -15,12 +15,15 @@ never paired. The Jaccard distance is a metric. The join goes by regions around
    pairing among themselves, as only components are asked for. Pairs whose distances to the pivot
    differ by more than 0.25 can't link. What isn't joined to the region's largest component becomes
    a pivot itself, again and again, until all are joined or compared: this finds every component.
-3. Regions of more than ``REGION`` classes are split into parts that each hold the pivot. A second
+3. Regions of more than ``REGION`` classes or ``REGION_BYTES`` of texts and shingles are split into parts that each
+   hold the pivot. A second
    join compares what the parts left outside the largest component with rings of members by
    distance to the pivot, as far as the window of 0.25 reaches, block by block.
 
 Null and empty texts have no shingles and link with nothing. A text of one to four words is one
-shingle. Repeated rows fall into one class.
+shingle. Repeated rows fall into one class. Of documents that tie, those with an id come first, then the smallest
+id, then a hash of the whole row. Texts of any length are compared whole, and a text longer than a part has one
+almost to itself. An empty table gives no rows; columns of any name are carried along in one struct.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from .words import NOT_SPACE, Words, mixed, named, slices, words
 GRAM = 5
 PERCENT = 75
 REGION = 2000
+REGION_BYTES = 64 << 20
 SIGNATURE = 192
 SHARED = 93
 BUCKETS, CLASS_BUCKETS = 256, 64  # at least; both follow the number of shuffle partitions
@@ -257,10 +261,10 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return _chosen(rows, wanted).drop("doc_id", "tie")
 
 
-def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> DataFrame:
+def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION, size: int = REGION_BYTES) -> DataFrame:
     """Links (u, v) of classes whose components are those of all linked pairs.
 
-    ``classes`` holds each class with ``rep``, the doc_id and tie of the row that stands for it.
+    ``classes`` holds each class with its ``weight`` in bytes and ``rep``, the doc_id and tie of the row that stands for it.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -271,11 +275,14 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> Da
     )
     # A class lies in one bucket, so its regions are distinct.
     pairs = checkpoint(shared.groupBy("bucket").applyInArrow(_placed, "pivot long, class long"))
-    parts = pairs.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / region).cast("int").alias("parts"))
-    parts = checkpoint(parts)
+    weights = classes.select(F.col("class").alias("w_class"), "weight")
+    weighed = pairs.join(weights, F.col("class") == F.col("w_class"))
+    needed = F.greatest(F.ceil((F.count("*") + 1) / region), F.ceil(F.sum("weight") / size))
+    parts = checkpoint(weighed.groupBy("pivot").agg(needed.cast("int").alias("parts")))
     members = pairs.join(parts, "pivot").select("pivot", "class", F.array(F.pmod(F.xxhash64("class"), "parts").cast("int")).alias("part"))
     pivots = parts.select("pivot", F.col("pivot").alias("class"), F.sequence(F.lit(0), F.col("parts") - 1).alias("part"))
     placed = members.union(pivots).select("pivot", "class", F.explode("part").alias("part"))
+    classes = classes.drop("weight")
     rows = _texts_of(docs, placed.join(classes, "class")).select("pivot", "part", "class", "_text")
     inside = checkpoint(rows.groupBy("pivot", "part").applyInArrow(_within, "pivot long, class long, root long, distance double"))
     links = inside.select(F.col("class").alias("u"), F.col("root").alias("v")).where("u != v").distinct()
@@ -288,14 +295,15 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> Da
     width = 1 - PERCENT / 100
     held = inside.join(large.select("pivot"), "pivot", "left_semi").groupBy("pivot", "class").agg(F.min("distance").alias("distance"))
     held = held.join(known, F.col("class") == F.col("id"), "left").select("pivot", "class", "distance", F.coalesce("root", "class").alias("root"))
-    sizes = held.groupBy("pivot", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("pivot").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("total"))
+    held = held.join(weights, F.col("class") == F.col("w_class")).drop("w_class")
+    sizes = held.groupBy("pivot", "root").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes"))
+    largest = sizes.groupBy("pivot").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("total"), F.sum("bytes").alias("bytes"))
     ring = F.least(F.floor(F.col("distance") / width), F.lit(int(1 / width))).cast("int")
     held = checkpoint(
         held.join(largest, "pivot")
         .withColumn("left_over", F.col("root") != F.col("main"))
         .withColumn("ring", ring)
-        .withColumn("cells", F.ceil(2 * F.col("total") / region).cast("int"))
+        .withColumn("cells", F.greatest(F.ceil(2 * F.col("total") / region), F.ceil(2 * F.col("bytes") / size)).cast("int"))
     )
     cell = F.pmod(F.xxhash64("class"), "cells").cast("int")
     cells = F.sequence(F.lit(0), F.col("cells") - 1)
@@ -316,21 +324,21 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION) -> Da
 
 
 def _ids(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, n, class), written once."""
-    rows = docs.select("doc_id", tie_break(docs).alias("tie"), F.col("text").alias("_text"))
+    """(doc_id, tie, bytes, n, class), written once."""
+    rows = docs.select("doc_id", tie_break(docs).alias("tie"), F.octet_length("text").alias("bytes"), F.col("text").alias("_text"))
     return checkpoint(classified(rows))
 
 
-def grouped(docs: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, region: int = REGION, size: int = REGION_BYTES) -> tuple[DataFrame, DataFrame]:
     """The ids of all documents, and for each class its component's first document: (c, root, rep)."""
     bounded_batches(docs.sparkSession)
     ids = _ids(docs)
     full = ids.where(F.col("n") > 0)
     # A row without an id stands for others only where none has one.
     ranked = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tie")
-    classes = full.groupBy("class").agg(F.min(ranked).alias("least"))
-    classes = checkpoint(classes.select("class", F.struct("least.doc_id", "least.tie").alias("rep"), "least"))
-    links = class_links(docs, classes.select("class", "rep"), region)
+    classes = full.groupBy("class").agg(F.min(ranked).alias("least"), F.max(F.col("bytes") + 8 * F.col("n")).alias("weight"))
+    classes = checkpoint(classes.select("class", F.struct("least.doc_id", "least.tie").alias("rep"), "least", "weight"))
+    links = class_links(docs, classes.select("class", "rep", "weight"), region, size)
     roots = components(links)
     labelled = checkpoint(classes.join(roots, F.col("class") == F.col("id"), "left").select("class", "least", F.coalesce("root", "class").alias("root")))
     # Stored apart, so that the classes of a giant component do not have to meet its one row in one task.
@@ -338,18 +346,18 @@ def grouped(docs: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame
     return ids, checkpoint(labelled.select("class", "root").join(first, F.col("root") == F.col("r")).select(F.col("class").alias("c"), "root", "rep"))
 
 
-def near_duplicates(docs: DataFrame, region: int = REGION) -> DataFrame:
+def near_duplicates(docs: DataFrame, region: int = REGION, size: int = REGION_BYTES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    ids, groups = grouped(docs, region)
+    ids, groups = grouped(docs, region, size)
     full = ids.where(F.col("n") > 0).join(groups, F.col("class") == F.col("c"))
     found = full.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep.doc_id").alias("component_id"))
     alone = ids.where(F.col("n") == 0).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.union(alone)
 
 
-def deduplicated(docs: DataFrame, region: int = REGION) -> DataFrame:
+def deduplicated(docs: DataFrame, region: int = REGION, size: int = REGION_BYTES) -> DataFrame:
     """One document of each component, that of the smallest id; documents without words all stay."""
-    ids, groups = grouped(docs, region)
+    ids, groups = grouped(docs, region, size)
     first = groups.select("rep").union(ids.where(F.col("n") == 0).select(F.struct("doc_id", "tie").alias("rep"))).distinct()
     rows = docs.select(packed(docs).alias("row"), "doc_id", tie_break(docs).alias("tie"), (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) > 0).alias("full"))
     kept = _chosen(rows, first)

@@ -228,6 +228,21 @@ def test_near_duplicates_are_exact(docs, region):
     assert found == components(documents())
 
 
+def test_regions_are_bounded_by_bytes(spark, monkeypatch):
+    """Few but long texts: parts and blocks by their bytes, with the same groups."""
+    base, other = sentence(21, 1500), sentence(22, 40)
+    rows = [(k, changed(base, k, 1 + 9 * k)) for k in range(24)] + [(100 + k, base[:4000] + " " + sentence(300 + k, 900)) for k in range(8)]
+    rows += [(200 + k, changed(other, k, k)) for k in range(4)] + [(300, None), (301, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    placed = jaccard._texts_of
+    monkeypatch.setattr(jaccard, "_texts_of", lambda docs, wanted: seen.append(wanted) or placed(docs, wanted))
+    found = jaccard.near_duplicates(frame, size=100_000).collect()
+    assert sorted(map(tuple, found), key=str) == components(rows)
+    per_part = seen[0].groupBy("pivot", "part").count().agg({"count": "max"}).first()[0]
+    assert seen[0].agg({"part": "max"}).first()[0] >= 2 and per_part < 24 and len(seen) == 2
+
+
 def test_a_linked_row_without_an_id_stands_for_nothing(spark):
     """Copies and near copies with null ids take the smallest id that there is; one without any has none."""
     base, other = documents()[0][1], documents()[12][1]
