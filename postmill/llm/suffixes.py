@@ -1,17 +1,22 @@
 """Benchmark decontamination by training suffix arrays.
 
-Each shard of the training texts gets a suffix array over its words: the places where a test suffix
-can begin, sorted by the ten words that follow. Every suffix of every benchmark item is looked up
-in it by binary search, which gives all its verbatim occurrences and, along runs of consecutive
-suffixes, the longest match and its place. A window is ten consecutive words of an item (an item of
-fewer is one window); a document word inside any occurrence of a window is hit.
-
-The benchmark is not bounded, so it is taken in blocks of about ``BLOCK_BYTES`` of text; each block
-is one pass over the texts, whose hits are carried along as bits. Documents are never shuffled.
-
-Null and empty texts have no words and no hits. Repeated items count by their id; items without an
-id hit words, but are not named. Words are runs of ASCII letters and digits and of all other
-characters beyond ASCII; A-Z count as a-z.
+Each shard of the training texts gets a suffix array over its words: every place whose word the
+benchmark knows at all (no other can begin a match), sorted by the words that follow. Every suffix of
+every benchmark item, down to its last word, is looked up in it by binary search. Windows, the suffixes
+of ten words and more and whole shorter items, so find all their verbatim occurrences; a document word
+inside any of them is hit. The neighbours of a place among the looked-up suffixes give the longest
+match there of up to ten words, and windows found at consecutive places give the longer ones.
+
+The benchmark is not bounded, so it is taken in blocks of about ``BLOCK_BYTES`` of distinct texts;
+equal items are searched once. Each block is one pass over the texts, whose hits are carried along as
+bits. After ``BLOCKS_HELD`` blocks the rows are stored and the blocks released. Documents are never
+shuffled, and texts of any length are read whole, one shard for each that is longer than a shard.
+
+Null and empty texts have no words and no hits, and so do all texts if the benchmark is empty; an empty
+table gives no rows. Repeated items count by their id; items without an id hit words, but are not named.
+Repeated documents are judged each. Of equally long longest matches the first of the text counts, and of
+items that hold it any one, null where it has no id. Clashing column names are out of reach in the packed
+row. Words are runs of ASCII letters and digits and of all other characters beyond ASCII; A-Z count as a-z.
 """
 
 from __future__ import annotations
@@ -25,22 +30,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, packed, text_of
+from .common import bounded_batches, checkpoint, packed, stored, text_of
 from .words import ALPHANUMERIC, named, slices, text_in, words
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+BLOCKS_HELD = 8
 STATE = "n_words long, hits binary, items array<string>, longest long, longest_at long, longest_item string"
 
+Item = tuple[list[str], str]
+
 
 class Index(NamedTuple):
-    """Unique windows of a block of items, as rows of word ranks; rank 0 is no test word."""
+    """The distinct suffixes of a block of items, in order, by their first ten words.
+
+    Words are ranks in the vocabulary, 0 after the end. ``places[first[s]:first[s + 1]]`` are the places of
+    suffix s in the items, ``owner`` the item of each of these, ``window`` the length of the window that the
+    suffix is, 0 if it is none, and ``begins`` the place where each item begins.
+    """
 
     vocabulary: np.ndarray
-    windows: np.ndarray
-    lengths: np.ndarray
-    firsts: np.ndarray
-    owners: list[list[tuple[str | None, int]]]
+    suffixes: np.ndarray
+    first: np.ndarray
+    places: np.ndarray
+    owner: np.ndarray
+    window: np.ndarray
+    begins: np.ndarray
+    names: list[list[str]]
+
+    def owners(self, suffix: int) -> np.ndarray:
+        return self.owner[self.first[suffix] : self.first[suffix + 1]]
 
 
 def pairs_of(ranks: np.ndarray) -> np.ndarray:
@@ -48,75 +67,149 @@ def pairs_of(ranks: np.ndarray) -> np.ndarray:
     return (ranks[:, 0::2].astype(np.uint64) << np.uint64(32)) | ranks[:, 1::2].astype(np.uint64)
 
 
-def index_of(items: list[tuple[str | None, str | None]]) -> Index:
-    w = words(pa.array([text or "" for _, text in items], pa.string()), ALPHANUMERIC)
-    vocabulary = np.unique(w.hash)
-    rank = np.searchsorted(vocabulary, w.hash) + 1
-    known: dict[tuple[int, ...], list[tuple[str | None, int]]] = {}
-    for (name, _), a, b in zip(items, w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
-        size = min(WINDOW, b - a)
-        for p in range(a, b - size + 1) if size else ():
-            known.setdefault(tuple(rank[p : p + size].tolist()), []).append((name, p - a))
-    table = np.zeros((len(known), WINDOW), dtype=np.int64)
-    for row, key in zip(table, known, strict=True):
-        row[: len(key)] = key
-    lengths = np.array([len(key) for key in known], dtype=np.int64)
-    second = np.where(lengths > 1, table[:, 1], 0) if len(known) else np.zeros(0, np.int64)
-    firsts = np.unique(table[:, 0] * (len(vocabulary) + 1) + second)
-    return Index(vocabulary, table, lengths, firsts, list(known.values()))
+def suffix_array(ranks: np.ndarray) -> np.ndarray:
+    """All places of words but 0, ordered by the words up to the next 0, of which WINDOW count at least.
+
+    By doubling: places named by d words each are ordered by two such names.
+    """
+    places = np.flatnonzero(ranks)
+    name, depth, order = ranks.astype(np.int64), 1, np.zeros(0, np.int64)
+    while depth < WINDOW:
+        follows = np.zeros_like(name)
+        follows[:-depth] = name[depth:]
+        key = (name * (int(name.max(initial=0)) + 1) + follows)[places]
+        order = np.argsort(key)
+        key = key[order]
+        name = np.zeros_like(name)
+        name[places[order]] = np.cumsum(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
+        depth *= 2
+    return places[order]
+
+
+def following(ranks: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The WINDOW words from each place, 0 from the first 0 on; ``ranks`` ends with WINDOW zeros."""
+    table = np.empty((len(places), WINDOW), dtype=np.int32)
+    open_ = np.ones(len(places), bool)
+    for column in range(WINDOW):
+        word = ranks[places + column]
+        open_ &= word > 0
+        table[:, column] = np.where(open_, word, 0)
+    return table
+
+
+def index_of(items: list[Item]) -> Index:
+    w = words(pa.array([text for _, text in items], pa.string()), ALPHANUMERIC)
+    vocabulary, rank = np.unique(w.hash, return_inverse=True)
+    # WINDOW zeros after each item keep matches of neighbours apart.
+    at = np.arange(len(w.hash)) + w.doc() * WINDOW
+    ranks = np.zeros(len(w.hash) + (len(items) + 1) * WINDOW, dtype=np.int64)
+    ranks[at] = rank + 1
+    places = suffix_array(ranks)
+    table = following(ranks, places)
+    new = np.concatenate(([True], (table[1:] != table[:-1]).any(axis=1)))[: len(places)]
+    first = np.flatnonzero(new)
+    begins = w.first[:-1] + np.arange(len(items)) * WINDOW
+    owner = np.searchsorted(begins, places, "right") - 1
+    length = (table > 0).sum(axis=1)
+    window = np.where((length == WINDOW) | (begins[owner] == places), length, 0)
+    window = np.maximum.reduceat(window, first) if len(first) else window
+    return Index(vocabulary, table[first], np.append(first, len(places)), places, owner, window, begins, [names for names, _ in items])
 
 
 def _bound(columns: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np.ndarray:
     """For each wanted row the first place of the sorted rows that is not below it (or is above it)."""
-    n = len(wanted[0])
-    lo, hi = np.zeros(n, np.int64), np.full(n, len(columns[0]), np.int64)
-    while (open_ := lo < hi).any():
-        middle = np.where(open_, (lo + hi) // 2, 0)
-        below, equal = np.zeros(n, bool), np.ones(n, bool)
-        for column, value in zip(columns, wanted, strict=True):
-            have = column[middle]
-            below |= equal & (have < value)
-            equal &= have == value
-        go = open_ & (below | equal if after else below)
-        lo, hi = np.where(go, middle + 1, lo), np.where(open_ & ~go, middle, hi)
+    lo = np.searchsorted(columns[0], wanted[0], "left")
+    hi = np.searchsorted(columns[0], wanted[0], "right")
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        middle = (lo[open_] + hi[open_]) // 2
+        below, equal = np.zeros(len(open_), bool), np.ones(len(open_), bool)
+        for column, value in zip(columns[1:], wanted[1:], strict=True):
+            have, want = column[middle], value[open_]
+            below |= equal & (have < want)
+            equal &= have == want
+        go = below | equal if after else below
+        lo[open_[go]], hi[open_[~go]] = middle[go] + 1, middle[~go]
     return lo
 
 
-def occurrences(ranks: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """(window, place) of every occurrence; ``ranks`` ends with WINDOW zeros and has one after each text."""
-    size = len(index.vocabulary) + 1
-    # The suffix array holds the places whose first word or two begin a window.
-    known = np.flatnonzero(ranks[: len(ranks) - WINDOW])
-    two, one = ranks[known] * size + ranks[known + 1], ranks[known] * size
-    begins = lambda code: index.firsts[np.minimum(np.searchsorted(index.firsts, code), len(index.firsts) - 1)] == code
-    place = known[begins(two) | begins(one)] if len(index.firsts) else known[:0]
-    if not len(place):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = pairs_of(ranks[place[:, None] + np.arange(WINDOW)])
-    order = np.lexsort([keys[:, c] for c in range(keys.shape[1] - 1, -1, -1)])
-    suffixes, columns = place[order], [keys[order, c] for c in range(keys.shape[1])]
-    low = pairs_of(index.windows)
-    padded = np.where(np.arange(WINDOW) < index.lengths[:, None], index.windows, (1 << 32) - 1)
-    high = pairs_of(padded)
-    first = _bound(columns, [low[:, c] for c in range(low.shape[1])], after=False)
-    last = _bound(columns, [high[:, c] for c in range(high.shape[1])], after=True)
-    count = np.maximum(last - first, 0)
-    at = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-    return np.repeat(np.arange(len(count)), count), suffixes[at]
-
-
-def _longest(window: np.ndarray, at: np.ndarray, index: Index) -> tuple[int, int, str | None]:
-    """Length, place and item of the longest run of matches that go on word by word."""
-    runs: dict[tuple[str | None, int], tuple[int, int]] = {}
-    best: tuple[int, int, str | None] = (0, -1, None)
-    for w, p in sorted(zip(window.tolist(), at.tolist(), strict=True), key=lambda x: x[1]):
-        for name, q in index.owners[w]:
-            begun, last = runs.get((name, p - q), (p, p))
-            begun = begun if p - last <= 1 else p
-            runs[(name, p - q)] = (begun, p)
-            length = p - begun + int(index.lengths[w])
-            if length > best[0]:
-                best = (length, begun, name)
+def _columns(table: np.ndarray) -> list[np.ndarray]:
+    keys = pairs_of(table)
+    return [np.ascontiguousarray(keys[:, c]) for c in range(keys.shape[1])]
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many first words rows have in common."""
+    out, open_ = np.zeros(len(a), np.int64), np.ones(len(a), bool)
+    for column in range(WINDOW):
+        open_ &= (a[:, column] == b[:, column]) & (a[:, column] > 0)
+        out += open_
+    return out
+
+
+class Matches(NamedTuple):
+    """Occurrences of windows (suffix, place), and for each place with a known word its longest match of up to WINDOW words."""
+
+    suffix: np.ndarray
+    place: np.ndarray
+    known: np.ndarray
+    length: np.ndarray
+    nearest: np.ndarray
+
+
+def matches(ranks: np.ndarray, index: Index) -> Matches:
+    """``ranks`` ends with WINDOW zeros and has a zero after each text."""
+    known = suffix_array(ranks)
+    if not len(known):
+        return Matches(*[np.zeros(0, np.int64)] * 5)
+    table = following(ranks, known)
+    columns, low = _columns(table), _columns(index.suffixes)
+    begin = _bound(columns, low, after=False)
+
+    # Windows: from there to the last place that begins with all of their words.
+    own = np.flatnonzero(index.window)
+    inside = np.arange(WINDOW) < index.window[own][:, None]
+    high = _columns(np.where(inside, index.suffixes[own], np.iinfo(np.int32).max))
+    count = np.maximum(_bound(columns, high, after=True) - begin[own], 0)
+    at = np.repeat(begin[own] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+
+    # The longest match of a place is with a neighbour of it among the suffixes.
+    after = np.searchsorted(begin, np.arange(len(known)), "right")
+    last = len(index.suffixes) - 1
+    left, right = np.maximum(after - 1, 0), np.minimum(after, last)
+    with_left, with_right = _common(table, index.suffixes[left]), _common(table, index.suffixes[right])
+    nearest = np.where(with_left >= with_right, left, right)
+    return Matches(np.repeat(own, count), known[at], known, np.maximum(with_left, with_right), nearest)
+
+
+def _run(suffix: np.ndarray, index: Index) -> tuple[int, int, int]:
+    """Length, first step and item of the longest match within full windows found at consecutive places."""
+    count = index.first[suffix + 1] - index.first[suffix]
+    step = np.repeat(np.arange(len(suffix)), count)
+    entry = np.repeat(index.first[suffix] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+    line = index.places[entry] - step
+    order = np.lexsort((step, line))
+    step, line, entry = step[order], line[order], entry[order]
+    breaks = np.flatnonzero(np.concatenate(([True], (line[1:] != line[:-1]) | (step[1:] != step[:-1] + 1))))
+    length = np.diff(np.append(breaks, len(step))) + WINDOW - 1
+    best = np.lexsort((step[breaks], -length))[0]
+    return int(length[best]), int(step[breaks[best]]), int(index.owner[entry[breaks[best]]])
+
+
+def _longest(suffix: np.ndarray, at: np.ndarray, index: Index) -> tuple[int, int, int]:
+    """Length, place and item of the longest match of WINDOW words or more in one text."""
+    full = index.window[suffix] == WINDOW
+    order = np.argsort(at[full], kind="stable")
+    suffix, at = suffix[full][order], at[full][order]
+    breaks = np.flatnonzero(np.diff(at) != 1) + 1
+    best, seen = (0, -1, -1), set()
+    for run, where in zip(np.split(suffix, breaks), np.split(at, breaks), strict=True):
+        # A run that cannot be longer, or that came before, needs no look.
+        if len(run) + WINDOW - 1 <= best[0] or not len(run) or (key := run.tobytes()) in seen:
+            continue
+        seen.add(key)
+        length, step, item = _run(run, index)
+        if length > best[0]:
+            best = (length, int(where[step]), item)
     return best
 
 
@@ -130,56 +223,85 @@ def _search(index, first: bool):
     return search
 
 
+KIND = pa.struct([("n_words", pa.int64()), ("hits", pa.binary()), ("items", pa.list_(pa.string())), ("longest", pa.int64()), ("longest_at", pa.int64()), ("longest_item", pa.string())])
+
+
 def _searched(part: pa.RecordBatch, index: Index, first: bool) -> pa.RecordBatch:
     w = words(text_in(part), ALPHANUMERIC)
     n_docs, doc = part.num_rows, w.doc()
-    # One zero after each text keeps a window inside it.
+    # One zero after each text keeps a match inside it.
     ranks = np.zeros(len(w.hash) + n_docs + WINDOW, dtype=np.int64)
     if len(index.vocabulary) and len(w.hash):
         at = np.minimum(np.searchsorted(index.vocabulary, w.hash), len(index.vocabulary) - 1)
         ranks[np.arange(len(w.hash)) + doc] = np.where(index.vocabulary[at] == w.hash, at + 1, 0)
-    window, place = occurrences(ranks, index)
+    found = matches(ranks, index)
     starts = w.first[:-1] + np.arange(n_docs)
-    owner = np.searchsorted(starts, place, "right") - 1
-    order = np.argsort(owner, kind="stable")
-    window, place, owner = window[order], place[order], owner[order]
     sizes = np.diff(w.first)
+
+    # Of each text the longest match of up to WINDOW words, the first of them.
+    owner = np.searchsorted(starts, found.known, "right") - 1
+    order = np.lexsort((found.known, -found.length, owner))
+    top = order[np.unique(owner[order], return_index=True)[1]]
+    short = dict(zip(owner[top].tolist(), zip(found.length[top].tolist(), found.known[top].tolist(), found.nearest[top].tolist(), strict=True), strict=True))
+
+    owner = np.searchsorted(starts, found.place, "right") - 1
+    order = np.argsort(owner, kind="stable")
+    suffix, place, owner = found.suffix[order], found.place[order], owner[order]
+    cut = np.searchsorted(owner, np.arange(n_docs + 1))
     old = None if first else named(part, "state")
+    name = lambda item: min(index.names[item], default=None)
     rows = []
-    cut = np.searchsorted(owner, np.arange(n_docs + 1))
     for d in range(n_docs):
         a, b = cut[d], cut[d + 1]
-        before = None if old is None else old[d].as_py()
-        if a == b:
-            rows.append(before or {"n_words": int(sizes[d]), "hits": None, "items": [], "longest": 0, "longest_at": None, "longest_item": None})
-            continue
-        own, at = window[a:b], place[a:b] - starts[d]
-        hit = np.zeros(int(sizes[d]) + 1, dtype=np.int64)
-        np.add.at(hit, at, 1)
-        np.add.at(hit, at + index.lengths[own], -1)
-        bits = np.packbits(np.cumsum(hit[:-1]) > 0)
-        items = {name for k in np.unique(own) for name, _ in index.owners[k] if name is not None}
-        longest, where, item = _longest(own, at, index)
-        if before and before["hits"] is not None:
-            bits |= np.frombuffer(before["hits"], dtype=np.uint8)
-            items |= set(before["items"])
-            if before["longest"] >= longest:
-                longest, where, item = before["longest"], before["longest_at"], before["longest_item"]
-        rows.append({"n_words": int(sizes[d]), "hits": bits.tobytes(), "items": sorted(items), "longest": longest, "longest_at": where, "longest_item": item})
-    kind = pa.struct([("n_words", pa.int64()), ("hits", pa.binary()), ("items", pa.list_(pa.string())), ("longest", pa.int64()), ("longest_at", pa.int64()), ("longest_item", pa.string())])
+        row = {"n_words": int(sizes[d]), "hits": None, "items": [], "longest": 0, "longest_at": None, "longest_item": None} if old is None else old[d].as_py()
+        own, at = suffix[a:b], place[a:b] - starts[d]
+        length, where, item = _longest(own, at, index) if a < b else (0, -1, -1)
+        if d in short and short[d][0] > length:
+            length, where = short[d][0], short[d][1] - int(starts[d])
+            item = int(index.owners(short[d][2])[0])
+        if length > row["longest"] or length and length == row["longest"] and where < row["longest_at"]:
+            row |= {"longest": length, "longest_at": where, "longest_item": name(item)}
+        if a < b:
+            hit = np.zeros(int(sizes[d]) + 1, dtype=np.int64)
+            np.add.at(hit, at, 1)
+            np.add.at(hit, at + index.window[own], -1)
+            bits = np.packbits(np.cumsum(hit[:-1]) > 0)
+            if row["hits"] is not None:
+                bits |= np.frombuffer(row["hits"], dtype=np.uint8)
+            row["hits"] = bits.tobytes()
+            row["items"] = sorted(set(row["items"]).union(*(index.names[i] for i in _owners(own, index))))
+        rows.append(row)
     names = [name for name in part.schema.names if name != "state"]
-    return pa.RecordBatch.from_arrays([named(part, name) for name in names] + [pa.array(rows, kind)], names=[*names, "state"])
+    return pa.RecordBatch.from_arrays([named(part, name) for name in names] + [pa.array(rows, KIND)], names=[*names, "state"])
+
 
+def _owners(suffix: np.ndarray, index: Index) -> list[int]:
+    """The items that have one of the suffixes as a window.
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str | None]]]:
-    """The items, in lists of about ``limit`` bytes."""
+    A short item is one as a whole, though another may end with the same words.
+    """
+    found: set[int] = set()
+    for s in np.unique(suffix).tolist():
+        entries = slice(index.first[s], index.first[s + 1])
+        own = index.owner[entries]
+        found.update(own.tolist() if index.window[s] == WINDOW else own[index.places[entries] == index.begins[own]].tolist())
+    return list(found)
+
+
+def distinct_items(benchmark: DataFrame) -> DataFrame:
+    """(names, text): each text once, with the ids of all its items."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), text_of().alias("text"))
-    items = items.where(F.col("text") != "")
+    return items.where(F.col("text") != "").groupBy("text").agg(F.array_sort(F.collect_set("item")).alias("names"))
+
+
+def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[Item]]:
+    """The distinct items, in lists of about ``limit`` bytes; one block at a time is on the driver."""
+    items = checkpoint(distinct_items(benchmark))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-total // limit))
-    numbered = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(count)))
     for block in range(count):
-        yield [(row.item, row.text) for row in numbered.where(F.col("block") == block).collect()]
+        yield sorted((row.names, row.text) for row in numbered.where(F.col("block") == block).collect())
 
 
 def _summed(state: pa.ChunkedArray | pa.Array) -> tuple[list, list, list]:
@@ -208,9 +330,15 @@ def searched(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES, ke
     rows = docs.select(packed(docs.select(kept or "*")).alias("row"), *texts)
     shape = f"row {rows.schema['row'].dataType.simpleString()}"
     text = "_text string, " if kept else ""
+    held: list = []
     for number, items in enumerate(blocks(benchmark, limit)):
-        index = spark.sparkContext.broadcast(index_of(items))
-        rows = rows.mapInArrow(_search(index, number == 0), f"{shape}, {text}state struct<{_fields(STATE)}>")
+        if len(held) == BLOCKS_HELD:
+            rows = stored(rows)
+            for index in held:
+                index.destroy()
+            held = []
+        held.append(spark.sparkContext.broadcast(index_of(items)))
+        rows = rows.mapInArrow(_search(held[-1], number == 0), f"{shape}, {text}state struct<{_fields(STATE)}>")
     digest = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest long, longest_at long, longest_item string"
     return rows.drop("_text").mapInArrow(_digested, f"{shape}, {digest}").withColumn("contaminated", F.col("n_hit") > 0)
 

@@ -174,6 +174,51 @@ def test_decontamination_is_exact(spark, docs, limit):
     assert clean.columns[-2:] == ["state", "row"] and clean.count() == sum(not x[5] for x in got)
 
 
+def longest_match(text: str | None, items: list[tuple]) -> tuple[int, int | None]:
+    """Length and first place of the longest run of words that an item holds."""
+    w, best = TOKEN.findall(lower(text)), (0, None)
+    runs = {tuple(i[a:b]) for _, t in items for i in [TOKEN.findall(lower(t))] for a in range(len(i)) for b in range(a + 1, len(i) + 1)}
+    for at in range(len(w)):
+        while tuple(w[at : at + best[0] + 1]) in runs and at + best[0] < len(w):
+            best = (best[0] + 1, at)
+    return best
+
+
+@pytest.mark.parametrize("limit", [suffixes.BLOCK_BYTES, 200])
+def test_longest_matches_of_any_length(spark, limit):
+    import random
+
+    draw = random.Random(5)
+    some = lambda n: " ".join(draw.choice("abcdef") for _ in range(n))
+    items = [(k, some(draw.choice([1, 2, 6, 9, 10, 11, 14, 40]))) for k in range(60)] + [(200 + k, "a b c a b c a b c d") for k in range(50)] + [(300, ". ."), (None, some(30))]
+    shared = some(25)
+    items += [(400 + k, f"{some(3)} {shared} {some(3)}") for k in range(30)]
+    texts = [some(draw.choice([0, 1, 5, 30, 80])) + draw.choice(["", " x ", " f x a b"]) + some(9) for _ in range(60)]
+    texts += ["x y z", "", None, " x ".join([shared] * 40), " ".join([shared] * 5), "x " + shared, *[items[5][1]] * 3]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = suffixes.searched(docs, spark.createDataFrame(items, "item_id long, text string"), limit, ["doc_id"]).collect()
+    held = {str(k): " ".join(TOKEN.findall(lower(t))) for k, t in items}
+    assert len(found) == len(texts)
+    for r in found:
+        assert (r.longest, r.longest_at) == longest_match(texts[r.row.doc_id], items)
+        if r.longest_item is not None:
+            w = TOKEN.findall(lower(texts[r.row.doc_id]))[r.longest_at : r.longest_at + r.longest]
+            assert f" {' '.join(w)} " in f" {held[r.longest_item]} "
+    got = [(r.row.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found]
+    assert sorted(got, key=str) == contaminated([(i, t) for i, t in enumerate(texts)], items)
+
+
+def test_every_suffix_is_in_the_array_in_order():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    ranks = np.append(draw.integers(0, 4, 3000), np.zeros(suffixes.WINDOW, int))
+    order = suffixes.suffix_array(ranks)
+    assert sorted(order.tolist()) == np.flatnonzero(ranks).tolist()
+    table = suffixes.following(ranks, order).tolist()
+    assert table == sorted(table)
+
+
 def test_decontamination_without_items(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     rows = suffixes.op6(docs, none).collect()
