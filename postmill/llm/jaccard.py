@@ -233,7 +233,15 @@ def _within(table: pa.Table) -> pa.Table:
     distance = region.connect(ids.index(pivot))
     roots = np.array(ids, dtype=np.int64)[region.group]
     n = len(ids)
-    return pa.table({"pivot": pa.array([pivot] * n, pa.int64()), "class": pa.array(ids, pa.int64()), "root": pa.array(roots), "distance": pa.array(distance, pa.float64())})
+    return pa.table(
+        {
+            "pivot": pa.array([pivot] * n, pa.int64()),
+            "class": pa.array(ids, pa.int64()),
+            "root": pa.array(roots),
+            "distance": pa.array(distance, pa.float64()),
+            "parts": table.column("parts").slice(0, 1).combine_chunks().take(pa.array([0] * n, pa.int64())),
+        }
+    )
 
 
 def _across(table: pa.Table) -> pa.Table:
@@ -279,21 +287,21 @@ def class_links(docs: DataFrame, classes: DataFrame, region: int = REGION, size:
     weighed = pairs.join(weights, F.col("class") == F.col("w_class"))
     needed = F.greatest(F.ceil((F.count("*") + 1) / region), F.ceil(F.sum("weight") / size))
     parts = checkpoint(weighed.groupBy("pivot").agg(needed.cast("int").alias("parts")))
-    members = pairs.join(parts, "pivot").select("pivot", "class", F.array(F.pmod(F.xxhash64("class"), "parts").cast("int")).alias("part"))
-    pivots = parts.select("pivot", F.col("pivot").alias("class"), F.sequence(F.lit(0), F.col("parts") - 1).alias("part"))
-    placed = members.union(pivots).select("pivot", "class", F.explode("part").alias("part"))
+    members = pairs.join(parts, "pivot").select("pivot", "class", "parts", F.array(F.pmod(F.xxhash64("class"), "parts").cast("int")).alias("part"))
+    pivots = parts.select("pivot", F.col("pivot").alias("class"), "parts", F.sequence(F.lit(0), F.col("parts") - 1).alias("part"))
+    placed = members.union(pivots).select("pivot", "class", "parts", F.explode("part").alias("part"))
     classes = classes.drop("weight")
-    rows = _texts_of(docs, placed.join(classes, "class")).select("pivot", "part", "class", "_text")
-    inside = checkpoint(rows.groupBy("pivot", "part").applyInArrow(_within, "pivot long, class long, root long, distance double"))
+    rows = _texts_of(docs, placed.join(classes, "class")).select("pivot", "part", "parts", "class", "_text")
+    inside = checkpoint(rows.groupBy("pivot", "part").applyInArrow(_within, "pivot long, class long, root long, distance double, parts int"))
     links = inside.select(F.col("class").alias("u"), F.col("root").alias("v")).where("u != v").distinct()
 
-    large = parts.where("parts > 1")
-    if large.isEmpty():
+    if parts.where("parts > 1").isEmpty():
         return links
     # Regions in several parts: members and what their largest component lacks meet again, ring by ring.
     known = checkpoint(components(links))
     width = 1 - PERCENT / 100
-    held = inside.join(large.select("pivot"), "pivot", "left_semi").groupBy("pivot", "class").agg(F.min("distance").alias("distance"))
+    # By pivot and class, not joined on the pivot before, or a hot region would stay in one task.
+    held = inside.where("parts > 1").groupBy("pivot", "class").agg(F.min("distance").alias("distance"))
     held = held.join(known, F.col("class") == F.col("id"), "left").select("pivot", "class", "distance", F.coalesce("root", "class").alias("root"))
     held = held.join(weights, F.col("class") == F.col("w_class")).drop("w_class")
     sizes = held.groupBy("pivot", "root").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes"))
