@@ -23,14 +23,16 @@ def label_lookup(
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, by the code. For a
     lookup too large to broadcast, with a code that many rows have, ask for ``salts``: rows
     are then dealt by code and salt, so that such a code meets in so many tasks, and the lookup
-    is copied once for each salt. The lookup code must be unique.
+    is copied once for each salt. The planner's size of the lookup leaves out the copies, so
+    with salts the join is hinted to sort and merge and the copies never pass through the
+    driver. The lookup code must be unique.
     """
     named = lookup.select(
         F.col(lookup_code).alias("__code"), F.col(label).alias("__label")
     )
     same = df[code] == named["__code"]
     if salts > 1:
-        named = named.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        named = named.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
         df = df.withColumn("__salt", F.pmod(F.xxhash64(*_hashable(df)), F.lit(salts)).cast("int"))
         same = (df[code] == named["__code"]) & (df["__salt"] == named["__copy"])
     joined = df.join(named, same, "left")

@@ -232,3 +232,28 @@ def test_a_hot_code_of_a_large_lookup_is_spread(spark, no_broadcast):
             assert rows.select("id").distinct().count() == rows.count() == 20_000
             assert rows.where("label <> if(code < 90, concat('label ', code), 'Unknown')").isEmpty()
         assert largest[1] >= 18_000 and largest[64] < 5_000
+
+
+def test_the_copies_of_a_salted_lookup_are_not_broadcast(spark, tmp_path):
+    """A lookup that is under the threshold without its copies, as the planner counts it."""
+    once = spark.range(400).selectExpr(
+        "id as l_orderkey",
+        "cast(id % 3 as int) as l_linenumber",
+        "if(id % 10 < 7, 15L, if(id % 10 = 7, null, id % 40)) as l_partkey",
+    )
+    once.union(once).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(30).selectExpr("id as p_partkey", "if(id % 7 = 0, null, concat('part ', id)) as p_name").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 1_000_000
+    labelled = driver.salted_labels(spark, str(tmp_path))
+    rows = sorted(map(tuple, labelled.collect()), key=str)
+    assert "Broadcast" not in plan_of(labelled) and "SortMergeJoin" in plan_of(labelled)
+
+    def part_of(i):
+        return 15 if i % 10 < 7 else None if i % 10 == 7 else i % 40
+
+    def name_of(key):
+        return f"part {key}" if key is not None and 10 < key < 30 and key % 7 else "Unknown"
+
+    assert rows == sorted([(i, i % 3, part_of(i), name_of(part_of(i))) for i in range(400)] * 2, key=str)
